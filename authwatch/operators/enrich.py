@@ -10,12 +10,17 @@ from authwatch.functions import classify
 from authwatch.schema import BUS_EVENT, ENRICHED, LOG_EVENT
 
 
-def _decoded(df: DataFrame, schema: T.StructType) -> DataFrame:
-    fields = [F.col(f"_event.`{name}`").alias("ingest_time" if name == "@timestamp" else name)
-              for name in schema.names]
-    return (df.select(F.col("value").cast("string").alias("_raw"))
-            .withColumn("_event", F.from_json("_raw", schema))
-            .select("_raw", *fields))
+def _decoded(df: DataFrame, schema: T.StructType, keep) -> DataFrame:
+    """``_raw`` and the event columns of the messages that satisfy ``keep``.
+
+    The event is the output of a generator. Filters on it, also those of later
+    steps, therefore stay above it, and each message is parsed exactly once;
+    through a projection Catalyst would copy ``from_json`` into every filter.
+    """
+    raw = df.select(F.col("value").cast("string").alias("_raw"))
+    event = F.filter(F.array(F.from_json("_raw", schema)), keep)
+    out = raw.select("_raw", F.inline(event))
+    return out.withColumnRenamed("@timestamp", "ingest_time")
 
 
 def decode_event_json(df: DataFrame, schema: T.StructType = BUS_EVENT,
@@ -26,9 +31,8 @@ def decode_event_json(df: DataFrame, schema: T.StructType = BUS_EVENT,
     is left to :func:`malformed_events`; ``keep_malformed`` passes it on as an
     event whose fields are all NULL, and ``corrupt_col`` adds its text.
     """
-    out = _decoded(df, schema)
-    if not keep_malformed:
-        out = out.filter(F.col("row_hash").isNotNull())
+    keep = (lambda e: F.lit(True)) if keep_malformed else (lambda e: e["row_hash"].isNotNull())
+    out = _decoded(df, schema, keep)
     if corrupt_col:
         out = out.withColumn(corrupt_col, F.when(F.col("row_hash").isNull(), F.col("_raw")))
     return out.drop("_raw")
@@ -36,8 +40,10 @@ def decode_event_json(df: DataFrame, schema: T.StructType = BUS_EVENT,
 
 def malformed_events(df: DataFrame, schema: T.StructType = BUS_EVENT) -> DataFrame:
     """Raw text of the messages that :func:`decode_event_json` leaves out."""
-    return (_decoded(df, schema).filter(F.col("row_hash").isNull())
-            .select(F.col("_raw").alias("_corrupt")))
+    def keyless(event):
+        return event.isNull() | event["row_hash"].isNull()
+
+    return _decoded(df, schema, keyless).select(F.col("_raw").alias("_corrupt"))
 
 
 def normalise_timestamps(df: DataFrame, cols=("ingest_time", "event_time",

@@ -74,8 +74,13 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "row_hash",
 
 
 def append_batch(df: DataFrame, path: str, batch: str, *by: str) -> None:
-    """Write one micro-batch under its own name; repeating it changes nothing."""
-    _overwrite_partitions(df.withColumn("batch", F.lit(batch)), path, *by, "batch")
+    """Write one micro-batch under its own name; repeating it changes nothing.
+
+    The rebalance joins the small outputs of many source tasks into few files
+    per partition and splits a large day over several.
+    """
+    named = df.withColumn("batch", F.lit(batch)).hint("rebalance", *by)
+    _overwrite_partitions(named, path, *by, "batch")
 
 
 def read_live_events(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:
@@ -97,7 +102,11 @@ def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None)
     if None in days:
         touched = touched | F.col("event_date").isNull()
     stored = _read_or_empty(spark, path, STORED_EVENT).filter(touched)
-    _overwrite_partitions(upsert(stored, incoming), path, "event_date")
+    merged = upsert(stored, incoming)
+    if len(days) > 1:
+        # Otherwise every task would write a small file for every day.
+        merged = merged.hint("rebalance", "event_date")
+    _overwrite_partitions(merged, path, "event_date")
 
 
 def settle_days(spark: SparkSession, live: str, path: str, day_from, day_to=None) -> None:
