@@ -198,6 +198,8 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
         "_by_failures": F.row_number().over(
             bucket.orderBy(F.desc("failures"), F.asc("ip"))),
     })
+    if day is not None:
+        ranked = ranked.unionByName(_empty_profile(df, day), allowMissingColumns=True)
     suspect = known & (F.col("failures") >= threshold)
     in_total = F.col("_by_total") <= k
     if null_before_limit:
@@ -208,7 +210,8 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
 
     distinct = F.count("ip")
     if count_null_ip:
-        distinct = distinct + F.max(F.col("ip").isNull().cast("bigint"))
+        unknown = F.col("ip").isNull() & (F.col("total") > 0)
+        distinct = distinct + F.max(unknown.cast("bigint"))
     per_day = ranked.groupBy("metric_date").agg(
         F.sum("total").alias("total_logs"),
         F.sum("errors").alias("error_count"),
@@ -220,32 +223,23 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
          .alias("_brute"),
     )
     peak = F.array_max("_hours")
-    out = per_day.select(
+    first_peak = (F.array_position("_hours", peak) - 1).cast("int")
+    return per_day.select(
         "metric_date", "total_logs", "error_count", "unique_ips",
-        (F.array_position("_hours", peak) - 1).cast("int").alias("peak_hour"),
+        F.when(peak > 0, first_peak).alias("peak_hour"),
         peak.alias("peak_hour_logs"),
         _top_list(F.col("_top"), k).alias("top_ip_list"),
         "brute_force_ips",
         _top_list(F.col("_brute"), k).alias("top_brute_list"),
     )
-    return out if day is None else _with_empty_day(out, day)
 
 
-def _with_empty_day(metrics: DataFrame, day) -> DataFrame:
-    """Left join of the one requested day with its at most one metrics row."""
-    wanted = metrics.sparkSession.range(1).select(
-        F.lit(as_date(day)).alias("metric_date"))
-    joined = wanted.join(metrics, "metric_date", "left")
-    no_list = F.array().cast("array<struct<ip:string,cnt:bigint>>")
-    placeholder = _top_list(F.array().cast("array<struct<neg_cnt:bigint,ip:string>>"), 1)
+def _empty_profile(df: DataFrame, day) -> DataFrame:
+    """One profile row of zeros, which puts the day into the result."""
     zero = F.lit(0).cast("bigint")
-    counters = ("total_logs", "error_count", "unique_ips", "peak_hour_logs", "brute_force_ips")
-    lists = ("top_ip_list", "top_brute_list")
-    return joined.withColumns({
-        **{c: F.coalesce(F.col(c), zero) for c in counters},
-        **{c: F.when(F.size(F.coalesce(F.col(c), no_list)) > 0, F.col(c))
-               .otherwise(placeholder) for c in lists},
-    }).select(*metrics.columns)
+    counters = ["total", "errors", "failures", *[f"h{h:02d}" for h in HOURS]]
+    return df.sparkSession.range(1).select(
+        F.lit(as_date(day)).alias("metric_date"), *[zero.alias(c) for c in counters])
 
 
 def nested_top_list(metrics: DataFrame, col: str = "top_ip_list") -> DataFrame:

@@ -18,7 +18,7 @@ def spark():
     session = build_session(
         "authwatch-tests", "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-           "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
+           "spark.driver.memory": "6g", "spark.sql.maxMetadataStringLength": "10000", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
