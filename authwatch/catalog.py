@@ -706,6 +706,6 @@ def q_settle_days(spark, sf_dir):
     """Live days moved into the events table, with redelivered keys resolved."""
     root, table = shared_dir(spark, "live"), shared_dir(spark, "events")
     live.start_events(_redelivered_bus(spark, sf_dir), root, trigger=None).awaitTermination()
-    tables.settle_days(spark, live.events_path(root), table, None)
+    tables.settle_days(spark, live.events_path(root), table)
     return ntz(tables.read_events(spark, table).select(
         "event_date", "row_hash", "host_name", "ingest_time"))

@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--drain", action="store_true", help="stop when the input is used up")
     job.add_argument("--trigger", default="5 seconds")
     job.add_argument("--max-per-trigger", type=int)
+    job.add_argument("--files", type=int, help="event files per micro-batch and day")
     job.add_argument("--threshold", type=int, default=int(os.getenv("BF_THRESHOLD", "60")))
     job.add_argument("--window-min", type=int, default=int(os.getenv("BF_WINDOW_MIN", "1")))
 
@@ -64,7 +65,7 @@ def run_live(spark, args) -> None:
         source = bus.replay_bus(spark, args.replay)
     minutes = f"{args.window_min} minutes"
     queries = live.run_stream(source, args.root, None if args.drain else args.trigger,
-                              window=minutes, watermark=minutes, threshold=args.threshold)
+                              args.files, window=minutes, watermark=minutes, threshold=args.threshold)
     if args.drain:
         live.await_all(queries)
     else:

@@ -7,14 +7,15 @@ task. Ranking runs on aggregated rows only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from authwatch.functions import classify, syslog
 from authwatch.operators.filters import as_date, daily_filter, failed_logins
 
 PLACEHOLDER_IP = "N/A"
-HOURS = range(24)
+# Columns of the hour histogram, h00 .. h23.
+HOUR_COLUMNS = [f"h{hour:02d}" for hour in range(24)]
 
 
 def with_day(df: DataFrame, report_tz: str = "UTC", name: str = "metric_date") -> DataFrame:
@@ -157,19 +158,17 @@ def ip_profile(df: DataFrame, failure_types=classify.FAILURE_TYPES,
         hour_of_day(with_day(df, report_tz), report_tz), ["metric_date", "ip"],
         F.count_if(F.col("log_level") == "ERROR").alias("errors"),
         F.count_if(classify.is_failure(failure_types)).alias("failures"),
-        *[F.count_if(F.col("hour") == h).alias(f"h{h:02d}") for h in HOURS],
+        *[F.expr(f"count_if(hour = {hour}) AS {name}")
+          for hour, name in enumerate(HOUR_COLUMNS)],
         name="total")
 
 
-def _top_list(candidates, k: int):
+def _top_list(candidates: str, k: int, name: str) -> Column:
     """Ordered ``[{ip, cnt}]`` of the first k, or the placeholder entry."""
-    ordered = F.slice(F.array_sort(candidates), 1, k)
-    listed = F.transform(
-        F.filter(ordered, lambda x: x["ip"].isNotNull()),
-        lambda x: F.struct(x["ip"].alias("ip"), (-x["neg_cnt"]).alias("cnt")))
-    empty = F.array(F.struct(F.lit(PLACEHOLDER_IP).alias("ip"),
-                             F.lit(0).cast("bigint").alias("cnt")))
-    return F.when(F.size(listed) > 0, listed).otherwise(empty)
+    listed = (f"transform(filter(slice(sort_array({candidates}), 1, {k}), x -> x.ip IS NOT NULL), "
+              "x -> named_struct('ip', x.ip, 'cnt', -x.neg_cnt))")
+    return F.expr(f"if(size({listed}) > 0, {listed}, "
+                  f"array(named_struct('ip', '{PLACEHOLDER_IP}', 'cnt', 0L))) AS {name}")
 
 
 def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
@@ -216,7 +215,7 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
         F.sum("total").alias("total_logs"),
         F.sum("errors").alias("error_count"),
         distinct.alias("unique_ips"),
-        F.array(*[F.sum(f"h{h:02d}") for h in HOURS]).alias("_hours"),
+        F.expr("array(" + ", ".join(f"sum({name})" for name in HOUR_COLUMNS) + ") AS _hours"),
         F.collect_list(F.when(in_total, entry("total"))).alias("_top"),
         F.count_if(suspect).alias("brute_force_ips"),
         F.collect_list(F.when(suspect & (F.col("_by_failures") <= k), entry("failures")))
@@ -228,16 +227,16 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
         "metric_date", "total_logs", "error_count", "unique_ips",
         F.when(peak > 0, first_peak).alias("peak_hour"),
         peak.alias("peak_hour_logs"),
-        _top_list(F.col("_top"), k).alias("top_ip_list"),
+        _top_list("_top", k, "top_ip_list"),
         "brute_force_ips",
-        _top_list(F.col("_brute"), k).alias("top_brute_list"),
+        _top_list("_brute", k, "top_brute_list"),
     )
 
 
 def _empty_profile(df: DataFrame, day) -> DataFrame:
     """One profile row of zeros, which puts the day into the result."""
     zero = F.lit(0).cast("bigint")
-    counters = ["total", "errors", "failures", *[f"h{h:02d}" for h in HOURS]]
+    counters = ["total", "errors", "failures", *HOUR_COLUMNS]
     return df.sparkSession.range(1).select(
         F.lit(as_date(day)).alias("metric_date"), *[zero.alias(c) for c in counters])
 

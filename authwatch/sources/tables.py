@@ -9,6 +9,8 @@ are resolved when reading the live events, or once per closed day by
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -62,25 +64,32 @@ def latest_by_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "row_hash",
-           order_col: str = "ingest_time") -> DataFrame:
+           order_col: str = "ingest_time", delivery_col: str | None = None) -> DataFrame:
     """Both inputs with one row per key: the newest, incoming on a tie.
 
+    ``delivery_col`` of ``incoming`` orders deliveries with equal ``order_col``.
     Rows without a key cannot be addressed and are all left out.
     """
-    both = (existing.withColumn("_incoming", F.lit(0))
-            .unionByName(incoming.withColumn("_incoming", F.lit(1)))
-            .filter(F.col(key).isNotNull()))
-    return latest_by_key(both, key, F.desc(order_col), F.desc("_incoming")).drop("_incoming")
+    delivery = F.col(delivery_col) if delivery_col else F.lit("incoming")
+    late = incoming.withColumn("_delivery", delivery)
+    if delivery_col:
+        late = late.drop(delivery_col)
+    both = (existing.withColumn("_delivery", F.lit(""))
+            .unionByName(late).filter(F.col(key).isNotNull()))
+    return latest_by_key(both, key, F.desc(order_col), F.desc("_delivery")).drop("_delivery")
 
 
-def append_batch(df: DataFrame, path: str, batch: str, *by: str) -> None:
+def append_batch(df: DataFrame, path: str, batch: str, *by: str,
+                 files: int | None = None) -> None:
     """Write one micro-batch under its own name; repeating it changes nothing.
 
-    The rebalance joins the small outputs of many source tasks into few files
-    per partition and splits a large day over several.
+    Every task writes its own file per partition. ``files`` first spreads the
+    rows evenly over that many tasks, so that thousands of source or state
+    tasks do not each leave a tiny file behind.
     """
-    named = df.withColumn("batch", F.lit(batch)).hint("rebalance", *by)
-    _overwrite_partitions(named, path, *by, "batch")
+    if files:
+        df = df.repartition(files)
+    _overwrite_partitions(df.withColumn("batch", F.lit(batch)), path, *by, "batch")
 
 
 def read_live_events(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:
@@ -89,12 +98,15 @@ def read_live_events(spark: SparkSession, path: str, day_from=None, day_to=None)
     return latest_by_key(live, "row_hash", F.desc("ingest_time"), F.desc("batch")).drop("batch")
 
 
-def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None) -> None:
+def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None,
+                delivery_col: str | None = None) -> None:
     """Merge ``incoming`` into the stored days it touches; others stay as they are.
 
-    The touched days are the only thing read to the driver.
+    The touched days are the only thing read to the driver, and not even they
+    when ``days`` names them.
     """
-    incoming = with_event_date(incoming).select(*STORED_EVENT.names)
+    extra = [delivery_col] if delivery_col else []
+    incoming = with_event_date(incoming).select(*STORED_EVENT.names, *extra)
     if days is None:
         days = [row[0] for row in incoming.select("event_date").distinct().collect()]
     known = [F.lit(as_date(d)) for d in days if d is not None]
@@ -102,17 +114,28 @@ def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None)
     if None in days:
         touched = touched | F.col("event_date").isNull()
     stored = _read_or_empty(spark, path, STORED_EVENT).filter(touched)
-    merged = upsert(stored, incoming)
-    if len(days) > 1:
-        # Otherwise every task would write a small file for every day.
+    merged = upsert(stored, incoming, delivery_col=delivery_col)
+    if len(days) > 1 and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        # Otherwise every task would write a small file for every day. Only
+        # the adaptive rebalance also splits a large day over several tasks.
         merged = merged.hint("rebalance", "event_date")
     _overwrite_partitions(merged, path, "event_date")
 
 
-def settle_days(spark: SparkSession, live: str, path: str, day_from, day_to=None) -> None:
-    """Move closed days from the live folder into the events table."""
-    incoming = read_live_events(spark, live, day_from, day_to or day_from)
-    upsert_days(spark, path, incoming)
+def settle_days(spark: SparkSession, live: str, path: str, day_from=None, day_to=None) -> None:
+    """Move closed days from the live folder into the events table.
+
+    One shuffle resolves the redelivered keys of the live folder and those
+    already stored. Without days everything is moved, also events without a
+    time.
+    """
+    days = None
+    if day_from is not None:
+        first, last = as_date(day_from), as_date(day_to or day_from)
+        days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+        day_to = last
+    live_rows = _days(_read_or_empty(spark, live, LIVE_EVENT), day_from, day_to)
+    upsert_days(spark, path, live_rows, days, delivery_col="batch")
 
 
 def read_events(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:

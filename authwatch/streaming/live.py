@@ -44,11 +44,12 @@ def _start(df: DataFrame, name: str, root: str, mode: str, sink, trigger: str |
     return writer.trigger(processingTime=trigger).start()
 
 
-def start_events(bus: DataFrame, root: str, trigger: str | None = "5 seconds") -> StreamingQuery:
+def start_events(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
+                 files: int | None = None) -> StreamingQuery:
     """Append every message to the live events table."""
     rows = enrich(decode_event_json(bus, keep_malformed=True, corrupt_col="_corrupt"),
                   keep=("_corrupt",))
-    return _start(rows, EVENTS, root, "append", event_sink(f"{root}/{EVENTS}"), trigger)
+    return _start(rows, EVENTS, root, "append", event_sink(f"{root}/{EVENTS}", files), trigger)
 
 
 def start_alerts(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
@@ -64,9 +65,10 @@ def start_alerts(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
 
 
 def run_stream(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
-               **alert_options) -> list[StreamingQuery]:
+               files: int | None = None, **alert_options) -> list[StreamingQuery]:
     """Start both queries on one bus. ``trigger=None`` drains the bus and stops."""
-    return [start_events(bus, root, trigger), start_alerts(bus, root, trigger, **alert_options)]
+    return [start_events(bus, root, trigger, files),
+            start_alerts(bus, root, trigger, **alert_options)]
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
