@@ -459,6 +459,21 @@ def q_ip_counts(spark, sf_dir):
     return mt.ip_counts(events(spark, sf_dir))
 
 
+@query
+def q_order_by_count(spark, sf_dir):
+    return mt.order_by_count(mt.ip_counts(events(spark, sf_dir)), "cnt", "metric_date", "ip")
+
+
+@query
+def q_top_k(spark, sf_dir):
+    return mt.top_k(mt.hourly_counts(events(spark, sf_dir)), 3, "cnt", "metric_date", "hour")
+
+
+@query
+def q_untimed_counts(spark, sf_dir):
+    return mt.untimed_counts(events(spark, sf_dir))
+
+
 @query
 def q_top_ips(spark, sf_dir):
     return mt.top_ips(events(spark, sf_dir))

@@ -27,8 +27,10 @@ PATTERN_RULES = [
 ]
 PATTERN_DEFAULT = "Other"
 
+# The error types that count as a failed login.
 FAILURE_TYPES = ("login failed", "invalid user")
 
+# Extraction patterns, and the form of a dotted quad.
 USER_PATTERN = r"user ([^ ]+)"
 IP_PATTERN = r"from ([0-9.]+)"
 PORT_PATTERN = r"port ([0-9]+)"

@@ -22,6 +22,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--servers", help="publish to these brokers")
     job.add_argument("--topic", default=bus.TOPIC)
     job.add_argument("--out", help="store messages as files instead")
+    job.add_argument("--checkpoint", help="remember finished files; later runs read new ones only")
+    job.add_argument("--trigger", help="with --checkpoint: keep running at this interval")
 
     job = jobs.add_parser("live", help="bus -> events table and alerts, endless")
     job.add_argument("--root", required=True)
@@ -73,6 +75,11 @@ def run_live(spark, args) -> None:
 
 
 def run_ingest(spark, args) -> None:
+    if args.checkpoint:
+        stream = ingest.file_message_stream(spark, args.logs, args.host, log_tz=args.log_tz)
+        ingest.start_ingest(stream, args.checkpoint, args.servers, args.topic, args.out,
+                            args.trigger).awaitTermination()
+        return
     messages = ingest.file_messages(spark, args.logs, args.host, log_tz=args.log_tz)
     if args.servers:
         bus.write_bus(messages, args.servers, args.topic)

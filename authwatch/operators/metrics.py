@@ -47,6 +47,16 @@ def top_k_per_group(df: DataFrame, group: str, order, k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
+def order_by_count(counts: DataFrame, col: str = "cnt", *keys: str) -> DataFrame:
+    """Most frequent first; ``keys`` decide ties."""
+    return counts.orderBy(F.desc(col), *keys)
+
+
+def top_k(counts: DataFrame, k: int, col: str = "cnt", *keys: str) -> DataFrame:
+    """The ``k`` most frequent rows overall, without sorting all of them."""
+    return order_by_count(counts, col, *keys).limit(k)
+
+
 def total_logs(df: DataFrame, report_tz: str = "UTC") -> DataFrame:
     return count_per(with_day(df, report_tz), ["metric_date"], name="total_logs")
 
@@ -135,6 +145,13 @@ def brute_force_windowed(df: DataFrame, window: str = "1 minute", threshold: int
                     F.col("window.end").alias("window_end"), "ip", "fail_cnt"))
 
 
+def untimed_counts(df: DataFrame, source_col: str = "source_file") -> DataFrame:
+    """Lines per source, and how many of them had no readable time."""
+    return df.groupBy(source_col).agg(
+        F.count("*").alias("total_logs"),
+        F.count_if(F.col("event_time").isNull()).alias("untimed_logs"))
+
+
 def success_rate(df: DataFrame, report_tz: str = "UTC") -> DataFrame:
     """Per day: share of lines that are no errors, and distinct user names."""
     per_day = count_per(

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from authwatch.functions import classify, syslog
 from authwatch.operators.filters import daily_filter
-from authwatch.operators.metrics import count_per, hour_of_day, with_day
+from authwatch.operators.metrics import (
+    count_per,
+    hour_of_day,
+    order_by_count,
+    top_k,
+    with_day,
+)
 
 MISSING = "N/A"
 
@@ -30,11 +36,13 @@ def value_counts(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     """
     counts = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
               .agg(F.count("*").alias("cnt")))
-    order = (F.desc("cnt"), F.asc("value"))
-    if top is None:
-        return counts.orderBy(*order)
-    best = counts.orderBy(*order).limit(top)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return order_by_count(counts, "cnt", "value") if top is None else _ranked_top(counts, top)
+
+
+def _ranked_top(counts: DataFrame, top: int) -> DataFrame:
+    """The rank window sees the ``top`` rows that are left, and no others."""
+    rank = F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("value")))
+    return top_k(counts, top, "cnt", "value").withColumn("rank", rank)
 
 
 def date_counts(df: DataFrame, report_tz: str = "UTC") -> DataFrame:
@@ -85,7 +93,7 @@ def _cube_counts(cube: DataFrame, col: str) -> DataFrame:
 
 
 def report_level_distribution(cube: DataFrame) -> DataFrame:
-    return _cube_counts(cube, "level").orderBy(F.desc("cnt"), F.asc("value"))
+    return order_by_count(_cube_counts(cube, "level"), "cnt", "value")
 
 
 def report_hourly_trend(cube: DataFrame) -> DataFrame:
@@ -95,17 +103,15 @@ def report_hourly_trend(cube: DataFrame) -> DataFrame:
 
 
 def report_source_top10(cube: DataFrame, top: int = 10) -> DataFrame:
-    order = (F.desc("cnt"), F.asc("value"))
-    best = _cube_counts(cube, "source").orderBy(*order).limit(top)
-    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return _ranked_top(_cube_counts(cube, "source"), top)
 
 
 def report_source_counts(cube: DataFrame) -> DataFrame:
-    return _cube_counts(cube, "source").orderBy(F.desc("cnt"), F.asc("value"))
+    return order_by_count(_cube_counts(cube, "source"), "cnt", "value")
 
 
 def report_pattern_distribution(cube: DataFrame) -> DataFrame:
-    return _cube_counts(cube, "pattern").orderBy(F.desc("cnt"), F.asc("value"))
+    return order_by_count(_cube_counts(cube, "pattern"), "cnt", "value")
 
 
 def report_summary(cube: DataFrame) -> DataFrame:

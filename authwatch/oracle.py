@@ -247,6 +247,12 @@ ORACLES = {
                          "FROM enriched GROUP BY 1, 2"),
     "peak_hour": sql("SELECT metric_date, peak_hour, peak_hour_logs FROM metrics", METRICS),
     "ip_counts": sql("SELECT metric_date, ip, c AS cnt FROM ips", METRICS),
+    "order_by_count": sql("SELECT metric_date, ip, c AS cnt FROM ips ORDER BY c DESC", METRICS),
+    "top_k": sql("SELECT event_date AS metric_date, hour, count(*) AS cnt FROM enriched "
+                 "GROUP BY 1, 2 ORDER BY cnt DESC, metric_date, hour LIMIT 3"),
+    "untimed_counts": sql("SELECT source_file, count(*) AS total_logs, "
+                          "count(*) - count(event_time) AS untimed_logs "
+                          "FROM enriched GROUP BY 1"),
     "top_ips": sql("SELECT metric_date, rn::INTEGER AS rank, ip, c AS cnt FROM tops "
                    "WHERE rn <= 3 AND ip IS NOT NULL", METRICS),
     "top_ips_null_competes": sql("SELECT metric_date, rn::INTEGER AS rank, ip, c AS cnt FROM tops "

@@ -43,6 +43,18 @@ def test_files_to_report(spark, tmp_path):
     assert spark.read.parquet(at("report/detail_rows")).count() == len(LINES)
 
 
+def test_ingest_with_checkpoint_reads_each_file_once(spark, tmp_path):
+    (tmp_path / "logs").mkdir()
+
+    def run(name):
+        (tmp_path / "logs" / name).write_text("Jan  1 00:00:00 h sshd[1]: Invalid user a from 1.1.1.1\n")
+        main(["ingest", "--logs", str(tmp_path / "logs"), "--host", "h", "--checkpoint",
+              str(tmp_path / "chk"), "--out", str(tmp_path / "bus")], spark)
+        return spark.read.parquet(str(tmp_path / "bus")).count()
+
+    assert [run("ssh-20240101.log"), run("ssh-20240102.log")] == [1, 2]
+
+
 def test_defaults_come_from_the_environment(monkeypatch):
     monkeypatch.setenv("BF_THRESHOLD", "7")
     monkeypatch.setenv("BF_WINDOW_MIN", "2")

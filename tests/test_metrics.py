@@ -74,6 +74,12 @@ def test_untimed_events_belong_to_no_day(events):
         assert result.count() == 1
 
 
+def test_untimed_lines_are_counted_per_source(events):
+    df = events([(None, None, *OK), ("2024-01-01 07:00:00", None, *OK)])
+    assert mt.untimed_counts(df).first().asDict() == {
+        "source_file": "20240101", "total_logs": 2, "untimed_logs": 1}
+
+
 def test_day_bounds_are_half_open(events):
     df = events([("2024-01-01 23:59:59.900", "1.1.1.1", *OK),
                  ("2024-01-02 00:00:00", "1.1.1.1", *OK)])
