@@ -14,8 +14,8 @@ from authwatch.functions import classify, syslog
 from authwatch.operators.filters import as_date, daily_filter, failed_logins
 
 PLACEHOLDER_IP = "N/A"
-# Columns of the hour histogram, h00 .. h23.
-HOUR_COLUMNS = [f"h{hour:02d}" for hour in range(24)]
+# grouping_id() over (metric_date, ip, hour) for the two levels of a profile.
+BY_IP, BY_HOUR = 1, 2
 
 
 def with_day(df: DataFrame, report_tz: str = "UTC", name: str = "metric_date") -> DataFrame:
@@ -164,20 +164,21 @@ def success_rate(df: DataFrame, report_tz: str = "UTC") -> DataFrame:
                               F.round(100.0 * (total - errors) / total, 2))
 
 
-def ip_profile(df: DataFrame, failure_types=classify.FAILURE_TYPES,
-               report_tz: str = "UTC") -> DataFrame:
-    """One row per day and address with every counter of the daily metrics.
+def day_profile(df: DataFrame, failure_types=classify.FAILURE_TYPES,
+                report_tz: str = "UTC") -> DataFrame:
+    """Counters per (day, address) and per (day, hour), told apart by ``level``.
 
-    The hour histogram is 24 plain counters in the same aggregation, so all
-    metrics come from one pass and one shuffle of pre-aggregated rows.
+    Two grouping sets in one aggregation: one scan, and one shuffle of
+    pre-aggregated rows. A NULL address is a group of its own.
     """
-    return count_per(
-        hour_of_day(with_day(df, report_tz), report_tz), ["metric_date", "ip"],
-        F.count_if(F.col("log_level") == "ERROR").alias("errors"),
-        F.count_if(classify.is_failure(failure_types)).alias("failures"),
-        *[F.expr(f"count_if(hour = {hour}) AS {name}")
-          for hour, name in enumerate(HOUR_COLUMNS)],
-        name="total")
+    timed = hour_of_day(with_day(df, report_tz), report_tz)
+    return (timed.groupingSets([["metric_date", "ip"], ["metric_date", "hour"]],
+                               "metric_date", "ip", "hour")
+            .agg(F.count("event_time").alias("total"),
+                 F.count_if(F.col("log_level") == "ERROR").alias("errors"),
+                 F.count_if(classify.is_failure(failure_types)).alias("failures"),
+                 F.grouping_id().cast("int").alias("level"))
+            .filter(F.col("total") > 0))
 
 
 def _top_list(candidates: str, k: int, name: str) -> Column:
@@ -194,19 +195,19 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
                   buckets: int = 256) -> DataFrame:
     """The daily KPI row, for every day at once or for one ``day``.
 
-    Three shuffles, all of aggregated rows: by (day, ip); by (day, bucket of
-    ip) to find each bucket's first ``k``; by day. Every address of a day is
-    ranked inside one of ``buckets`` tasks, and at most ``k`` per bucket and
-    list go on, so a day with a very large number of addresses never meets in
-    one task. An explicit day without events gives one row of zeros.
+    Three shuffles, all of aggregated rows: by the keys of the profile; by
+    (day, bucket of ip) to find each bucket's first ``k``; by day. Every
+    address of a day is ranked inside one of ``buckets`` groups, and at most
+    ``k`` per bucket and list go on, so a day with a very large number of
+    addresses never meets in one task. An explicit day without events gives
+    one row of zeros.
     """
     if day is not None:
         df = daily_filter(df, day, report_tz=report_tz)
-    known = F.col("ip").isNotNull()
-    profile = (ip_profile(df, failure_types, report_tz)
+    profile = (day_profile(df, failure_types, report_tz)
                .withColumn("_bucket", F.pmod(F.xxhash64("ip"), F.lit(buckets))))
 
-    bucket = Window.partitionBy("metric_date", "_bucket")
+    bucket = Window.partitionBy("metric_date", "level", "_bucket")
     null_last = [F.col("ip").isNull()] if null_before_limit else []
     ranked = profile.withColumns({
         "_by_total": F.row_number().over(
@@ -216,46 +217,36 @@ def daily_metrics(df: DataFrame, day=None, threshold: int = 10, k: int = 3,
     })
     if day is not None:
         ranked = ranked.unionByName(_empty_profile(df, day), allowMissingColumns=True)
+
+    by_ip, by_hour = F.col("level") == BY_IP, F.col("level") == BY_HOUR
+    known = by_ip & F.col("ip").isNotNull()
     suspect = known & (F.col("failures") >= threshold)
-    in_total = F.col("_by_total") <= k
-    if null_before_limit:
-        in_total = in_total & known
+    in_total = (known if null_before_limit else by_ip) & (F.col("_by_total") <= k)
+    in_failures = suspect & (F.col("_by_failures") <= k)
 
     def entry(counter):
         return F.struct((-F.col(counter)).alias("neg_cnt"), F.col("ip").alias("ip"))
 
-    distinct = F.count("ip")
-    if count_null_ip:
-        unknown = F.col("ip").isNull() & (F.col("total") > 0)
-        distinct = distinct + F.max(unknown.cast("bigint"))
-    per_day = ranked.groupBy("metric_date").agg(
-        F.sum("total").alias("total_logs"),
-        F.sum("errors").alias("error_count"),
+    distinct = F.count_if(by_ip if count_null_ip else known)
+    busiest = F.when(by_hour, F.struct(F.col("total"), -F.col("hour")))
+    return ranked.groupBy("metric_date").agg(
+        F.sum(F.when(by_hour, F.col("total")).otherwise(0)).alias("total_logs"),
+        F.sum(F.when(by_hour, F.col("errors")).otherwise(0)).alias("error_count"),
         distinct.alias("unique_ips"),
-        F.expr("array(" + ", ".join(f"sum({name})" for name in HOUR_COLUMNS) + ") AS _hours"),
+        F.max_by("hour", busiest).alias("peak_hour"),
+        F.max(F.when(by_hour, F.col("total")).otherwise(0)).alias("peak_hour_logs"),
         F.collect_list(F.when(in_total, entry("total"))).alias("_top"),
         F.count_if(suspect).alias("brute_force_ips"),
-        F.collect_list(F.when(suspect & (F.col("_by_failures") <= k), entry("failures")))
-         .alias("_brute"),
-    )
-    peak = F.array_max("_hours")
-    first_peak = (F.array_position("_hours", peak) - 1).cast("int")
-    return per_day.select(
-        "metric_date", "total_logs", "error_count", "unique_ips",
-        F.when(peak > 0, first_peak).alias("peak_hour"),
-        peak.alias("peak_hour_logs"),
-        _top_list("_top", k, "top_ip_list"),
-        "brute_force_ips",
-        _top_list("_brute", k, "top_brute_list"),
-    )
+        F.collect_list(F.when(in_failures, entry("failures"))).alias("_brute"),
+    ).select(
+        "metric_date", "total_logs", "error_count", "unique_ips", "peak_hour",
+        "peak_hour_logs", _top_list("_top", k, "top_ip_list"), "brute_force_ips",
+        _top_list("_brute", k, "top_brute_list"))
 
 
 def _empty_profile(df: DataFrame, day) -> DataFrame:
-    """One profile row of zeros, which puts the day into the result."""
-    zero = F.lit(0).cast("bigint")
-    counters = ["total", "errors", "failures", *HOUR_COLUMNS]
-    return df.sparkSession.range(1).select(
-        F.lit(as_date(day)).alias("metric_date"), *[zero.alias(c) for c in counters])
+    """One profile row without a level, which puts the day into the result."""
+    return df.sparkSession.range(1).select(F.lit(as_date(day)).alias("metric_date"))
 
 
 def nested_top_list(metrics: DataFrame, col: str = "top_ip_list") -> DataFrame:
