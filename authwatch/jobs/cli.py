@@ -48,6 +48,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--date", help="YYYY-MM-DD, default today (UTC)")
     job.add_argument("--all", action="store_true", help="every stored day in one job")
+    job.add_argument("--live", help="root of the stream; settle the day first")
     job.add_argument("--threshold", type=int, default=10)
     job.add_argument("--report-tz", default="UTC")
 
@@ -56,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--from", dest="day_from", required=True)
     job.add_argument("--to", dest="day_to")
+    job.add_argument("--report-tz", default="UTC")
     return top
 
 
@@ -102,6 +104,8 @@ def main(argv=None, spark=None) -> None:
         if args.all:
             daily.backfill_metrics(spark, args.events, args.out, **options)
         else:
-            daily.run_daily_metrics(spark, args.events, args.out, args.date, **options)
+            source = live.events_path(args.live) if args.live else None
+            daily.run_daily_metrics(spark, args.events, args.out, args.date, source, **options)
     elif args.job == "report":
-        daily.write_report(spark, args.events, args.out, args.day_from, args.day_to)
+        daily.write_report(spark, args.events, args.out, args.day_from, args.day_to,
+                           args.report_tz)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from authwatch.operators.filters import metric_lookup
+from authwatch.operators.filters import as_date, daily_filter, metric_lookup
 from authwatch.operators.metrics import daily_metrics
 from authwatch.operators.report import daily_report, email_report_rows
 from authwatch.sources.tables import read_events, read_metrics, settle_days, write_metrics
@@ -20,22 +20,40 @@ def yesterday_utc() -> dt.date:
     return today_utc() - dt.timedelta(days=1)
 
 
+def stored_days(day_from, day_to=None, report_tz: str = "UTC") -> tuple[dt.date, dt.date]:
+    """First and last UTC day of storage that hold the given days of a zone."""
+    margin = dt.timedelta(days=0 if report_tz == "UTC" else 1)
+    return as_date(day_from) - margin, as_date(day_to or day_from) + margin
+
+
+def read_report_days(spark: SparkSession, events: str, day_from, day_to=None,
+                     report_tz: str = "UTC") -> DataFrame:
+    """Stored events of whole days of ``report_tz``; partitions are pruned."""
+    stored = read_events(spark, events, *stored_days(day_from, day_to, report_tz))
+    return daily_filter(stored, day_from, day_to, report_tz)
+
+
 def run_daily_metrics(spark: SparkSession, events: str, metrics: str, day=None,
-                      live: str | None = None, **options) -> None:
+                      live: str | None = None, report_tz: str = "UTC", **options) -> None:
     """Metrics of one day (default today, UTC) from the events table.
 
     With ``live`` the day is first settled from the stream's folder.
     """
     day = day or today_utc()
     if live:
-        settle_days(spark, live, events, day)
-    write_metrics(daily_metrics(read_events(spark, events, day, day), day, **options), metrics)
+        settle_days(spark, live, events, *stored_days(day, None, report_tz))
+    rows = read_report_days(spark, events, day, None, report_tz)
+    write_metrics(daily_metrics(rows, day, report_tz=report_tz, **options), metrics)
 
 
 def backfill_metrics(spark: SparkSession, events: str, metrics: str, day_from=None,
-                     day_to=None, **options) -> None:
-    """Metrics of all stored days, or a range, in one job."""
-    write_metrics(daily_metrics(read_events(spark, events, day_from, day_to), **options), metrics)
+                     day_to=None, report_tz: str = "UTC", **options) -> None:
+    """Metrics of all stored days, or of ``day_from`` .. ``day_to``, in one job."""
+    if day_from is None:
+        rows = read_events(spark, events)
+    else:
+        rows = read_report_days(spark, events, day_from, day_to, report_tz)
+    write_metrics(daily_metrics(rows, report_tz=report_tz, **options), metrics)
 
 
 def mail_rows(spark: SparkSession, metrics: str, day=None) -> DataFrame:
@@ -43,9 +61,11 @@ def mail_rows(spark: SparkSession, metrics: str, day=None) -> DataFrame:
     return email_report_rows(metric_lookup(read_metrics(spark, metrics), day or yesterday_utc()))
 
 
-def write_report(spark: SparkSession, events: str, out: str, day, day_to=None) -> None:
+def write_report(spark: SparkSession, events: str, out: str, day, day_to=None,
+                 report_tz: str = "UTC") -> None:
     """Write every table of the report below ``out``."""
-    report = daily_report(read_events(spark, events, day, day_to or day), day, day_to)
+    stored = read_events(spark, events, *stored_days(day, day_to, report_tz))
+    report = daily_report(stored, day, day_to, report_tz=report_tz)
     cube = report.pop("cube")
     for name, table in report.items():
         table.write.mode("overwrite").parquet(f"{out}/{name}")

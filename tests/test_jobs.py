@@ -43,6 +43,25 @@ def test_files_to_report(spark, tmp_path):
     assert spark.read.parquet(at("report/detail_rows")).count() == len(LINES)
 
 
+def test_days_of_another_zone_reach_over_the_stored_days(spark, events, tmp_path):
+    def at(name):
+        return str(tmp_path / name)
+
+    rows = [(f"2024-01-0{d} {h:02d}:30:00", "1.1.1.1", "etc", "INFO")
+            for d in (1, 2) for h in range(24)]
+    tables.upsert_days(spark, at("events"), events(rows))
+    for job in (lambda out: daily.run_daily_metrics(spark, at("events"), out, "2024-01-02",
+                                                    report_tz="Asia/Seoul"),
+                lambda out: daily.backfill_metrics(spark, at("events"), out, "2024-01-02",
+                                                   report_tz="Asia/Seoul")):
+        out = at(f"metrics{id(job)}")
+        job(out)
+        (row,) = tables.read_metrics(spark, out).collect()
+        assert (str(row["metric_date"]), row["total_logs"]) == ("2024-01-02", 24)
+    daily.write_report(spark, at("events"), at("report"), "2024-01-02", report_tz="Asia/Seoul")
+    assert spark.read.parquet(at("report/summary")).first()["total_records"] == 24
+
+
 def test_ingest_with_checkpoint_reads_each_file_once(spark, tmp_path):
     (tmp_path / "logs").mkdir()
 
