@@ -633,6 +633,13 @@ def _bus_stream(spark, sf_dir) -> DataFrame:
     return _messages(corpus.stream_lines(spark, sf_dir))
 
 
+def _state_partitions(spark):
+    """As many state partitions as the session shuffles with, but no more than cores."""
+    number = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 spark.sparkContext.defaultParallelism)
+    return live.state_partitions(spark, number)
+
+
 def _redelivered_bus(spark, sf_dir) -> DataFrame:
     """All messages, and those of 'error' events a second time."""
     again = corpus.stream_events(spark, sf_dir).filter(F.col("event_type") == "error")
@@ -665,16 +672,20 @@ def q_stream_dedup(spark, sf_dir):
     out = shared_dir(spark, "dedup")
     unique = live.deduplicated(live.stream_enrich(_redelivered_bus(spark, sf_dir)),
                                REPLAY_WATERMARK)
-    (unique.select("row_hash", "message").writeStream
-     .option("checkpointLocation", shared_dir(spark, "checkpoint"))
-     .trigger(availableNow=True).start(out, format="parquet").awaitTermination())
+    with _state_partitions(spark):
+        started = (unique.select("row_hash", "message").writeStream
+                   .option("checkpointLocation", shared_dir(spark, "checkpoint"))
+                   .trigger(availableNow=True).start(out, format="parquet"))
+    started.awaitTermination()
     return spark.read.parquet(out)
 
 
 def _alerts(spark, sf_dir, mode: str, watermark: str) -> DataFrame:
     root = shared_dir(spark, "live")
-    live.start_alerts(_bus_stream(spark, sf_dir), root, None, BF_WINDOW, BF_THRESHOLD,
-                      watermark, mode).awaitTermination()
+    with _state_partitions(spark):
+        started = live.start_alerts(_bus_stream(spark, sf_dir), root, None, BF_WINDOW,
+                                    BF_THRESHOLD, watermark, mode)
+    started.awaitTermination()
     return ntz(tables.read_alerts(spark, live.alerts_path(root)).drop("detected_at"))
 
 
@@ -689,13 +700,19 @@ def q_stream_bruteforce_final(spark, sf_dir):
     return _alerts(spark, sf_dir, "append", "1 minute")
 
 
+def _run_both(spark, sf_dir, root: str) -> None:
+    with _state_partitions(spark):
+        started = live.run_stream(_bus_stream(spark, sf_dir), root, None, window=BF_WINDOW,
+                                  threshold=BF_THRESHOLD, watermark=REPLAY_WATERMARK)
+    live.await_all(started)
+
+
 @query
 def q_checkpoint_restart(spark, sf_dir):
     """Stopped and started again: nothing lost, nothing twice."""
     root = shared_dir(spark, "live")
     for _ in range(2):
-        live.await_all(live.run_stream(_bus_stream(spark, sf_dir), root, None, window=BF_WINDOW,
-                                       threshold=BF_THRESHOLD, watermark=REPLAY_WATERMARK))
+        _run_both(spark, sf_dir, root)
     stored = tables.read_live_events(spark, live.events_path(root))
     return mt.total_logs(stored)
 
@@ -704,8 +721,7 @@ def q_checkpoint_restart(spark, sf_dir):
 def q_multi_query(spark, sf_dir):
     """Events and alerts side by side, from one bus definition."""
     root = shared_dir(spark, "live")
-    live.await_all(live.run_stream(_bus_stream(spark, sf_dir), root, None, window=BF_WINDOW,
-                                   threshold=BF_THRESHOLD, watermark=REPLAY_WATERMARK))
+    _run_both(spark, sf_dir, root)
     stored = tables.read_live_events(spark, live.events_path(root))
     per_day = mt.total_logs(stored)
     alerts = (tables.read_alerts(spark, live.alerts_path(root))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,6 +38,21 @@ def deduplicated(events: DataFrame, within: str) -> DataFrame:
             .dropDuplicatesWithinWatermark(["row_hash"]))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, number: int):
+    """Start stateful queries inside this block with ``number`` state partitions.
+
+    A query takes the setting over when it starts, and its checkpoint keeps it.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _start(df: DataFrame, name: str, root: str, mode: str, sink, trigger: str | None):
     writer = (df.writeStream.queryName(name).outputMode(mode).foreachBatch(sink)
               .option("checkpointLocation", f"{root}/{CHECKPOINTS}/{name}"))

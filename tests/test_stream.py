@@ -230,3 +230,13 @@ def test_messages_keep_key_and_times(spark):
     assert row["key"] == "1.0.0.1-00:00:10-0"
     assert '"@timestamp":"2024-01-01T00:00:10.000000Z"' in row["value"]
     assert '"event_time_kst_iso":"2024-01-01T09:00:10.000+09:00"' in row["value"]
+
+
+def test_state_partitions_are_taken_over_and_restored(spark, message_files, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with live.state_partitions(spark, 3):
+        query = live.start_alerts(one_by_one(spark, message_files(GROWING[0])),
+                                  str(tmp_path / "live"), None, threshold=1)
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
