@@ -30,6 +30,30 @@ from authwatch.llm.rolling import PrefixHash, find_blocks
 
 #: Symbols of one document that are cut into blocks at once.
 SEGMENT = 1 << 24
+#: Rivals under one anchor from which a group is split by content.
+SPLIT_FROM = 256
+#: Part of a window that an earlier one of the same task equals.
+KNOWN = -1
+
+
+def part_of(piece: bytes) -> int:
+    """The part of a large group that a window's content belongs to."""
+    return int.from_bytes(blake2b(piece, digest_size=4).digest())
+
+
+def known_runs(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(key, document, start, windows) of runs in a list of (key, document, window)."""
+    runs: list[list[int]] = []
+    for key, number, at in sorted(places, key=lambda x: x[1:]):
+        if runs and runs[-1][1] == number and at <= runs[-1][2] + runs[-1][3]:
+            runs[-1][3] = at + 1 - runs[-1][2]
+        else:
+            runs.append([key + at * 7919, number, at, 1])
+    return [tuple(run) for run in runs]
+
+
+def signed(value: int) -> int:
+    return (value + (1 << 63)) % (1 << 64) - (1 << 63)
 
 
 class Cutting(NamedTuple):
@@ -87,51 +111,66 @@ def _cut(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
             later |= at != at[leader]
         repeat = np.zeros(count, bool)
         repeat[order[later]] = True
-        # Repeats in a row become one run.
+        source = np.arange(count)
+        source[order] = order[leader]
+        # Repeats in a row, from one source in a row, become one run.
         joins = np.zeros(count, bool)
         joins[1:] = (repeat[1:] & repeat[:-1]
-                     & (blocks.document[1:] == blocks.document[:-1]))
+                     & (blocks.document[1:] == blocks.document[:-1])
+                     & (blocks.document[source[1:]] == blocks.document[source[:-1]])
+                     & (blocks.start[source[1:]] - blocks.start[1:]
+                        == blocks.start[source[:-1]] - blocks.start[:-1]))
         heads = np.flatnonzero(~joins)
         windows = np.add.reduceat(blocks.windows, heads)
         document, start, known = blocks.document[heads], blocks.start[heads], repeat[heads]
-        # A run needs no meeting with others: its key only spreads it.
+        source_document, source_start = blocks.document[source[heads]], blocks.start[source[heads]]
+        place = pa.array(start - bounds[document] + shift[document])
         yield pa.RecordBatch.from_arrays([
             pa.array(blocks.key[heads].view(np.int64)), pa.array(digest[heads]),
-            ids.take(pa.array(document)),
-            pa.array(start - bounds[document] + shift[document]),
-            pa.array(windows.astype(np.int32)), pa.array(known)],
-            ["key", "digest", "doc", "start", "windows", "known"])
+            ids.take(pa.array(document)), place, pa.array(windows.astype(np.int32)),
+            pa.array(known), ids.take(pa.array(source_document, mask=~known)),
+            pa.array(source_start - bounds[source_document] + shift[source_document],
+                     mask=~known)],
+            ["key", "digest", "doc", "start", "windows", "known", "source", "source_start"])
     return run
 
 
 def find_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting) -> DataFrame:
-    """Blocks that repeat or may: doc, start, windows, repeat, key, rivals.
+    """Blocks that repeat or may: doc, start, windows, repeat, key, rivals and where from.
 
-    ``repeat``: every window of the block also starts earlier. Otherwise the
+    ``repeat``: every window of the block also starts earlier, namely from
+    ``source_start`` on in the document ``source``. Otherwise the
     ``rivals`` blocks with the same anchor (and ``key``) include unequal ones,
     so single windows may start earlier.
     """
     kind = type_of(docs, id_col)
     blocks = map_batches(
         docs.select(id_col, text_col), _cut(cutting),
-        f"key long, digest long, doc {kind}, start long, windows int, known boolean")
+        f"key long, digest long, doc {kind}, start long, windows int, known boolean, "
+        f"source {kind}, source_start long")
     # Known runs meet nobody: a key of their own each keeps them out of the groups.
     blocks = blocks.withColumn("key", F.when(
         F.col("known"), F.xxhash64("doc", "start")).otherwise(F.col("key")))
     ordered = Window.partitionBy("key").orderBy("digest", "doc", "start")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    place = F.struct("doc", "start") if cutting.same_document else F.struct("doc")
+    place = F.struct("doc", "start")
+    earlier = (F.col("first") < place if cutting.same_document
+               else F.struct("first.doc") < F.struct("doc"))
     before = F.lag("digest").over(ordered)
     return (blocks
             .withColumn("lead", F.when(before.isNull() | (before != F.col("digest")), place))
             .withColumn("first", F.last("lead", ignorenulls=True).over(so_far))
-            .withColumn("repeat", F.col("known") | (F.col("first") < place))
+            .withColumn("repeat", F.col("known") | earlier)
             .withColumn("mixed", ~F.col("repeat") & (
                 F.min("digest").over(whole) != F.max("digest").over(whole)))
             .withColumn("rivals", F.count("*").over(whole))
             .filter("repeat or mixed")
-            .select("doc", "start", "windows", "repeat", "key", "rivals"))
+            .select("doc", "start", "windows", "repeat", "key", "rivals",
+                    F.when(F.col("known"), F.col("source")).otherwise(
+                        F.col("first.doc")).alias("source"),
+                    F.when(F.col("known"), F.col("source_start")).otherwise(
+                        F.col("first.start")).alias("source_start")))
 
 
 def by_document(ranges: DataFrame, *columns: str | Column) -> DataFrame:

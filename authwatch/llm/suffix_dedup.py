@@ -21,15 +21,15 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from authwatch.llm.batches import encoded, map_batches, type_of
-from authwatch.llm.repeats import Cutting, by_document, find_repeats
+from authwatch.llm.repeats import (
+    KNOWN, SPLIT_FROM, Cutting, by_document, find_repeats, known_runs, part_of, signed)
 from authwatch.llm.rolling import PrefixHash
 
-#: Rivals under one anchor from which a group is split by content.
-SPLIT_FROM = 256
 #: Windows that are sorted at once.
 SORT_WINDOWS = 1 << 17
 
@@ -137,32 +137,40 @@ def _starts_earlier_by_bytes(symbols, starts, bucket, width) -> np.ndarray:
 # -- the operator ------------------------------------------------------------
 
 def _contexts(width: int):
-    """The bytes of mixed blocks; blocks of large groups window by window."""
+    """The bytes of mixed blocks; windows of large groups one by one, copies within a batch known."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, ranges = batch.column(0), batch.column(2)
-        out: list[tuple] = []
-        owner: list[int] = []
-        seen: set[tuple[int, bytes]] = set()
-        for number, (text, spans) in enumerate(
-                zip(encoded(batch.column(1)), ranges.to_pylist(), strict=True)):
-            for span in sorted(spans, key=lambda x: x["start"]):
-                start, windows, key = span["start"], span["windows"], span["key"]
-                if span["rivals"] < SPLIT_FROM:
-                    piece = text[start:start + windows - 1 + width]
-                    if len(piece) >= width:
-                        out.append((key, 0, start, len(piece) - width + 1, piece))
-                        owner.append(number)
+        rows, single = [], []
+        for number, (text, spans) in enumerate(zip(
+                encoded(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
+            for span in spans:
+                start, key = span["start"], span["key"]
+                count = min(span["windows"], len(text) - width + 1 - start)
+                if count < 1:
                     continue
-                for at in range(start, start + windows):
-                    piece = text[at:at + width]
-                    if len(piece) == width:
-                        out.append((key, int.from_bytes(sha256(piece).digest()[:4]), at, 1,
-                                    piece))
-                        owner.append(number)
-        if out:
-            key, part, start, windows, piece = zip(*out, strict=True)
+                if span["rivals"] < SPLIT_FROM:
+                    rows.append((key, 0, number, start, count,
+                                 text[start:start + count - 1 + width]))
+                else:
+                    single += [(key, text[at:at + width], number, at)
+                               for at in range(start, start + count)]
+        ids = batch.column(0)
+        rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_pylist()
+        first: dict[tuple[int, bytes], tuple[int, int]] = {}
+        for key, piece, number, at in single:
+            place = (rank[number], at)
+            first[key, piece] = min(place, first.get((key, piece), place))
+        known = []
+        for key, piece, number, at in single:
+            if (rank[number], at) == first[key, piece]:
+                rows.append((key, part_of(piece), number, at, 1, piece))
+            else:
+                known.append((key, number, at))
+        rows += [(key, KNOWN, number, at, count, b"")
+                 for key, number, at, count in known_runs(known)]
+        if rows:
+            key, part, owner, start, windows, piece = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(part, pa.int64()),
+                [pa.array([signed(x) for x in key], pa.int64()), pa.array(part, pa.int64()),
                  ids.take(pa.array(owner)), pa.array(start, pa.int64()),
                  pa.array(windows, pa.int32()), pa.array(piece, pa.binary())],
                 ["key", "part", "doc", "start", "windows", "piece"])
@@ -173,26 +181,28 @@ def _sort_groups(width: int):
     """Runs of windows that start earlier within their (key, part)."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        pending = 0
+        pending, group = 0, None
         for batch in batches:
-            # Cut where a group ends, so that groups stay whole.
+            is_known = pc.equal(batch.column(1), KNOWN)
+            yield batch.filter(is_known).select(["doc", "start", "windows"])
+            batch = batch.filter(pc.invert(is_known))
+            if not batch.num_rows:
+                continue
             key, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             windows = np.cumsum(batch.column(4).to_numpy())
+            # Cut only where a group ends, so that groups stay whole.
             ends = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
-            done, counted = 0, 0
-            if held and batch.num_rows:
-                last = held[-1]
-                if (last.column(0)[-1].as_py(), last.column(1)[-1].as_py()) != (key[0], part[0]) \
-                        and pending >= SORT_WINDOWS:
-                    yield from _sorted(held, width)
-                    held, pending = [], 0
+            if pending >= SORT_WINDOWS and group != (key[0], part[0]):
+                yield from _sorted(held, width)
+                held, pending = [], 0
+            done = counted = 0
             for end in ends.tolist():
                 if pending + int(windows[end - 1]) - counted >= SORT_WINDOWS:
                     yield from _sorted([*held, batch.slice(done, end - done)], width)
                     held, pending, done, counted = [], 0, end, int(windows[end - 1])
-            if done < batch.num_rows:
-                held.append(batch.slice(done))
-                pending += int(windows[-1]) - counted
+            held.append(batch.slice(done))
+            pending += int(windows[-1]) - counted
+            group = (key[-1], part[-1])
         if held:
             yield from _sorted(held, width)
     return over
@@ -205,8 +215,7 @@ def _sorted(held: list[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     lengths = np.array([len(x) for x in pieces], np.int64)
     symbols = np.frombuffer(b"".join(pieces), np.uint8)
     begins = np.cumsum(lengths) - lengths
-    ids = table.column(2).combine_chunks()
-    ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+    ids = pa.concat_arrays(table.column(2).chunks)
     count = windows.astype(np.int64)
     row = np.repeat(np.arange(len(count)), count)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
