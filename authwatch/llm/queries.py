@@ -10,7 +10,7 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from authwatch.llm import suffix_dedup
+from authwatch.llm import substring_dedup, suffix_dedup
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
 
@@ -35,8 +35,13 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_earlier(documents(spark, sf_dir), width=100)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated(documents(spark, sf_dir), width=13)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
 }
 
 #: Queries that SQL can express over whole tables.
