@@ -31,7 +31,7 @@ from authwatch.llm.rolling import PrefixHash, find_blocks
 #: Symbols of one document that are cut into blocks at once.
 SEGMENT = 1 << 24
 #: Rivals under one anchor from which a group is split by content.
-SPLIT_FROM = 256
+SPLIT_FROM = 4096
 #: Part of a window that an earlier one of the same task equals.
 KNOWN = -1
 
@@ -63,6 +63,7 @@ class Cutting(NamedTuple):
     width: int
     k: int
     same_document: bool  # does an earlier window of the same document count
+    sources: bool  # runs keep to one source, so that source columns hold for all of a run
 
 
 def segments(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,13 +114,14 @@ def _cut(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
         repeat[order[later]] = True
         source = np.arange(count)
         source[order] = order[leader]
-        # Repeats in a row, from one source in a row, become one run.
+        # Repeats in a row become one run.
         joins = np.zeros(count, bool)
         joins[1:] = (repeat[1:] & repeat[:-1]
-                     & (blocks.document[1:] == blocks.document[:-1])
-                     & (blocks.document[source[1:]] == blocks.document[source[:-1]])
-                     & (blocks.start[source[1:]] - blocks.start[1:]
-                        == blocks.start[source[:-1]] - blocks.start[:-1]))
+                     & (blocks.document[1:] == blocks.document[:-1]))
+        if cutting.sources:
+            shifts = blocks.start[source] - blocks.start
+            joins[1:] &= ((blocks.document[source[1:]] == blocks.document[source[:-1]])
+                          & (shifts[1:] == shifts[:-1]))
         heads = np.flatnonzero(~joins)
         windows = np.add.reduceat(blocks.windows, heads)
         document, start, known = blocks.document[heads], blocks.start[heads], repeat[heads]

@@ -279,7 +279,7 @@ def earlier_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    width: int = 100, k: int = 24) -> DataFrame:
     """Runs of ``windows`` byte strings from ``start`` on that also start earlier."""
     kind = type_of(docs, id_col)
-    found = find_repeats(docs, id_col, text_col, Cutting(byte_symbols, width, k, True))
+    found = find_repeats(docs, id_col, text_col, Cutting(byte_symbols, width, k, True, False))
     mixed = by_document(found.filter(~F.col("repeat")), "start", "windows", "key", "rivals")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     pieces = map_batches(
