@@ -3,9 +3,11 @@
 Nodes are runs of ``width - 1`` words and every window of ``width`` words is an
 edge. A block of ``repeats`` is a path without branches inside one document, so
 edges never travel one by one. Repeated paths that follow each other, in the
-document and in its source, are compacted by joins into maximal paths, and the
-source coordinates verify that such a path is one contiguous span of the
-source. Edges of blocks that only share an anchor are looked up word by word.
+document and in its source, compact into maximal paths, and the source
+coordinates verify that such a path is one contiguous span of the source. Paths
+meet their sources and their neighbours by key in windows of one shuffle each;
+joins of paths with themselves moved more than the input four times over. Edges
+of blocks that only share an anchor are looked up word by word.
 
 A null text has no words; null ids count as the smallest. Documents shorter
 than ``width`` words keep all. Rows with equal ids are versions of one
@@ -33,32 +35,20 @@ from authwatch.llm.words import word_symbols
 def compact(paths: DataFrame) -> DataFrame:
     """Maximal paths: doc, start, windows, source, source_start.
 
-    ``paths`` has the same columns. A path that nothing precedes is a head, one
-    that nothing follows a tail; along one diagonal (document, source, shift)
-    the n-th head belongs to the n-th tail.
+    ``paths`` has the same columns. Along one diagonal (document, source, shift)
+    a path continues the one before if it starts where that one stops, so each
+    meets its neighbour in order of place: one shuffle by document.
     """
-    on = ["doc_key", "source_key", "shift"]
-    pieces = paths.select(
-        "doc", "source", "start", (F.col("start") + F.col("windows")).alias("stop"),
-        # Struct keys, so that null ids meet each other.
-        F.struct("doc").alias("doc_key"), F.struct("source").alias("source_key"),
-        (F.col("start") - F.col("source_start")).alias("shift")).distinct()
-    ends = pieces.select(*on, F.col("stop").alias("start"))
-    begins = pieces.select(*on, F.col("start").alias("stop"))
-    along = Window.partitionBy(*on)
-    heads = (pieces.join(ends, [*on, "start"], "left_anti")
-             .withColumn("n", F.row_number().over(along.orderBy("start"))))
-    tails = (pieces.join(begins, [*on, "stop"], "left_anti")
-             .withColumn("n", F.row_number().over(along.orderBy("stop"))))
-    # Versions of one document may fork; outer, so that none of their ends is lost.
-    whole = (heads.withColumnRenamed("stop", "head_stop")
-             .join(tails.withColumnRenamed("start", "tail_start").drop("doc", "source"),
-                   [*on, "n"], "full_outer")
-             .withColumn("start", F.coalesce("start", "tail_start"))
-             .withColumn("stop", F.coalesce("stop", "head_stop"))
-             .withColumn("doc", F.col("doc_key.doc"))
-             .withColumn("source", F.col("source_key.source")))
-    return (whole
+    along = Window.partitionBy("doc", "source", "shift").orderBy("start", "stop")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    return (paths.repartition("doc").select(
+                "doc", "source", "start", (F.col("start") + F.col("windows")).alias("stop"),
+                (F.col("start") - F.col("source_start")).alias("shift"))
+            .withColumn("reached", F.max("stop").over(before))
+            .withColumn("head", F.when(F.col("reached") >= F.col("start"), 0).otherwise(1))
+            .withColumn("path", F.sum("head").over(along))
+            .groupBy("doc", "source", "shift", "path")
+            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
             .select("doc", "start", (F.col("stop") - F.col("start")).cast("int").alias("windows"),
                     "source", (F.col("start") - F.col("shift")).alias("source_start")))
 
@@ -141,9 +131,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    width: int = 13, k: int = 4) -> tuple[DataFrame, DataFrame]:
     """Compacted paths with their sources, and the single edges beside them."""
     kind = type_of(docs, id_col)
-    found = find_repeats(docs, id_col, text_col, Cutting(word_symbols, width, k, False))
+    found = find_repeats(docs, id_col, text_col, Cutting(word_symbols, width, k, False, True))
     paths = compact(found.filter("repeat"))
-    mixed = by_document(found.filter(~F.col("repeat")), "start", "windows", "key", "rivals")
+    # With the sources, so that both branches read one shuffle of blocks.
+    mixed = by_document(found.filter(~F.col("repeat")), "start", "windows", "key", "rivals",
+                        "source", "source_start")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     pieces = map_batches(
         texts.join(mixed, F.col("id").eqNullSafe(F.col("doc"))).select("id", "text", "ranges"),
