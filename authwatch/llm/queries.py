@@ -7,10 +7,12 @@ import shutil
 import tempfile
 import weakref
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from authwatch.llm import substring_dedup, suffix_dedup
+from authwatch.llm import (
+    bpe_stream, exact_dedup, packing, quality_rules, substring_dedup, suffix_dedup, token_counts)
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
 
@@ -35,14 +37,43 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_earlier(documents(spark, sf_dir), width=100)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.mark_copies(documents(spark, sf_dir))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated(documents(spark, sf_dir), width=13)
 
 
-QUERIES = {
-    "op1_suffix_dedup": op1_suffix_dedup,
-    "op6_substring_dedup": op6_substring_dedup,
-}
+def op7_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.round_trip(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _shipped(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
+QUERIES = {query.__name__: _shipped(query) for query in (
+    op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_packing, op5_quality_rules,
+    op6_substring_dedup, op7_bpe_stream)}
 
 #: Queries that SQL can express over whole tables.
 ORACLES: dict[str, str] = {}
