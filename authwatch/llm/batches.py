@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Bytes of text that are handled at once; a longer text forms a batch alone.
 BATCH_BYTES = 4 << 20
@@ -47,20 +47,31 @@ def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def keep_table(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """URI of ``spark.checkpoint.dir``, the folder that all executors share.
 
-    The folder is ``spark.checkpoint.dir``; only where it is unset and the
-    master is local, a temporary folder is used.
+    Only where it is unset and the master is local, a temporary folder is used.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="llm-"))
-    return df.checkpoint(eager=True)
+    context = spark.sparkContext
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isDefined():
+        return known.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="llm-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """URI of a new folder below the shared one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    uri = path.toString()
+    return uri if "://" in uri else "file://" + uri.removeprefix("file:")
 
-def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet").select(*map(F.col, columns))
+
+def keep_table(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the folder that all executors share."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
