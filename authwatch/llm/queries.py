@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from authwatch.llm import (
-    bpe_stream, exact_dedup, packing, quality_classifier, quality_rules, substring_dedup,
+    bpe_stream, exact_dedup, jaccard_trie, packing, quality_classifier, quality_rules, substring_dedup,
     suffix_dedup, token_counts, warc_zip)
 from authwatch.llm.batches import new_folder
 
@@ -71,6 +71,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_trie.link_documents(documents(spark, sf_dir))
+
+
 def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc_zip.round_trip(pages, new_folder(spark, "archives"))
@@ -85,7 +89,8 @@ def _shipped(query):
 
 QUERIES = {query.__name__: _shipped(query) for query in (
     op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_packing, op5_quality_rules,
-    op6_substring_dedup, op7_bpe_stream, op8_quality_classifier, op10_warc_zip)}
+    op6_substring_dedup, op7_bpe_stream, op8_quality_classifier, op9_jaccard_trie,
+    op10_warc_zip)}
 
 #: Queries that SQL can express over whole tables.
 ORACLES: dict[str, str] = {}

@@ -162,32 +162,43 @@ def kept_words(text: bytes, spans, width: int) -> tuple[int, int, list[bytes]]:
 def _remove(width: int, with_text: bool):
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
-        for text, spans in zip(encoded(batch.column(1)), batch.column(2).to_pylist(),
-                               strict=True):
+        texts = encoded(batch.column(1))
+        for text, spans in zip(texts, batch.column(2).to_pylist(), strict=True):
             count, removed, kept = kept_words(text, spans or (), width)
             joined = b" ".join(kept)
-            rows.append((count, removed, sha256(joined).hexdigest(),
-                         joined if with_text else b""))
+            rows.append((count, removed, sha256(joined).hexdigest(), joined))
         count, removed, digest, joined = zip(*rows, strict=True)
         out = [batch.column(0), pa.array(count, pa.int64()), pa.array(removed, pa.int64()),
                pa.array(digest)]
         names = ["doc", "n_words", "n_removed", "kept_sha256"]
         if with_text:
-            out.append(pa.array(joined, pa.binary()).cast(pa.string()))
-            names.append("kept_text")
+            # A text that loses nothing stays as it is.
+            stays = [new if lost else old
+                     for old, new, lost in zip(texts, joined, removed, strict=True)]
+            out += [pa.array(stays, pa.binary()).cast(pa.string()), batch.column(3)]
+            names += ["kept_text", "carried"]
         yield pa.RecordBatch.from_arrays(out, names)
     return run
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    width: int = 13, k: int = 4, with_text: bool = False) -> DataFrame:
-    """Per document: id, n_words, n_removed, kept_sha256 and, if asked for, kept_text."""
+                    width: int = 13, k: int = 4,
+                    with_text: tuple[str, ...] | None = None) -> DataFrame:
+    """Per document: id, n_words, n_removed and kept_sha256.
+
+    ``with_text`` names other columns: then kept_text and a struct ``carried`` of
+    those columns follow.
+    """
     paths, edges = repeated_spans(docs, id_col, text_col, width, k)
     ranges = by_document(paths.select("doc", "start", "windows").unionByName(edges),
                          "start", "windows")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                        *([] if with_text is None else [F.struct(*with_text).alias("carried")]))
     joined = texts.join(ranges, F.col("id").eqNullSafe(F.col("doc")), "left")
-    schema = (f"doc {type_of(docs, id_col)}, n_words long, n_removed long, kept_sha256 string"
-              + ", kept_text string" * with_text)
-    return map_batches(joined.select("id", "text", "ranges"), _remove(width, with_text),
+    schema = f"doc {type_of(docs, id_col)}, n_words long, n_removed long, kept_sha256 string"
+    columns = ["id", "text", "ranges"]
+    if with_text is not None:
+        schema += f", kept_text string, carried {type_of(texts, 'carried')}"
+        columns.append("carried")
+    return map_batches(joined.select(*columns), _remove(width, with_text is not None),
                        schema).withColumnRenamed("doc", id_col)
