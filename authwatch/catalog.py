@@ -27,6 +27,8 @@ QUERIES = {}
 # The one day that single-day operators are shown on, and a two-week range.
 DAY = "2024-01-15"
 DAY_FROM, DAY_TO = "2024-01-08", "2024-01-21"
+# A day without events.
+ABSENT_DAY = "2024-03-01"
 
 # Brute-force parameters that find something on the sparse corpus.
 BF_WINDOW, BF_THRESHOLD = "1 hour", 3
@@ -63,8 +65,11 @@ def log_files(spark, sf_dir) -> str:
 
 @query
 def q_read_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = logs.read_logs(spark, f"{log_files(spark, sf_dir)}/file_name=ssh-*.log")
-    return ps.source_file_name(read).select("source_file", "message")
+    folder = log_files(spark, sf_dir)
+    read = logs.read_logs(spark, f"{folder}/file_name=ssh-*.log")
+    return ps.source_file_name(read).select(
+        F.expr(f"substr(source_path, {len(folder) + 2})").alias("source_path"),
+        "source_file", "message")
 
 
 @query
@@ -151,7 +156,19 @@ def q_write_daily_metrics(spark, sf_dir):
 
 @query
 def q_alert_sink(spark, sf_dir):
-    return _alerts(spark, sf_dir, "update", REPLAY_WATERMARK)
+    """The texts that are delivered, the last one per window and address."""
+    root, sent = shared_dir(spark, "live"), shared_dir(spark, "sent")
+
+    def deliver(alerts, batch_id):
+        alerts.write.mode("overwrite").parquet(f"{sent}/batch={batch_id}")
+
+    with _state_partitions(spark):
+        started = live.start_alerts(_bus_stream(spark, sf_dir), root, None, BF_WINDOW,
+                                    BF_THRESHOLD, REPLAY_WATERMARK, deliver=deliver)
+    started.awaitTermination()
+    last = F.max_by("body_line", "fail_cnt")
+    return ntz(spark.read.parquet(sent).groupBy("window_start", "ip").agg(
+        F.regexp_replace(last, "  detected: .*", "").alias("body_line")))
 
 
 @query
@@ -169,25 +186,42 @@ def q_enforce_event_schema(spark, sf_dir):
 
 @query
 def q_split_by_date(spark, sf_dir):
-    out = log_files(spark, sf_dir)
+    """Lines without a day, and with an impossible one, have their files, too."""
+    out = shared_dir(spark, "ssh-files")
+    sp.split_by_date(corpus.with_broken_lines(lines(spark, sf_dir)), corpus.YEAR, out)
     return sp.split_counts(spark.read.text(out).withColumnRenamed("value", "message"))
 
 
 @query
 def q_split_by_date_capped(spark, sf_dir):
-    capped = sp.capped_lines(lines(spark, sf_dir), corpus.YEAR, order=("event_id",))
+    capped = sp.capped_lines(lines(spark, sf_dir), corpus.YEAR, 100, order=("event_id",))
     return capped.select("file_name", "event_id", "message")
 
 
 @query
 def q_split_counts(spark, sf_dir):
     return sp.split_counts(
-        sp.capped_lines(lines(spark, sf_dir), corpus.YEAR, order=("event_id",)))
+        sp.capped_lines(lines(spark, sf_dir), corpus.YEAR, 100, order=("event_id",)))
+
+
+@query
+def q_split_left_out(spark, sf_dir):
+    return sp.split_left_out(sp.dated_lines(lines(spark, sf_dir), corpus.YEAR), 100)
+
+
+# Fewer than the events of any scale, so that the dump is cut.
+DUMP_ROWS = 500
 
 
 @query
 def q_capped_dump(spark, sf_dir):
-    return ntz(sp.capped_dump(events(spark, sf_dir)).select("row_hash", "event_time", "message"))
+    return ntz(sp.capped_dump(events(spark, sf_dir), DUMP_ROWS).select(
+        "row_hash", "event_time", "message"))
+
+
+@query
+def q_dump_counts(spark, sf_dir):
+    return sp.dump_counts(events(spark, sf_dir), DUMP_ROWS)
 
 
 # --- parsing ---------------------------------------------------------------
@@ -206,7 +240,8 @@ def q_source_file_name(spark, sf_dir):
 
 @query
 def q_parse_syslog_time(spark, sf_dir):
-    return ps.parse_syslog_time(lines(spark, sf_dir)).select("event_id", "log_time")
+    return ps.parse_syslog_time(corpus.with_broken_lines(lines(spark, sf_dir))).select(
+        "event_id", "log_time")
 
 
 @query
@@ -441,7 +476,10 @@ def q_unique_ips_null_counts(spark, sf_dir):
 
 @query
 def q_unique_sources(spark, sf_dir):
-    return mt.unique_sources(events(spark, sf_dir), "user")
+    """Every third host writes a file of its own."""
+    spread = events(spark, sf_dir).withColumn("source_file", F.concat(
+        "source_file", F.lit("-"), F.crc32(F.col("message").cast("binary")) % 3))
+    return mt.unique_sources(spread)
 
 
 @query
@@ -459,19 +497,28 @@ def q_ip_counts(spark, sf_dir):
     return mt.ip_counts(events(spark, sf_dir))
 
 
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """Rows with their place: a few aggregated rows, numbered where the sort left them."""
+    return ordered.coalesce(1).withColumn("rank", (F.monotonically_increasing_id() + 1).cast("int"))
+
+
 @query
 def q_order_by_count(spark, sf_dir):
-    return mt.order_by_count(mt.ip_counts(events(spark, sf_dir)), "cnt", "metric_date", "ip")
+    """The place of each row in the sorted output."""
+    ordered = mt.order_by_count(mt.ip_counts(events(spark, sf_dir)), "cnt", "metric_date", "ip")
+    return _numbered(ordered)
 
 
 @query
 def q_top_k(spark, sf_dir):
-    return mt.top_k(mt.hourly_counts(events(spark, sf_dir)), 3, "cnt", "metric_date", "hour")
+    return _numbered(
+        mt.top_k(mt.hourly_counts(events(spark, sf_dir)), 3, "cnt", "metric_date", "hour"))
 
 
 @query
 def q_untimed_counts(spark, sf_dir):
-    return mt.untimed_counts(events(spark, sf_dir))
+    broken = corpus.with_broken_lines(lines(spark, sf_dir))
+    return mt.untimed_counts(corpus.log_events(broken))
 
 
 @query
@@ -623,7 +670,11 @@ def q_daily_report(spark, sf_dir):
 
 @query
 def q_email_report_rows(spark, sf_dir):
-    return rp.email_report_rows(mt.daily_metrics(events(spark, sf_dir)))
+    """The mail of every day, and of one that has no metrics."""
+    metrics = mt.daily_metrics(events(spark, sf_dir))
+    absent = spark.range(1).select(F.lit(ABSENT_DAY).cast("date").alias("metric_date"))
+    days = metrics.select("metric_date").unionByName(absent)
+    return rp.email_report_rows(days.join(metrics, "metric_date", "left"))
 
 
 # --- streaming -------------------------------------------------------------
@@ -633,9 +684,9 @@ def _bus_stream(spark, sf_dir) -> DataFrame:
     return _messages(corpus.stream_lines(spark, sf_dir))
 
 
-def _state_partitions(spark):
+def _state_partitions(spark, number: int | None = None):
     """As many state partitions as the session shuffles with, but no more than cores."""
-    number = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+    number = number or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                  spark.sparkContext.defaultParallelism)
     return live.state_partitions(spark, number)
 
@@ -680,11 +731,13 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-def _alerts(spark, sf_dir, mode: str, watermark: str) -> DataFrame:
+def _alerts(spark, sf_dir, mode: str, watermark: str, source: DataFrame | None = None,
+            partitions: int | None = None) -> DataFrame:
     root = shared_dir(spark, "live")
-    with _state_partitions(spark):
-        started = live.start_alerts(_bus_stream(spark, sf_dir), root, None, BF_WINDOW,
-                                    BF_THRESHOLD, watermark, mode)
+    if source is None:
+        source = _bus_stream(spark, sf_dir)
+    with _state_partitions(spark, partitions):
+        started = live.start_alerts(source, root, None, BF_WINDOW, BF_THRESHOLD, watermark, mode)
     started.awaitTermination()
     return ntz(tables.read_alerts(spark, live.alerts_path(root)).drop("detected_at"))
 
@@ -696,8 +749,83 @@ def q_stream_bruteforce(spark, sf_dir):
 
 @query
 def q_stream_bruteforce_final(spark, sf_dir):
-    """Only windows that the watermark has closed; the newest stay open."""
-    return _alerts(spark, sf_dir, "append", "1 minute")
+    """Only windows that the watermark has closed; the newest stay open.
+
+    The last failure comes three times more, so the open window has enough.
+    """
+    failed = corpus.stream_events(spark, sf_dir).filter("event_type = 'error'")
+    at_end = (spark.read.schema(corpus.EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+              .filter("event_type = 'error' and event_id % 7 <> 0").agg(F.max("ts").alias("ts")))
+    last = failed.join(F.broadcast(at_end), "ts").select(failed.columns)
+    bus_again = _messages(corpus.render(last.select(
+        F.explode(F.array(*[F.struct(*[F.col(c) for c in last.columns])] * 3)).alias("e"))
+        .select("e.*")))
+    return _alerts(spark, sf_dir, "append", "1 minute",
+                   _bus_stream(spark, sf_dir).unionByName(bus_again))
+
+
+@query
+def q_keyless_events(spark, sf_dir):
+    """Alerts count messages without a key, and the table stores them under a computed one."""
+    keyless = _bus_stream(spark, sf_dir).withColumn("value", F.when(
+        F.crc32(F.col("key").cast("binary")) % 3 == 0,
+        F.regexp_replace("value", '"row_hash":"[^"]*",', "")).otherwise(F.col("value")))
+    root = shared_dir(spark, "live")
+    live.start_events(keyless, root, trigger=None).awaitTermination()
+    stored = tables.read_live_events(spark, live.events_path(root))
+    per_day = mt.total_logs(stored).withColumnRenamed("total_logs", "keys")
+    alerts = (_alerts(spark, sf_dir, "update", REPLAY_WATERMARK, keyless)
+              .groupBy(F.to_date("window_start").alias("metric_date"))
+              .agg(F.sum("fail_cnt").alias("failures")))
+    return per_day.join(alerts, "metric_date", "left").select(
+        "metric_date", "keys", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"))
+
+
+@query
+def q_numeric_times(spark, sf_dir):
+    """Messages whose times are epoch milliseconds, or seconds."""
+    wanted = lines(spark, sf_dir).select(
+        F.to_json(F.struct(
+            F.when(F.col("event_id") % 2 == 0, F.unix_millis(F.col("ts").cast("timestamp")))
+            .otherwise(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("event_time"),
+            F.col("event_id").cast("string").alias("row_hash"), "message")).alias("value"))
+    return ntz(en.decode_event_json(wanted).select("row_hash", "event_time", "message"))
+
+
+# Files per slice of a bus that comes in a fixed order.
+SLICE_FILES = 4
+
+
+def _sliced_bus(spark, *slices: DataFrame) -> DataFrame:
+    """Messages of the slices, one slice per micro-batch, in order."""
+    stored = shared_dir(spark, "bus")
+    for rows in slices:
+        bus.store_messages(_messages(rows).repartition(SLICE_FILES, "key").sortWithinPartitions(
+            "key"), stored)
+    return bus.replay_bus(spark, stored, SLICE_FILES)
+
+
+@query
+def q_late_data(spark, sf_dir):
+    """Every tenth event of the first half comes two batches after the clock has moved on."""
+    rows, half = lines(spark, sf_dir), F.col("ts") < F.lit(DAY).cast("timestamp_ntz")
+    late = half & (F.col("event_id") % 10 == 0)
+    second = rows.filter(~half)
+    return _alerts(spark, sf_dir, "update", "1 minute", _sliced_bus(
+        spark, rows.filter(half & ~late), second.filter("event_id % 2 = 0"),
+        second.filter("event_id % 2 = 1"), rows.filter(late)), SLICE_FILES)
+
+
+@query
+def q_rate_limit(spark, sf_dir):
+    """Micro-batches of a limited number of files: how many, and what they hold in all."""
+    source = _sliced_bus(spark, *[lines(spark, sf_dir).filter(F.col("event_id") % 3 == n)
+                                  for n in range(3)])
+    root = shared_dir(spark, "live")
+    query = live.start_events(source, root, trigger=None)
+    query.awaitTermination()
+    stored = spark.read.parquet(live.events_path(root))
+    return stored.agg(F.count_distinct("batch").alias("batches"), F.count("*").alias("total_logs"))
 
 
 def _run_both(spark, sf_dir, root: str) -> None:
@@ -709,12 +837,23 @@ def _run_both(spark, sf_dir, root: str) -> None:
 
 @query
 def q_checkpoint_restart(spark, sf_dir):
-    """Stopped and started again: nothing lost, nothing twice."""
-    root = shared_dir(spark, "live")
-    for _ in range(2):
-        _run_both(spark, sf_dir, root)
-    stored = tables.read_live_events(spark, live.events_path(root))
-    return mt.total_logs(stored)
+    """Stopped, more arrives, started again: nothing lost, nothing twice."""
+    root, stored = shared_dir(spark, "live"), shared_dir(spark, "bus")
+    for part in (0, 1):
+        arrived = lines(spark, sf_dir).filter(F.col("event_id") % 2 == part)
+        bus.store_messages(_messages(arrived), stored)
+        for _ in range(1 + part):
+            with _state_partitions(spark):
+                started = live.run_stream(
+                    bus.replay_bus(spark, stored), root, None, window=BF_WINDOW,
+                    threshold=BF_THRESHOLD, watermark=REPLAY_WATERMARK)
+            live.await_all(started)
+    per_day = spark.read.parquet(live.events_path(root)).groupBy(
+        F.col("event_date").alias("metric_date")).agg(F.count("*").alias("total_logs"))
+    alerts = tables.read_alerts(spark, live.alerts_path(root)).groupBy(
+        F.to_date("window_start").alias("metric_date")).agg(F.sum("fail_cnt").alias("failures"))
+    return per_day.join(alerts, "metric_date", "left").select(
+        "metric_date", "total_logs", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures"))
 
 
 @query

@@ -62,6 +62,16 @@ def render(events: DataFrame) -> DataFrame:
         F.expr(LINE.format(body=BODY.format(S="STRING"))).alias("message"))
 
 
+#: Lines that a log file may also hold: no header, an impossible date, a cut line.
+#: ``{S}`` is not needed; the text is the same in both engines.
+BROKEN = """CASE event_id % 50 WHEN 0 THEN 'no header here' WHEN 1 THEN 'Feb 30' || substr(message, 7)
+ WHEN 2 THEN substr(message, 1, 6) ELSE message END"""
+
+
+def with_broken_lines(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("message", F.expr(BROKEN))
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet"))
 

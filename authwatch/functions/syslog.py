@@ -32,8 +32,13 @@ def syslog_time(message: Column) -> Column:
     return blank_to_null(F.regexp_extract(message, TIME_PATTERN, 1))
 
 
-def header_part(message: Column, group: int) -> Column:
-    return blank_to_null(F.regexp_extract(message, HEADER_PATTERN, group))
+def header_parts(message: Column) -> Column:
+    """Groups of the header as an array, from one match; NULL if the line has none.
+
+    The groups are set apart by a character that no log line holds.
+    """
+    apart = F.regexp_replace(message, HEADER_PATTERN, "$1\u0001$2\u0001$3\u0001$4\u0001$5")
+    return F.when(F.contains(apart, F.lit("\u0001")), F.split(apart, "\u0001"))
 
 
 def month_number(name: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 import argparse
 import os
 
+from authwatch.operators import split
 from authwatch.plans import daily, ingest
 from authwatch.session import build_session
-from authwatch.sources import bus, tables
+from authwatch.sources import bus, logs, tables
 from authwatch.streaming import live
 
 
@@ -24,6 +25,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", help="store messages as files instead")
     job.add_argument("--checkpoint", help="remember finished files; later runs read new ones only")
     job.add_argument("--trigger", help="with --checkpoint: keep running at this interval")
+    job.add_argument("--max-files", type=int, help="with --checkpoint: files per micro-batch")
+    job.add_argument("--archive", help="with --checkpoint: move finished files to this folder")
 
     job = jobs.add_parser("live", help="bus -> events table and alerts, endless")
     job.add_argument("--root", required=True)
@@ -32,7 +35,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--replay", help="folder of stored messages")
     job.add_argument("--drain", action="store_true", help="stop when the input is used up")
     job.add_argument("--trigger", default="5 seconds")
-    job.add_argument("--max-per-trigger", type=int)
+    job.add_argument("--max-per-trigger", type=int,
+                     help="messages per micro-batch; of a replay, files (default 10000 messages)")
     job.add_argument("--files", type=int, help="event files per micro-batch and day")
     job.add_argument("--threshold", type=int, default=int(os.getenv("BF_THRESHOLD", "60")))
     job.add_argument("--window-min", type=int, default=int(os.getenv("BF_WINDOW_MIN", "1")))
@@ -43,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--from", dest="day_from")
     job.add_argument("--to", dest="day_to")
 
+    job.add_argument("--keep-live", action="store_true", help="do not remove merged live batches")
+
     job = jobs.add_parser("metrics", help="daily metrics of a day or of all days")
     job.add_argument("--events", required=True)
     job.add_argument("--out", required=True)
@@ -58,15 +64,27 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--from", dest="day_from", required=True)
     job.add_argument("--to", dest="day_to")
     job.add_argument("--report-tz", default="UTC")
+    job.add_argument("--live", help="root of the stream; settle the days first")
+
+    job = jobs.add_parser("mail", help="rows of the daily mail")
+    job.add_argument("--metrics", required=True)
+    job.add_argument("--date", help="YYYY-MM-DD, default yesterday (UTC)")
+    job.add_argument("--out", help="write the rows as JSON here instead of printing them")
+
+    job = jobs.add_parser("split", help="log files -> one file per day")
+    job.add_argument("--logs", required=True, help="glob of log files")
+    job.add_argument("--year", required=True)
+    job.add_argument("--out", required=True)
+    job.add_argument("--max-rows", type=int, help="lines per day at most; prints what is left out")
     return top
 
 
 def run_live(spark, args) -> None:
     if args.servers:
         source = bus.read_bus(spark, bus.bus_options(
-            args.servers, args.topic, max_per_trigger=args.max_per_trigger))
+            args.servers, args.topic, max_per_trigger=args.max_per_trigger or 10_000))
     else:
-        source = bus.replay_bus(spark, args.replay)
+        source = bus.replay_bus(spark, args.replay, args.max_per_trigger)
     minutes = f"{args.window_min} minutes"
     queries = live.run_stream(source, args.root, None if args.drain else args.trigger,
                               args.files, window=minutes, watermark=minutes, threshold=args.threshold)
@@ -78,7 +96,9 @@ def run_live(spark, args) -> None:
 
 def run_ingest(spark, args) -> None:
     if args.checkpoint:
-        stream = ingest.file_message_stream(spark, args.logs, args.host, log_tz=args.log_tz)
+        stream = ingest.file_message_stream(
+            spark, args.logs, args.host, log_tz=args.log_tz, max_files=args.max_files,
+            archive=args.archive)
         ingest.start_ingest(stream, args.checkpoint, args.servers, args.topic, args.out,
                             args.trigger).awaitTermination()
         return
@@ -89,6 +109,24 @@ def run_ingest(spark, args) -> None:
         bus.store_messages(messages, args.out)
 
 
+def run_mail(spark, args) -> None:
+    rows = daily.mail_rows(spark, args.metrics, args.date)
+    if args.out:
+        rows.write.mode("overwrite").json(args.out)
+    else:
+        rows.orderBy("section", "position").show(100, truncate=False)
+
+
+def run_split(spark, args) -> None:
+    lines = logs.read_logs(spark, args.logs)
+    if args.max_rows is None:
+        split.split_by_date(lines, args.year, args.out)
+        return
+    split.split_by_date_capped(lines, args.year, args.out, args.max_rows)
+    left_out = split.split_left_out(split.dated_lines(lines, args.year), args.max_rows)
+    left_out.filter("n_left_out > 0").orderBy("file_name").show(1000, truncate=False)
+
+
 def main(argv=None, spark=None) -> None:
     args = parser().parse_args(argv)
     spark = spark or build_session(f"authwatch-{args.job}")
@@ -98,14 +136,18 @@ def main(argv=None, spark=None) -> None:
         run_live(spark, args)
     elif args.job == "settle":
         tables.settle_days(spark, live.events_path(args.root), args.events,
-                           args.day_from, args.day_to)
+                           args.day_from, args.day_to, retire=not args.keep_live)
     elif args.job == "metrics":
         options = {"threshold": args.threshold, "report_tz": args.report_tz}
+        source = live.events_path(args.live) if args.live else None
         if args.all:
-            daily.backfill_metrics(spark, args.events, args.out, **options)
+            daily.backfill_metrics(spark, args.events, args.out, live=source, **options)
         else:
-            source = live.events_path(args.live) if args.live else None
             daily.run_daily_metrics(spark, args.events, args.out, args.date, source, **options)
     elif args.job == "report":
         daily.write_report(spark, args.events, args.out, args.day_from, args.day_to,
-                           args.report_tz)
+                           args.report_tz, live.events_path(args.live) if args.live else None)
+    elif args.job == "mail":
+        run_mail(spark, args)
+    elif args.job == "split":
+        run_split(spark, args)

@@ -2,48 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from authwatch.functions import classify
-from authwatch.schema import BUS_EVENT, ENRICHED, LOG_EVENT
+from authwatch.schema import BUS_EVENT, BUS_TIMES, ENRICHED, LOG_EVENT
 
 
-def _decoded(df: DataFrame, schema: T.StructType, keep) -> DataFrame:
-    """``_raw`` and the event columns of the messages that satisfy ``keep``.
+CORRUPT = "_corrupt_record"
 
-    The event is the output of a generator. Filters on it, also those of later
-    steps, therefore stay above it, and each message is parsed exactly once;
-    through a projection Catalyst would copy ``from_json`` into every filter.
+
+def _decoded(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``_raw``, the event columns, and the text of messages that are no JSON.
+
+    The event is the output of a generator. Filters, also those of later steps,
+    therefore stay above it, and each message is parsed exactly once; through a
+    projection Catalyst would copy ``from_json`` into every filter.
     """
     raw = df.select(F.col("value").cast("string").alias("_raw"))
-    event = F.filter(F.array(F.from_json("_raw", schema)), keep)
-    out = raw.select("_raw", F.inline(event))
-    return out.withColumnRenamed("@timestamp", "ingest_time")
+    wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    event = F.from_json("_raw", wanted, {"columnNameOfCorruptRecord": CORRUPT})
+    return raw.select("_raw", F.inline(F.array(event)))
 
 
 def decode_event_json(df: DataFrame, schema: T.StructType = BUS_EVENT,
                       keep_malformed: bool = False, corrupt_col: str | None = None) -> DataFrame:
     """Decode the ``value`` column into event columns.
 
-    A message without a usable key cannot be stored under one. By default it
-    is left to :func:`malformed_events`; ``keep_malformed`` passes it on as an
-    event whose fields are all NULL, and ``corrupt_col`` adds its text.
+    A message that is no JSON is left to :func:`malformed_events`;
+    ``keep_malformed`` passes it on as an event whose fields are all NULL, and
+    ``corrupt_col`` adds its text. A readable message without a key is an event
+    like others. Times may be text or epoch numbers. A narrow ``schema`` parses
+    only its fields.
     """
-    keep = (lambda e: F.lit(True)) if keep_malformed else (lambda e: e["row_hash"].isNotNull())
-    out = _decoded(df, schema, keep)
+    out = _decoded(df, schema)
+    unreadable = F.col("_raw").isNull() | F.col(CORRUPT).isNotNull()
+    if not keep_malformed:
+        out = out.filter(~unreadable)
+    times = {c: text_time(F.col(f"`{c}`")) for c in schema.names if c in BUS_TIMES}
     if corrupt_col:
-        out = out.withColumn(corrupt_col, F.when(F.col("row_hash").isNull(), F.col("_raw")))
-    return out.drop("_raw")
+        times[corrupt_col] = F.when(unreadable, F.coalesce("_raw", F.lit("")))
+    return (out.withColumns(times).drop("_raw", CORRUPT)
+            .withColumnRenamed("@timestamp", "ingest_time"))
 
 
 def malformed_events(df: DataFrame, schema: T.StructType = BUS_EVENT) -> DataFrame:
     """Raw text of the messages that :func:`decode_event_json` leaves out."""
-    def keyless(event):
-        return event.isNull() | event["row_hash"].isNull()
+    kept = decode_event_json(df, schema, keep_malformed=True, corrupt_col="_corrupt")
+    return kept.filter(F.col("_corrupt").isNotNull()).select("_corrupt")
+
+
+def epoch_time(number: Column) -> Column:
+    """Epoch number by magnitude: above 1e12 milliseconds, above 1e9 seconds, else nanoseconds."""
+    return (F.when(number > 1_000_000_000_000, F.timestamp_millis(number))
+            .when(number > 1_000_000_000, F.timestamp_seconds(number))
+            .otherwise(F.timestamp_micros(F.floor(number / 1000).cast("bigint"))))
+
 
-    return _decoded(df, schema, keyless).select(F.col("_raw").alias("_corrupt"))
+def text_time(text: Column) -> Column:
+    """Time from ISO text or from the digits of an epoch number; else NULL."""
+    number = text.try_cast("bigint")
+    return F.when(number.isNotNull(), epoch_time(number)).otherwise(text.try_cast("timestamp"))
 
 
 def normalise_timestamps(df: DataFrame, cols=("ingest_time", "event_time",
@@ -73,9 +93,7 @@ def epoch_to_timestamp(df: DataFrame, col: str = "event_time", unit: str = "auto
     elif unit == "s":
         out = F.timestamp_seconds(number)
     else:
-        out = (F.when(number > 1_000_000_000_000, F.timestamp_millis(number))
-                .when(number > 1_000_000_000, F.timestamp_seconds(number))
-                .otherwise(F.timestamp_micros(F.floor(number / 1000).cast("bigint"))))
+        out = epoch_time(number)
     return df.withColumn(col, out)
 
 
@@ -114,8 +132,13 @@ def enrich(df: DataFrame, keep=()) -> DataFrame:
     both classifications. ``keep`` names further columns to pass through.
     """
     message, lower = F.col("message"), F.col("_lower")
-    out = df.select(*LOG_EVENT.names, *keep).withColumn("_lower", F.lower(message))
+    kst = "event_time_kst_iso"
+    told = F.col(kst) if kst in df.columns else F.lit(None).cast("timestamp")
+    out = df.select(*LOG_EVENT.names, told.alias(kst), *keep).withColumn(
+        "_lower", F.lower(message))
     out = out.withColumns({
+        # The same instant; only messages may say otherwise.
+        kst: F.coalesce(kst, "event_time"),
         "log_level": classify.level(lower),
         "error_type": classify.error_type(lower),
         "user": classify.user(message),

@@ -28,9 +28,10 @@ def parse_syslog_time(df: DataFrame) -> DataFrame:
 def parse_syslog_header(df: DataFrame) -> DataFrame:
     """Add logdate, host, process, pid and msg from the syslog header."""
     names = ("logdate", "host", "process", "pid", "msg")
-    return df.withColumns({
-        name: syslog.header_part(F.col("message"), group)
-        for group, name in enumerate(names, start=1)})
+    parts = df.select("*", F.explode(F.array(syslog.header_parts(F.col("message")))).alias("_h"))
+    return parts.withColumns({
+        name: syslog.blank_to_null(F.get("_h", F.lit(place)))
+        for place, name in enumerate(names)}).drop("_h")
 
 
 def year_from_file(df: DataFrame) -> DataFrame:
@@ -59,6 +60,12 @@ def row_hash(df: DataFrame, fields=("source_path", "event_time", "message")) ->
         "row_hash", syslog.fingerprint(*[F.col(name).cast("string") for name in fields]))
 
 
+def ensure_key(df: DataFrame) -> DataFrame:
+    """Give rows without a ``row_hash`` the one of their path, time and message."""
+    fields = [F.col(name).cast("string") for name in ("source_path", "event_time", "message")]
+    return df.withColumn("row_hash", F.coalesce("row_hash", syslog.fingerprint(*fields)))
+
+
 def parse_lines(df: DataFrame, host_name: str, log_type: str = "ssh",
                 log_tz: str = "UTC") -> DataFrame:
     """``(source_path, message[, ingest_time])`` -> the log_event schema."""

@@ -138,11 +138,13 @@ def daily_report(df: DataFrame, day, day_to=None, level_col: str = "log_level",
                  source_col: str = "source_file", report_tz: str = "UTC") -> dict:
     """All tables of the report for a day or an inclusive range of days.
 
-    The tables share one cube. It is cached, because each table is a separate
-    job; ``report["cube"].unpersist()`` frees it.
+    The tables share one cube. Whoever writes several of them may persist it.
     """
     events = daily_filter(df, day, day_to, report_tz)
-    cube = report_cube(events, level_col, source_col, report_tz).persist()
+    return report_tables(report_cube(events, level_col, source_col, report_tz), events)
+
+
+def report_tables(cube: DataFrame, events: DataFrame) -> dict:
     summary = report_summary(cube)
     return {
         "cube": cube,
@@ -169,7 +171,8 @@ def format_metric(df: DataFrame, cols) -> DataFrame:
 def email_report_rows(metrics: DataFrame) -> DataFrame:
     """Rows of the daily mail: KPI table and the two top lists.
 
-    One explode over the metrics row, so the metrics are computed once.
+    One explode over the metrics row, so the metrics are computed once. What a
+    day does not have is ``N/A``, for a day without metrics all of it.
     """
     def kpi(position, label, value):
         return F.struct(F.lit("summary").alias("section"), F.lit(position).alias("position"),
@@ -186,7 +189,9 @@ def email_report_rows(metrics: DataFrame) -> DataFrame:
     )
 
     def listed(section, col):
-        return F.transform(F.col(col), lambda x, i: F.struct(
+        entries = F.coalesce(F.col(col), F.array(F.struct(
+            F.lit(None).cast("string").alias("ip"), F.lit(None).cast("bigint").alias("cnt"))))
+        return F.transform(entries, lambda x, i: F.struct(
             F.lit(section).alias("section"), (i + 1).alias("position"),
             F.coalesce(x["ip"], F.lit(MISSING)).alias("label"),
             thousands(x["cnt"]).alias("display")))

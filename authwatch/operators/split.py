@@ -38,13 +38,14 @@ def split_by_date(lines: DataFrame, year: int | str, out: str) -> None:
     write_split(dated_lines(lines, year), out)
 
 
-def first_n_per_group(df: DataFrame, group: str, order=LINE_ORDER, n: int = 100,
+def first_n_per_group(df: DataFrame, group: str, n: int, order=LINE_ORDER,
                       buckets: int = 256) -> DataFrame:
     """The first ``n`` rows of each group in ``order``.
 
     Two exact steps: first within (group, bucket of the input partition), then
-    within the group. A day that holds a third of all lines is cut to ``n``
-    rows per input task and ``n * buckets`` rows before one task sees it all.
+    within the group, which gets ``n * buckets`` rows at most. Up to Spark's
+    ``windowGroupLimitThreshold`` (1,000) rows are also cut to ``n`` per input
+    task before the shuffle; with a larger ``n`` whole groups are shuffled.
     """
     keys = [F.col(c) for c in order]
 
@@ -56,13 +57,15 @@ def first_n_per_group(df: DataFrame, group: str, order=LINE_ORDER, n: int = 100,
     return first(first(spread, group, "_bucket"), group).drop("_n", "_bucket")
 
 
-def capped_lines(lines: DataFrame, year: int | str, max_rows: int = 100,
+def capped_lines(lines: DataFrame, year: int | str, max_rows: int,
                  order=LINE_ORDER) -> DataFrame:
-    return first_n_per_group(dated_lines(lines, year), "file_name", order, max_rows)
+    return first_n_per_group(dated_lines(lines, year), "file_name", max_rows, order)
 
 
-def split_by_date_capped(lines: DataFrame, year: int | str, out: str, max_rows: int = 100,
+def split_by_date_capped(lines: DataFrame, year: int | str, out: str, max_rows: int,
                          order=LINE_ORDER) -> None:
+    """As :func:`split_by_date`, with at most ``max_rows`` lines per day;
+    :func:`split_left_out` tells what a day loses."""
     write_split(capped_lines(lines, year, max_rows, order), out)
 
 
@@ -71,6 +74,19 @@ def split_counts(dated: DataFrame) -> DataFrame:
     return dated.groupBy("file_name").agg(F.count("*").alias("n_lines"))
 
 
-def capped_dump(df: DataFrame, n: int = 10_000) -> DataFrame:
+def split_left_out(dated: DataFrame, max_rows: int) -> DataFrame:
+    """Lines per output file, and how many of them a cap of ``max_rows`` leaves out."""
+    lost = F.greatest(F.col("n_lines") - max_rows, F.lit(0).cast("bigint"))
+    return split_counts(dated).withColumn("n_left_out", lost)
+
+
+def capped_dump(df: DataFrame, n: int) -> DataFrame:
     """At most ``n`` events, in time order. No analytic operator uses this."""
     return df.orderBy("event_time", "row_hash").limit(n)
+
+
+def dump_counts(df: DataFrame, n: int) -> DataFrame:
+    """One row: how many events there are, and how many a dump of ``n`` leaves out."""
+    total = F.count("*")
+    return df.agg(total.alias("total_rows"), F.greatest(
+        total - n, F.lit(0).cast("bigint")).alias("left_out"))

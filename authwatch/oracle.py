@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from authwatch.catalog import BF_THRESHOLD, BF_WINDOW, DAY, DAY_FROM, DAY_TO
+from authwatch.catalog import (
+    ABSENT_DAY, BF_THRESHOLD, BF_WINDOW, DAY, DAY_FROM, DAY_TO, DUMP_ROWS)
 from authwatch.corpus import BODY
 
 # The rendered line and its parse, level by level.
@@ -52,7 +53,8 @@ enriched AS (
 
 LOG_FIELDS = ("ingest_time, host_name, row_hash, event_time, source_path, source_file, "
               "message, log_type")
-ENRICHED_FIELDS = LOG_FIELDS + ', log_level, error_type, "user", ip, port'
+ENRICHED_FIELDS = (LOG_FIELDS + ', log_level, error_type, "user", ip, port, '
+                   "event_time AS event_time_kst_iso")
 FAILED = "error_type IN ('login failed', 'invalid user') AND ip IS NOT NULL"
 KST_TEXT = "strftime({} + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S.%g+09:00')"
 RANGE = f"event_date BETWEEN DATE '{DAY_FROM}' AND DATE '{DAY_TO}'"
@@ -150,7 +152,8 @@ SUMMARY_UNPIVOT = f"""SELECT metric, value FROM (
 
 ORACLES = {
     # sources and sinks
-    "read_log_files": sql("SELECT source_file, message FROM logs"),
+    "read_log_files": sql("SELECT 'ssh-' || source_file || '.log' AS source_path, source_file, "
+                          "message FROM logs"),
     "stream_log_files": sql("SELECT source_file, message FROM logs"),
     "read_event_bus": sql("SELECT row_hash, message FROM logs"),
     "write_event_bus": sql(f"SELECT {LOG_FIELDS} FROM logs"),
@@ -161,20 +164,31 @@ ORACLES = {
     "upsert_events_table": sql("SELECT event_date, row_hash, host_name, ingest_time FROM newest",
                                ERRORS_AGAIN),
     "write_daily_metrics": sql("SELECT * FROM metrics", METRICS),
-    "alert_sink": sql(WINDOWED),
+    "alert_sink": sql("SELECT window_start, ip, 'IP: ' || ip || '  failures: ' || fail_cnt "
+                      f"AS body_line FROM ({WINDOWED})"),
     "enforce_event_schema": sql("""SELECT row_hash, event_time, log_level, error_type, "user",
         CASE WHEN error_type <> 'login success' THEN ip END AS ip, port FROM enriched"""),
-    "split_by_date": sql(f"SELECT {FILE_NAME} AS file_name, count(*) AS n_lines "
-                         "FROM enriched GROUP BY 1"),
+    "split_by_date": sql("""
+        SELECT CASE WHEN event_id % 50 = 1 THEN 'ssh-20240230.log'
+                    WHEN event_id % 50 > 2 THEN 'ssh-' || strftime(ts, '%Y%m%d') || '.log'
+               END AS file_name, count(*) AS n_lines FROM lines GROUP BY 1"""),
+    "split_left_out": sql(f"""
+        SELECT {FILE_NAME} AS file_name, count(*) AS n_lines,
+               greatest(count(*) - 100, 0) AS n_left_out FROM enriched GROUP BY 1"""),
+    "dump_counts": sql(f"SELECT count(*) AS total_rows, greatest(count(*) - {DUMP_ROWS}, 0) "
+                       "AS left_out FROM enriched"),
     "split_by_date_capped": sql("SELECT * FROM capped", CAPPED),
     "split_counts": sql("SELECT file_name, count(*) AS n_lines FROM capped GROUP BY 1", CAPPED),
     "capped_dump": sql("SELECT row_hash, event_time, message FROM logs "
-                       "ORDER BY event_time NULLS FIRST, row_hash LIMIT 10000"),
+                       f"ORDER BY event_time NULLS FIRST, row_hash LIMIT {DUMP_ROWS}"),
     # parsing
     "add_provenance": sql("SELECT event_id, source_path, 'LabSZ' AS host_name, 'ssh' AS log_type "
                           "FROM lines"),
     "source_file_name": sql("SELECT event_id, source_path, source_file FROM stems"),
-    "parse_syslog_time": sql("SELECT event_id, substr(message, 1, 15) AS log_time FROM lines"),
+    "parse_syslog_time": sql("""
+        SELECT event_id, CASE WHEN event_id % 50 = 1 THEN 'Feb 30' || substr(message, 7, 9)
+                              WHEN event_id % 50 > 2 THEN substr(message, 1, 15) END AS log_time
+        FROM lines"""),
     "parse_syslog_header": sql(r"""
         SELECT event_id, substr(message, 1, 15) AS logdate,
                string_split(substr(message, 17), ' ')[1] AS host,
@@ -241,18 +255,23 @@ ORACLES = {
     "unique_ips": sql("SELECT metric_date, unique_ips FROM metrics", METRICS),
     "unique_ips_null_counts": sql("SELECT metric_date, unique_ips FROM metrics",
                                   metrics_ctes(null_counts=True)),
-    "unique_sources": sql('SELECT event_date AS metric_date, count(DISTINCT "user") '
-                          "AS unique_sources FROM enriched GROUP BY 1"),
+    "unique_sources": sql("""
+        SELECT event_date AS metric_date, least(3, count(DISTINCT message)) AS unique_sources
+        FROM enriched GROUP BY 1"""),
     "hourly_counts": sql("SELECT event_date AS metric_date, hour, count(*) AS cnt "
                          "FROM enriched GROUP BY 1, 2"),
     "peak_hour": sql("SELECT metric_date, peak_hour, peak_hour_logs FROM metrics", METRICS),
     "ip_counts": sql("SELECT metric_date, ip, c AS cnt FROM ips", METRICS),
-    "order_by_count": sql("SELECT metric_date, ip, c AS cnt FROM ips ORDER BY c DESC", METRICS),
-    "top_k": sql("SELECT event_date AS metric_date, hour, count(*) AS cnt FROM enriched "
-                 "GROUP BY 1, 2 ORDER BY cnt DESC, metric_date, hour LIMIT 3"),
-    "untimed_counts": sql("SELECT source_file, count(*) AS total_logs, "
-                          "count(*) - count(event_time) AS untimed_logs "
-                          "FROM enriched GROUP BY 1"),
+    "order_by_count": sql("""SELECT metric_date, ip, c AS cnt, row_number() OVER (
+        ORDER BY c DESC, metric_date, ip NULLS FIRST)::INTEGER AS rank FROM ips""", METRICS),
+    "top_k": sql("""SELECT *, row_number() OVER (
+          ORDER BY cnt DESC, metric_date, hour)::INTEGER AS rank
+        FROM (SELECT event_date AS metric_date, hour, count(*) AS cnt FROM enriched GROUP BY 1, 2)
+        QUALIFY rank <= 3"""),
+    "untimed_counts": sql("""
+        SELECT strftime(ts, '%Y%m%d') AS source_file, count(*) AS total_logs,
+               count(*) FILTER (WHERE event_id % 50 <= 2) AS untimed_logs
+        FROM lines GROUP BY 1"""),
     "top_ips": sql("SELECT metric_date, rn::INTEGER AS rank, ip, c AS cnt FROM tops "
                    "WHERE rn <= 3 AND ip IS NOT NULL", METRICS),
     "top_ips_null_competes": sql("SELECT metric_date, rn::INTEGER AS rank, ip, c AS cnt FROM tops "
@@ -325,7 +344,12 @@ ORACLES = {
         UNION ALL SELECT metric_date, 'top_brute', rn::INTEGER, ip, format('{:,}', f)
           FROM suspects WHERE rn <= 3
         UNION ALL SELECT metric_date, 'top_brute', 1, 'N/A', '0' FROM metrics
-          WHERE brute_force_ips = 0""", METRICS),
+          WHERE brute_force_ips = 0
+        UNION ALL SELECT DATE '""" + ABSENT_DAY + """', section, position, label, display FROM (VALUES
+          ('summary', 1, 'total_logs', 'N/A'), ('summary', 2, 'error_count', 'N/A'),
+          ('summary', 3, 'unique_ips', 'N/A'), ('summary', 4, 'peak_hour_logs', 'N/A (hour N/A)'),
+          ('summary', 5, 'brute_force_ips', 'N/A'), ('top_ip', 1, 'N/A', 'N/A'),
+          ('top_brute', 1, 'N/A', 'N/A')) AS absent(section, position, label, display)""", METRICS),
     # streaming
     "stream_enrich": sql(f"SELECT {ENRICHED_FIELDS} FROM enriched"),
     "stream_upsert": sql("SELECT event_date, row_hash, host_name, ingest_time FROM newest",
@@ -335,8 +359,27 @@ ORACLES = {
     "stream_bruteforce_final": sql(f"""
         SELECT * FROM ({WINDOWED}) WHERE window_end <= (
           SELECT max(event_time) - INTERVAL 1 MINUTE FROM enriched WHERE {FAILED})"""),
-    "checkpoint_restart": sql("SELECT event_date AS metric_date, count(DISTINCT row_hash) "
-                              "AS total_logs FROM enriched GROUP BY 1"),
+    "keyless_events": sql(f"""
+        SELECT event_date AS metric_date, count(DISTINCT row_hash) AS keys,
+               CAST(coalesce(any_value(f), 0) AS BIGINT) AS failures
+        FROM enriched LEFT JOIN (
+          SELECT CAST(window_start AS DATE) AS event_date, sum(fail_cnt) AS f
+          FROM ({WINDOWED}) GROUP BY 1) USING (event_date) GROUP BY 1"""),
+    "numeric_times": sql("""
+        SELECT CAST(event_id AS VARCHAR) AS row_hash, message,
+               CASE WHEN event_id % 2 = 0 THEN date_trunc('millisecond', ts)
+                    ELSE date_trunc('second', ts) END AS event_time FROM lines"""),
+    # Whatever of the first half comes late is not counted.
+    "late_data": sql(WINDOWED.replace("FROM enriched", f"""FROM (
+        SELECT enriched.* FROM enriched JOIN lines USING (event_id)
+        WHERE ts >= TIMESTAMP '{DAY}' OR event_id % 10 <> 0)""")),
+    "rate_limit": sql("SELECT CAST(3 AS BIGINT) AS batches, count(*) AS total_logs FROM logs"),
+    "checkpoint_restart": sql(f"""
+        SELECT event_date AS metric_date, count(*) AS total_logs,
+               CAST(coalesce(any_value(f), 0) AS BIGINT) AS failures
+        FROM enriched LEFT JOIN (
+          SELECT CAST(window_start AS DATE) AS event_date, sum(fail_cnt) AS f
+          FROM ({WINDOWED}) GROUP BY 1) USING (event_date) GROUP BY 1"""),
     "multi_query": sql(f"""
         SELECT event_date AS metric_date, count(DISTINCT row_hash) AS total_logs,
                coalesce(any_value(alerts), 0) AS alerts

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from authwatch.operators.filters import as_date, daily_filter, metric_lookup
 from authwatch.operators.metrics import daily_metrics
-from authwatch.operators.report import daily_report, email_report_rows
+from authwatch.operators.report import email_report_rows, report_cube, report_tables
 from authwatch.sources.tables import read_events, read_metrics, settle_days, write_metrics
 
 
@@ -47,8 +48,15 @@ def run_daily_metrics(spark: SparkSession, events: str, metrics: str, day=None,
 
 
 def backfill_metrics(spark: SparkSession, events: str, metrics: str, day_from=None,
-                     day_to=None, report_tz: str = "UTC", **options) -> None:
-    """Metrics of all stored days, or of ``day_from`` .. ``day_to``, in one job."""
+                     day_to=None, report_tz: str = "UTC", live: str | None = None,
+                     **options) -> None:
+    """Metrics of all stored days, or of ``day_from`` .. ``day_to``, in one job.
+
+    With ``live`` these days are first settled from the stream's folder.
+    """
+    if live:
+        bounds = (None, None) if day_from is None else stored_days(day_from, day_to, report_tz)
+        settle_days(spark, live, events, *bounds)
     if day_from is None:
         rows = read_events(spark, events)
     else:
@@ -57,16 +65,27 @@ def backfill_metrics(spark: SparkSession, events: str, metrics: str, day_from=No
 
 
 def mail_rows(spark: SparkSession, metrics: str, day=None) -> DataFrame:
-    """Rows of the mail for one day (default yesterday, UTC)."""
-    return email_report_rows(metric_lookup(read_metrics(spark, metrics), day or yesterday_utc()))
+    """Rows of the mail for one day (default yesterday, UTC); all ``N/A`` if it has no metrics."""
+    day = as_date(day or yesterday_utc())
+    asked = spark.range(1).select(F.lit(day).alias("metric_date"))
+    found = metric_lookup(read_metrics(spark, metrics), day)
+    return email_report_rows(asked.join(found, "metric_date", "left"))
 
 
 def write_report(spark: SparkSession, events: str, out: str, day, day_to=None,
-                 report_tz: str = "UTC") -> None:
-    """Write every table of the report below ``out``."""
-    stored = read_events(spark, events, *stored_days(day, day_to, report_tz))
-    report = daily_report(stored, day, day_to, report_tz=report_tz)
-    cube = report.pop("cube")
-    for name, table in report.items():
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
-    cube.unpersist()
+                 report_tz: str = "UTC", live: str | None = None) -> None:
+    """Write every table of the report below ``out``.
+
+    With ``live`` the days are first settled from the stream's folder.
+    """
+    if live:
+        settle_days(spark, live, events, *stored_days(day, day_to, report_tz))
+    rows = read_report_days(spark, events, day, day_to, report_tz)
+    cube = report_cube(rows, "log_level", "source_file", report_tz).persist()
+    try:
+        report = report_tables(cube, rows)
+        report.pop("cube")
+        for name, table in report.items():
+            table.write.mode("overwrite").parquet(f"{out}/{name}")
+    finally:
+        cube.unpersist()

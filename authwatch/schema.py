@@ -17,18 +17,25 @@ LOG_EVENT = _struct(
     ("source_path", _S), ("source_file", _S), ("message", _S), ("log_type", _S),
 )
 
+# Column names below are fixed values: stored tables and messages carry them.
 ENRICHED = T.StructType(LOG_EVENT.fields + _struct(
     ("log_level", _S), ("error_type", _S), ("user", _S), ("ip", _S), ("port", _I),
+    ("event_time_kst_iso", _TS),
 ).fields)
 
-# JSON message on the bus. The last five fields may be present; enrichment
+# JSON message on the bus. Every field is read as text: times may come as ISO
+# text or as epoch numbers. The last five fields may be present; enrichment
 # computes them anew.
 BUS_EVENT = _struct(
-    ("@timestamp", _TS), ("host_name", _S), ("row_hash", _S), ("event_time", _TS),
-    ("event_time_kst_iso", _TS), ("source_path", _S), ("source_file", _S),
+    ("@timestamp", _S), ("host_name", _S), ("row_hash", _S), ("event_time", _S),
+    ("event_time_kst_iso", _S), ("source_path", _S), ("source_file", _S),
     ("message", _S), ("log_type", _S), ("log_level", _S), ("error_type", _S),
     ("user", _S), ("ip", _S), ("port", _S),
 )
+BUS_TIMES = ("@timestamp", "event_time", "event_time_kst_iso")
+
+# What the alerts need of a message.
+BUS_FAILURE = _struct(("event_time", _S), ("message", _S))
 
 IP_COUNT = T.ArrayType(_struct(("ip", _S), ("cnt", _L)))
 

@@ -12,7 +12,9 @@ def logical_path(file_path: Column) -> Column:
     A per-day file written by Spark is a folder of parts, and the folder is
     the log file. Local paths lose their URI scheme.
     """
-    plain = F.regexp_replace(file_path, "^file:/+", "/")
+    # The path is percent-encoded; a plus stands for itself.
+    decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(decoded, "^file:/+", "/")
     return F.regexp_replace(plain, r"(?:[^/=]+=)?([^/]+\.log)/part-[^/]*$", "$1")
 
 

@@ -2,21 +2,25 @@
 
 Streams only append. Each micro-batch owns the partitions named after it and
 writes them with dynamic partition overwrite, so a repeated batch replaces
-itself, and the cost of a batch does not grow with the table. Redelivered keys
-are resolved when reading the live events, or once per closed day by
-:func:`settle_days`, after which the day is read without any shuffle.
+itself. Redelivered keys are resolved when reading the live events, or once per
+closed day by :func:`settle_days`, after which the day is read without any
+shuffle and its live batches are retired.
+
+A merge replaces the partitions of its days in the table it reads. It needs one
+writer at a time, and a store whose renames are atomic: Spark stages the new
+files beside the old ones and swaps a day only when all of them are written.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from authwatch.operators.enrich import enforce_schema
 from authwatch.operators.filters import as_date
+from authwatch.operators.parse import ensure_key
 from authwatch.schema import ALERT, DAILY_METRICS, ENRICHED
 
 EVENT_DAY = T.StructField("event_date", T.DateType())
@@ -31,9 +35,15 @@ def _overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
      .partitionBy(*by).parquet(path))
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table; a path that does not exist is an error, not an empty table."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def _merge_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table to merge into, which the first merge may find missing."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return _read(spark, path, schema)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -68,15 +78,20 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "row_hash",
     """Both inputs with one row per key: the newest, incoming on a tie.
 
     ``delivery_col`` of ``incoming`` orders deliveries with equal ``order_col``.
-    Rows without a key cannot be addressed and are all left out.
+    Events without a ``row_hash`` get the one of their path, time and message.
     """
-    delivery = F.col(delivery_col) if delivery_col else F.lit("incoming")
-    late = incoming.withColumn("_delivery", delivery)
+    both = _deliveries(existing, incoming, delivery_col, key == "row_hash")
+    return latest_by_key(both, key, F.desc(order_col), F.desc("_delivery")).drop("_delivery")
+
+
+def _deliveries(existing: DataFrame, incoming: DataFrame, delivery_col: str | None,
+                keyed: bool) -> DataFrame:
+    late = incoming.withColumn(
+        "_delivery", F.col(delivery_col) if delivery_col else F.lit("incoming"))
     if delivery_col:
         late = late.drop(delivery_col)
-    both = (existing.withColumn("_delivery", F.lit(""))
-            .unionByName(late).filter(F.col(key).isNotNull()))
-    return latest_by_key(both, key, F.desc(order_col), F.desc("_delivery")).drop("_delivery")
+    both = existing.withColumn("_delivery", F.lit("")).unionByName(late)
+    return ensure_key(both) if keyed else both
 
 
 def append_batch(df: DataFrame, path: str, batch: str, *by: str,
@@ -94,48 +109,73 @@ def append_batch(df: DataFrame, path: str, batch: str, *by: str,
 
 def read_live_events(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:
     """Events as appended by the stream, one row per key."""
-    live = _days(_read_or_empty(spark, path, LIVE_EVENT), day_from, day_to)
+    live = _days(_read(spark, path, LIVE_EVENT), day_from, day_to)
     return latest_by_key(live, "row_hash", F.desc("ingest_time"), F.desc("batch")).drop("batch")
 
 
 def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None,
-                delivery_col: str | None = None) -> None:
+                delivery_col: str | None = None, files: int = 8) -> None:
     """Merge ``incoming`` into the stored days it touches; others stay as they are.
 
-    The touched days are the only thing read to the driver, and not even they
-    when ``days`` names them.
+    Rows are typed, so an address that is none becomes NULL. One shuffle, by day
+    and bucket of the key, brings the deliveries of a key together, splits a
+    large day, and bounds its files by ``files``; it holds because a key has one
+    day. ``days`` names the touched days; else they are read from ``incoming``
+    first, the only thing that reaches the driver.
     """
     extra = [delivery_col] if delivery_col else []
-    incoming = with_event_date(incoming).select(*STORED_EVENT.names, *extra)
+    typed = with_event_date(enforce_schema(
+        incoming, T.StructType([*ENRICHED.fields, *(incoming.schema[c] for c in extra)])))
+    rows = typed.select(*STORED_EVENT.names, *extra)
     if days is None:
-        days = [row[0] for row in incoming.select("event_date").distinct().collect()]
+        days = [row[0] for row in rows.select("event_date").distinct().collect()]
     known = [F.lit(as_date(d)) for d in days if d is not None]
     touched = F.col("event_date").isin(*known) if known else F.lit(False)
     if None in days:
         touched = touched | F.col("event_date").isNull()
-    stored = _read_or_empty(spark, path, STORED_EVENT).filter(touched)
-    merged = upsert(stored, incoming, delivery_col=delivery_col)
-    if len(days) > 1 and spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        # Otherwise every task would write a small file for every day. Only
-        # the adaptive rebalance also splits a large day over several tasks.
-        merged = merged.hint("rebalance", "event_date")
-    _overwrite_partitions(merged, path, "event_date")
-
-
-def settle_days(spark: SparkSession, live: str, path: str, day_from=None, day_to=None) -> None:
+    stored = _merge_target(spark, path, STORED_EVENT).filter(touched)
+    both = _deliveries(stored, rows, delivery_col, True).withColumn(
+        "_bucket", F.pmod(F.xxhash64("row_hash"), F.lit(files)))
+    newest = Window.partitionBy("event_date", "_bucket", "row_hash").orderBy(
+        F.desc("ingest_time"), F.desc("_delivery"))
+    merged = (both.repartition("event_date", "_bucket")
+              .withColumn("_n", F.row_number().over(newest)).filter("_n = 1"))
+    _overwrite_partitions(merged.select(*STORED_EVENT.names), path, "event_date")
+
+
+def settle_days(spark: SparkSession, live: str, path: str, day_from=None, day_to=None,
+                retire: bool = False, files: int = 8) -> None:
     """Move closed days from the live folder into the events table.
 
-    One shuffle resolves the redelivered keys of the live folder and those
-    already stored. Without days everything is moved, also events without a
-    time.
+    Days come from the bounds or from the folder's partition names; without
+    bounds everything is moved, and events without a time always are. ``retire``
+    removes the merged batches afterwards, so that the folder stays small; what
+    arrives meanwhile is a batch of its own and stays.
     """
-    days = None
+    folder = _read(spark, live, LIVE_EVENT)
+    wanted = _days(folder, day_from, day_to or day_from)
     if day_from is not None:
-        first, last = as_date(day_from), as_date(day_to or day_from)
-        days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
-        day_to = last
-    live_rows = _days(_read_or_empty(spark, live, LIVE_EVENT), day_from, day_to)
-    upsert_days(spark, path, live_rows, days, delivery_col="batch")
+        wanted = wanted.unionByName(folder.filter(F.col("event_date").isNull()))
+    # Partition names only: no file is read for them.
+    batches = wanted.select("event_date", "batch").distinct().collect()
+    if not batches:
+        return
+    days = {row["event_date"] for row in batches}
+    names = sorted({row["batch"] for row in batches})
+    merged = wanted.filter(F.col("batch").isin(names))
+    upsert_days(spark, path, merged, days, "batch", files)
+    if retire:
+        _remove_batches(spark, live, batches)
+
+
+def _remove_batches(spark: SparkSession, live: str, batches) -> None:
+    for day, batch in batches:
+        name = day or "__HIVE_DEFAULT_PARTITION__"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{live}/event_date={name}/batch={batch}")
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.delete(folder, True)
+        if not system.listStatus(folder.getParent()):
+            system.delete(folder.getParent(), False)
 
 
 def read_events(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:
@@ -158,6 +198,6 @@ def read_alerts(spark: SparkSession, path: str, day_from=None, day_to=None) -> D
 
     Counts of a window only grow, so the last is the largest.
     """
-    alerts = _days(_read_or_empty(spark, path, STORED_ALERT), day_from, day_to, "alert_date")
+    alerts = _days(_read(spark, path, STORED_ALERT), day_from, day_to, "alert_date")
     return (alerts.groupBy("window_start", "window_end", "ip")
             .agg(F.max("fail_cnt").alias("fail_cnt"), F.max("detected_at").alias("detected_at")))

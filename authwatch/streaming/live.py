@@ -5,10 +5,13 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from authwatch.functions import classify
 from authwatch.operators.enrich import decode_event_json, enrich
 from authwatch.operators.metrics import brute_force_windowed
+from authwatch.schema import BUS_FAILURE
 from authwatch.streaming.sinks import alert_sink, event_sink
 
 EVENTS, ALERTS, CHECKPOINTS = "events", "alerts", "checkpoints"
@@ -32,6 +35,14 @@ def stream_enrich(bus: DataFrame) -> DataFrame:
     return enrich(decode_event_json(bus))
 
 
+def stream_failures(bus: DataFrame) -> DataFrame:
+    """What the alerts need, of every readable message: time, type and valid address."""
+    message = F.col("message")
+    return (decode_event_json(bus, BUS_FAILURE).withColumn("_lower", F.lower(message))
+            .select("event_time", classify.error_type(F.col("_lower")).alias("error_type"),
+                    classify.valid_ipv4(classify.ip(message)).alias("ip")))
+
+
 def deduplicated(events: DataFrame, within: str) -> DataFrame:
     """Drop redelivered keys that arrive within ``within`` of each other."""
     return (events.withWatermark("event_time", within)
@@ -65,7 +76,7 @@ def start_events(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
                  files: int | None = None) -> StreamingQuery:
     """Append every message to the live events table."""
     rows = enrich(decode_event_json(bus, keep_malformed=True, corrupt_col="_corrupt"),
-                  keep=("_corrupt",))
+                  keep=("_corrupt",)).withColumn("ip", classify.valid_ipv4(F.col("ip")))
     return _start(rows, EVENTS, root, "append", event_sink(f"{root}/{EVENTS}", files), trigger)
 
 
@@ -77,7 +88,7 @@ def start_alerts(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
     ``update`` reports a window each time its count grows; ``append`` reports
     it once, after the watermark has closed it.
     """
-    alerts = brute_force_windowed(stream_enrich(bus), window, threshold, watermark)
+    alerts = brute_force_windowed(stream_failures(bus), window, threshold, watermark)
     return _start(alerts, ALERTS, root, mode, alert_sink(alerts_path(root), deliver), trigger)
 
 

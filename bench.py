@@ -73,7 +73,7 @@ def main() -> None:
         "report_cube": lambda: noop(rp.report_cube(events)),
         "success_rate": lambda: noop(mt.success_rate(events)),
         "split_by_date_capped": lambda: noop(
-            sp.capped_lines(lines, corpus.YEAR, order=("event_id",))),
+            sp.capped_lines(lines, corpus.YEAR, 100, order=("event_id",))),
         "upsert_events": lambda: noop(tables.upsert(events, events)),
         "stream_upsert": lambda: drain(live.start_events),
         "stream_bruteforce": lambda: drain(live.start_alerts),

@@ -41,7 +41,7 @@ def events(spark):
         for number, (time, ip, error_type, level) in enumerate(rows):
             when = dt.datetime.fromisoformat(time) if time else None
             full.append((when, "h", f"key{number}", when, "/data/ssh-20240101.log", "20240101",
-                         f"message {number}", "ssh", level, error_type, "", ip, None))
+                         f"message {number}", "ssh", level, error_type, "", ip, None, when))
         return spark.createDataFrame(full, ENRICHED)
 
     return build

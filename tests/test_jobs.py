@@ -43,6 +43,25 @@ def test_files_to_report(spark, tmp_path):
     assert spark.read.parquet(at("report/detail_rows")).count() == len(LINES)
 
 
+def test_mail_of_a_day_without_metrics_and_split(spark, events, tmp_path):
+    def at(name):
+        return str(tmp_path / name)
+
+    tables.upsert_days(spark, at("events"), events([("2024-01-01 01:00:00", "1.1.1.1", "etc", "INFO")]))
+    main(["metrics", "--events", at("events"), "--out", at("metrics"), "--all"], spark)
+    main(["mail", "--metrics", at("metrics"), "--date", "2024-01-02", "--out", at("mail")], spark)
+    rows = spark.read.json(at("mail")).collect()
+    assert {r["label"] for r in rows if r["section"] == "summary"} == {
+        "total_logs", "error_count", "unique_ips", "peak_hour_logs", "brute_force_ips"}
+    assert {r["display"] for r in rows} == {"N/A", "N/A (hour N/A)"}
+    (tmp_path / "ssh.log").write_text("\n".join(LINES) + "\n")
+    main(["split", "--logs", at("ssh.log"), "--year", "2024", "--out", at("days")], spark)
+    assert spark.read.text(at("days")).count() == len(LINES)
+    main(["split", "--logs", at("ssh.log"), "--year", "2024", "--out", at("days"),
+          "--max-rows", "3"], spark)
+    assert spark.read.text(at("days")).count() == 6
+
+
 def test_days_of_another_zone_reach_over_the_stored_days(spark, events, tmp_path):
     def at(name):
         return str(tmp_path / name)

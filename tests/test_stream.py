@@ -154,9 +154,23 @@ def test_malformed_messages_go_to_quarantine(spark, message_files, tmp_path):
     bad.coalesce(1).write.mode("append").parquet(folder)
     root = str(tmp_path / "live")
     live.start_events(bus.replay_bus(spark, folder), root, None).awaitTermination()
-    assert tables.read_live_events(spark, live.events_path(root)).count() == 3
+    # A message without fields is an event; one that is no JSON is not.
+    assert tables.read_live_events(spark, live.events_path(root)).count() == 4
     quarantine = spark.read.parquet(live.malformed_path(root))
-    assert sorted(r["_corrupt"] for r in quarantine.collect()) == ["not json", "{}"]
+    assert [r["_corrupt"] for r in quarantine.collect()] == ["not json"]
+
+
+def test_alerts_count_messages_without_a_key(spark, message_files, tmp_path):
+    rows = rows_at("00:00:10", "1.0.0.1", 5)
+    folder = message_files([(*r[:2], r[2] if n < 2 else None, *r[3:]) for n, r in enumerate(rows)])
+    root = str(tmp_path / "live")
+    live.await_all(live.run_stream(bus.replay_bus(spark, folder), root, None, threshold=5))
+    (alert,) = tables.read_alerts(spark, live.alerts_path(root)).collect()
+    assert alert["fail_cnt"] == 5
+    keys = [r["row_hash"] for r in tables.read_live_events(
+        spark, live.events_path(root)).collect()]
+    # The three without a key are one line: same path, time and message.
+    assert len(keys) == 3 and None not in keys
 
 
 def test_alerts_are_delivered_once_per_batch_and_never_empty(spark, message_files, tmp_path):

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from authwatch.operators import metrics as mt
+from authwatch.plans import daily
 from authwatch.schema import ENRICHED
 from authwatch.sources import tables
 
@@ -15,7 +19,7 @@ from authwatch.sources import tables
 def event(key, ingest, time="2024-01-01 10:00:00", host="h"):
     when = dt.datetime.fromisoformat(time) if time else None
     return (dt.datetime.fromisoformat(ingest), host, key, when, "p", "f", "m", "ssh",
-            "INFO", "etc", "", None, None)
+            "INFO", "etc", "", None, None, when)
 
 
 @pytest.fixture()
@@ -33,8 +37,10 @@ def test_newest_wins_and_incoming_wins_a_tie(frame):
     new = frame(event("a", "2024-01-02", host="new"), event("b", "2024-01-02", host="new"),
                 event("c", "2024-01-01", host="new"), event("d", "2024-01-01", host="new"),
                 event(None, "2024-01-01", host="new"))
-    want = [("a", "new"), ("b", "old"), ("c", "new"), ("d", "new")]
     once = tables.upsert(old, new)
+    # The row without a key got the one of its path, time and message.
+    computed = hashlib.sha256(b"p:2024-01-01 10:00:00:m").hexdigest()
+    want = sorted([("a", "new"), ("b", "old"), ("c", "new"), ("d", "new"), (computed, "new")])
     assert content(once) == want
     assert content(tables.upsert(once, new)) == want
 
@@ -83,9 +89,64 @@ def test_batches_replace_themselves_and_keys_resolve_on_read(spark, frame, tmp_p
         assert content(tables.read_events(spark, settled)) == want
 
 
-def test_reading_before_the_first_write_is_empty(spark, tmp_path):
-    assert tables.read_live_events(spark, str(tmp_path / "none")).count() == 0
-    assert tables.read_alerts(spark, str(tmp_path / "none")).count() == 0
+def test_a_missing_folder_is_an_error_and_wipes_nothing(spark, events, tmp_path):
+    for read in (tables.read_live_events, tables.read_alerts, tables.read_events):
+        with pytest.raises(AnalysisException):
+            read(spark, str(tmp_path / "none"))
+    stored, metrics = str(tmp_path / "events"), str(tmp_path / "metrics")
+    tables.upsert_days(spark, stored, events([("2024-01-01 01:00:00", "1.1.1.1", "etc", "INFO")]))
+    daily.run_daily_metrics(spark, stored, metrics, "2024-01-01")
+    with pytest.raises(AnalysisException):
+        daily.run_daily_metrics(spark, stored, metrics, "2024-01-01", str(tmp_path / "none"))
+    assert [r["total_logs"] for r in tables.read_metrics(spark, metrics).collect()] == [1]
+
+
+def test_settled_batches_are_retired_and_later_ones_stay(spark, frame, tmp_path):
+    path, settled = str(tmp_path / "live"), str(tmp_path / "events")
+
+    def append(df, batch):
+        tables.append_batch(tables.with_event_date(df), path, batch, "event_date")
+
+    append(frame(event("a", "2024-01-01"), event("n", "2024-01-01", None)), "q-0")
+    append(frame(event("b", "2024-01-01", "2024-01-02 00:00:00")), "q-1")
+    for _ in range(2):
+        tables.settle_days(spark, path, settled, "2024-01-01", retire=True)
+        assert content(tables.read_events(spark, settled)) == [("a", "h"), ("n", "h")]
+    assert content(tables.read_live_events(spark, path)) == [("b", "h")]
+    append(frame(event("a", "2024-01-03", host="again")), "q-2")
+    tables.settle_days(spark, path, settled, retire=True)
+    assert content(tables.read_events(spark, settled)) == [("a", "again"), ("b", "h"), ("n", "h")]
+    assert tables.read_live_events(spark, path).count() == 0
+
+
+def test_a_failed_merge_leaves_the_day_readable(spark, frame, tmp_path):
+    path = str(tmp_path / "events")
+    tables.upsert_days(spark, path, frame(event("a", "2024-01-01")))
+    broken = frame(event("b", "2024-01-02")).withColumn(
+        "message", F.raise_error(F.lit("half way")))
+    with pytest.raises(Exception, match="half way"):
+        tables.upsert_days(spark, path, broken, ["2024-01-01"])
+    assert content(tables.read_events(spark, path)) == [("a", "h")]
+
+
+@pytest.mark.parametrize("days", [1, 30])
+def test_merge_shuffles_once(spark, frame, tmp_path, days, monkeypatch):
+    rows = frame(*[event(f"k{d}", "2024-01-01", f"2024-01-{d + 1:02d} 00:00:00")
+                   for d in range(days)])
+    plans = []
+    write = tables._overwrite_partitions
+    monkeypatch.setattr(tables, "_overwrite_partitions", lambda df, *a: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a)))
+    tables.upsert_days(spark, str(tmp_path / "events"), rows)
+    tables.upsert_days(spark, str(tmp_path / "events"), rows)
+    assert [len(re.findall(r"Exchange hashpartitioning", plan)) for plan in plans] == [1, 1]
+
+
+def test_stored_addresses_are_typed(spark, events, tmp_path):
+    rows = [("2024-01-01 01:00:00", ip, "etc", "INFO") for ip in ("1.2.3.4", "2001")]
+    tables.upsert_days(spark, str(tmp_path / "events"), events(rows))
+    got = tables.read_events(spark, str(tmp_path / "events")).collect()
+    assert sorted((r["ip"] for r in got), key=str) == ["1.2.3.4", None]
 
 
 def test_metrics_rerun_replaces_the_day(spark, events, tmp_path):
