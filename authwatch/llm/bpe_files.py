@@ -71,13 +71,18 @@ class Vocabulary:
         if done < len(text):
             yield False, text[done:]
 
+    @staticmethod
+    def is_ordinary(stretch: str) -> bool:
+        """Whether all character tables in use agree on the stretch."""
+        return not _OTHER.search(stretch)
+
     def chunks(self, stretch: str) -> list[str] | None:
         """Stretches that split into words alone as they do together, for a cache.
 
         None if a character is not ordinary. A chunk is a non-blank run, with
         the blanks before it where the pattern keeps blanks.
         """
-        if _OTHER.search(stretch):
+        if not self.is_ordinary(stretch):
             return None
         # None of these characters composes with another, so NFC changes nothing;
         # a final sigma is an ordinary one here.
@@ -163,10 +168,10 @@ class Lookup:
         return found
 
 
-_LOOKUPS: dict[tuple[str, str], Lookup] = {}
+_LOOKUPS: dict[tuple[str, str], object] = {}
 
 
-def lookup(purpose: str, path: str, make: Callable[[Vocabulary], Lookup]) -> Lookup:
+def lookup(purpose: str, path: str, make: Callable[[Vocabulary], object]):
     """The worker's lookup of one purpose and file."""
     if (purpose, path) not in _LOOKUPS:
         _LOOKUPS[purpose, path] = make(vocabulary(path))

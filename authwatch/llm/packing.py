@@ -23,11 +23,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from authwatch.llm.batches import split_by_size, texts, type_of
-from authwatch.llm.bpe_files import Lookup, Vocabulary, lookup
+from authwatch.llm.bpe_files import BYTE_LEVEL_PATTERN, Vocabulary, lookup
 
 TIERS = (2048, 1024, 512, 256)
 #: Tokens that wait before a partition packs them.
@@ -105,20 +106,36 @@ class Packer:
         return left
 
 
-def id_bytes(end_id: int):
-    """Lookup that gives ids as little-endian unsigned 32-bit integers."""
-    def make(vocab: Vocabulary) -> Lookup:
-        model = vocab.tokenizer.model
+class TextIds:
+    """Ids of a text, as the tokenizers library gives them, as little-endian unsigned 32-bit
+    integers.
 
-        def of_word(word: str) -> bytes:
-            letters = "".join(
-                vocab.letters[b] for b in word.encode("utf-8", "surrogateescape"))
-            return np.array([t.id for t in model.tokenize(letters)], "<u4").tobytes()
+    Stretches of ordinary characters go through the faster library with the
+    vocabulary of the file (its ids are the ranks of its merges, so both give the
+    same); others through the model of the tokenizers library, word by word.
+    """
 
-        return Lookup(vocab, of_word,
-                      lambda special: np.array([vocab.special[special]], "<u4").tobytes(),
-                      b"".join)
-    return make
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        ranks = {bytes(vocab.byte_of[letter] for letter in name): number
+                 for name, number in vocab.ids.items() if name not in vocab.special}
+        self.fast = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks,
+                                      special_tokens={})
+
+    def ids(self, text: str) -> Iterator[list[int]]:
+        for special, piece in self.vocab.pieces(text):
+            if special:
+                yield [self.vocab.special[piece]]
+            elif self.vocab.is_ordinary(piece):
+                yield self.fast.encode_ordinary(piece)
+            else:
+                for word in self.vocab.library_words(piece):
+                    letters = "".join(self.vocab.letters[b]
+                                      for b in word.encode("utf-8", "surrogateescape"))
+                    yield [token.id for token in self.vocab.tokenizer.model.tokenize(letters)]
+
+    def __call__(self, text: str) -> bytes:
+        return b"".join(np.array(part, "<u4").tobytes() for part in self.ids(text))
 
 
 def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -133,7 +150,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         base = (context.partitionId() if context else 0) << 33
-        encoded = lookup("ids", path, id_bytes(end_id))
+        encoded = lookup("ids", path, TextIds)
         end = np.array([end_id], "<u4").tobytes()
         packer, ids, keys = Packer(tiers), {}, {}
         sequences = groups = row = 0
@@ -186,7 +203,7 @@ def pack_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             for batch in split_by_size(whole):
                 for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)),
                                      strict=True):
-                    ids[row] = b"".join(encoded.values(text)) + end
+                    ids[row] = encoded(text) + end
                     keys[row] = key
                     done += packer.add(row, len(ids[row]) // 4)
                     held += len(ids[row]) // 4
