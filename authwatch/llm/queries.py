@@ -15,6 +15,7 @@ from authwatch.llm import (
     bpe_stream, exact_dedup, jaccard_trie, packing, quality_classifier, quality_rules, substring_dedup,
     suffix_dedup, token_counts, warc_zip)
 from authwatch.llm.batches import new_folder
+from authwatch.llm.oracles import ORACLES  # noqa: F401  (SQL twins, by name of the query)
 
 _SHIPPED: weakref.WeakSet = weakref.WeakSet()
 
@@ -72,7 +73,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_trie.link_documents(documents(spark, sf_dir))
+    return jaccard_trie.link_documents(documents(spark, sf_dir)).drop("class_id")
 
 
 def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +92,3 @@ QUERIES = {query.__name__: _shipped(query) for query in (
     op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_packing, op5_quality_rules,
     op6_substring_dedup, op7_bpe_stream, op8_quality_classifier, op9_jaccard_trie,
     op10_warc_zip)}
-
-#: Queries that SQL can express over whole tables.
-ORACLES: dict[str, str] = {}

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import random
-
 import pytest
 
 from authwatch.llm.queries import ship_package
@@ -36,8 +34,3 @@ def odd_rows():
     return [(None, line * 3), (None, None), (1, None), (2, ""), (3, " \n\t"), (4, line * 3),
             (4, line * 3), (5, line * 3), (6, "É" * 300), (7, "é"), (8, line.upper() * 2)]
 
-
-def random_texts(seed, count, words, most):
-    rng = random.Random(seed)
-    return [" ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 3, 20, most])))
-            for _ in range(count)]

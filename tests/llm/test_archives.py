@@ -9,7 +9,7 @@ import zipfile
 from hashlib import sha1
 
 import pytest
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from authwatch.llm import warc_zip
 from authwatch.llm.batches import new_folder

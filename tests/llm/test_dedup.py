@@ -7,8 +7,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
-from conftest import SF_DIR
-from llm.conftest import random_texts
+from llm_helpers import SF_DIR, random_texts
 
 from authwatch.llm import exact_dedup, repeats, rolling, substring_dedup, suffix_dedup
 

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from authwatch.llm import jaccard_trie as jt
 from authwatch.llm.components import components

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import corpus_pipeline as cp
-from conftest import SF_DIR
-from llm.test_dedup import exact_brute, substring_brute
-from llm.test_near import brute as near_brute
-from llm.test_tokens import check_packing
+from llm_helpers import SF_DIR
+from test_dedup import exact_brute, substring_brute
+from test_near import brute as near_brute
+from test_tokens import check_packing
 
 from authwatch.llm import quality_rules
 

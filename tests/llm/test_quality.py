@@ -7,7 +7,7 @@ from collections import Counter
 from zlib import crc32
 
 import pytest
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 
 from authwatch.llm import quality_classifier, quality_rules
 

@@ -9,7 +9,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF_DIR
+from llm_helpers import SF_DIR
 from tokenizers import Tokenizer
 
 from authwatch.llm import bpe_files, bpe_stream, packing, token_counts
