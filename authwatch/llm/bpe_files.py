@@ -31,8 +31,16 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
+#: Bits of an id or rank.
+PACK = 20
+
+
 class Vocabulary:
-    """One tokenizer file: ``pairs`` maps (left id, right id) to (rank, merged id)."""
+    """One tokenizer file.
+
+    ``pairs`` maps (left id, right id) to (rank, merged id); ``packed`` is the same
+    with each pair as one number, ``left << PACK | right`` to ``rank << PACK | merged``.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -43,6 +51,8 @@ class Vocabulary:
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (left, right) in enumerate(model["merges"]):
             self.pairs[self.ids[left], self.ids[right]] = (rank, self.ids[left + right])
+        self.packed = {left << PACK | right: rank << PACK | merged
+                       for (left, right), (rank, merged) in self.pairs.items()}
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.names = {number: name for name, number in
                       [*self.ids.items(), *self.special.items()]}
@@ -151,7 +161,8 @@ class Lookup:
                  of_special: Callable[[str], object], join: Callable[[list], object]):
         self.vocab, self.of_special = vocab, of_special
         self.by_word = Cache(of_word)
-        self.by_chunk = Cache(lambda chunk: join([*map(of_word, vocab.split_chunk(chunk))]))
+        self.by_chunk = Cache(lambda chunk: join(
+            [*map(self.by_word.__getitem__, vocab.split_chunk(chunk))]))
 
     def values(self, text: str) -> list:
         """Values of the chunks, words and special strings of a text, in order."""

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from authwatch.llm.batches import map_batches, texts, type_of
-from authwatch.llm.bpe_files import Lookup, Vocabulary, lookup
+from authwatch.llm.bpe_files import PACK, Lookup, Vocabulary, lookup
 from authwatch.llm.token_counts import merge_linked
 
 #: Symbols read beyond the lookahead before merging again.
 CHUNK = 1024
 #: Ranks after all others.
-NO_PAIR = (1 << 62, -1)
+NO_PAIR = 1 << 62
 
 
 def lookahead(vocab: Vocabulary) -> int:
@@ -62,20 +62,21 @@ def lookahead(vocab: Vocabulary) -> int:
     return longest
 
 
-def merge_all(symbols: list[int], pairs: dict) -> list[int]:
+def merge_all(symbols: list[int], packed: dict[int, int]) -> list[int]:
     """Byte-pair merging of a list: lowest rank first, leftmost of equals."""
-    if len(symbols) > 32:
-        return merge_linked(symbols, pairs)[1]
+    if len(symbols) > 24:
+        return merge_linked(symbols, packed)[1]
+    pair_of = packed.get
     tokens = list(symbols)
-    ranks = [pairs.get(pair, NO_PAIR) for pair in zip(tokens, tokens[1:])]
-    while ranks and (best := min(ranks)) is not NO_PAIR:
+    ranks = [pair_of(a << PACK | b, NO_PAIR) for a, b in zip(tokens, tokens[1:])]
+    while ranks and (best := min(ranks)) != NO_PAIR:
         at = ranks.index(best)
-        tokens[at:at + 2] = [best[1]]
+        tokens[at:at + 2] = [best & (1 << PACK) - 1]
         del ranks[at]
         if at:
-            ranks[at - 1] = pairs.get((tokens[at - 1], tokens[at]), NO_PAIR)
+            ranks[at - 1] = pair_of(tokens[at - 1] << PACK | tokens[at], NO_PAIR)
         if at < len(ranks):
-            ranks[at] = pairs.get((tokens[at], tokens[at + 1]), NO_PAIR)
+            ranks[at] = pair_of(tokens[at] << PACK | tokens[at + 1], NO_PAIR)
     return tokens
 
 
@@ -83,7 +84,7 @@ class Encoder:
     """Symbols of one word in, stable tokens out."""
 
     def __init__(self, vocab: Vocabulary, reach: int | None = None):
-        self.pairs = vocab.pairs
+        self.packed = vocab.packed
         self.reach = lookahead(vocab) if reach is None else reach
         self.width: dict[int, int] = {}
         for (left, right), (_, merged) in vocab.pairs.items():
@@ -99,7 +100,7 @@ class Encoder:
     def _settle(self) -> Iterator[int]:
         stable = len(self.held) - self.reach
         done = 0
-        for token in merge_all(self.held, self.pairs):
+        for token in merge_all(self.held, self.packed):
             end = done + self.width.get(token, 1)
             if end > stable:
                 break
@@ -109,7 +110,7 @@ class Encoder:
 
     def finish(self) -> Iterator[int]:
         """Tokens of what is held; the word ends here."""
-        yield from merge_all(self.held, self.pairs)
+        yield from merge_all(self.held, self.packed)
         self.held.clear()
 
     def encode(self, symbols: Iterable[int]) -> list[int]:

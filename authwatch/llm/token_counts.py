@@ -18,48 +18,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from authwatch.llm.batches import map_batches, texts, type_of
-from authwatch.llm.bpe_files import Lookup, Vocabulary, lookup
+from authwatch.llm.bpe_files import PACK, Lookup, Vocabulary, lookup
 
 
-def merge_linked(symbols: list[int],
-                 pairs: dict[tuple[int, int], tuple[int, int]]) -> tuple[int, list[int]]:
-    """Number of merges that byte-pair encoding makes, and the list it ends with."""
+def merge_linked(symbols: list[int], packed: dict[int, int]) -> tuple[int, list[int]]:
+    """Number of merges that byte-pair encoding makes, and the list it ends with.
+
+    A heap entry is one number: rank, merged id and place, so that the lowest
+    rank and then the leftmost place comes first.
+    """
     size = len(symbols)
-    kind = list(symbols)
-    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    heap = []
-    for at in range(size - 1):
-        found = pairs.get((kind[at], kind[at + 1]))
-        if found:
-            heap.append((found[0], at, found[1], kind[at], kind[at + 1]))
+    if size < 2:
+        return 0, symbols
+    pair_of = packed.get
+    shift = size.bit_length()
+    place = (1 << shift) - 1
+    kind = [*symbols, -1]
+    heap = [found << shift | at for at in range(size - 1)
+            if (found := pair_of(kind[at] << PACK | kind[at + 1])) is not None]
+    if not heap:
+        return 0, symbols
     heapify(heap)
+    after, before = [*range(1, size + 1)], [*range(-1, size)]
     merges = 0
     while heap:
-        _, at, merged, left, right = heappop(heap)
-        following = after[at]
+        entry = heappop(heap)
+        at, found = entry & place, entry >> shift
+        following = after[at] if kind[at] >= 0 else size
         # Stale if either side has been merged meanwhile.
-        if kind[at] != left or following >= size or kind[following] != right:
+        if following == size or pair_of(kind[at] << PACK | kind[following]) != found:
             continue
         merges += 1
+        merged = found & (1 << PACK) - 1
         kind[at], kind[following] = merged, -1
         after[at] = following = after[following]
+        before[following] = at
         if following < size:
-            before[following] = at
-            found = pairs.get((merged, kind[following]))
-            if found:
-                heappush(heap, (found[0], at, found[1], merged, kind[following]))
+            found = pair_of(merged << PACK | kind[following])
+            if found is not None:
+                heappush(heap, found << shift | at)
         previous = before[at]
         if previous >= 0:
-            found = pairs.get((kind[previous], merged))
-            if found:
-                heappush(heap, (found[0], previous, found[1], kind[previous], merged))
+            found = pair_of(kind[previous] << PACK | merged)
+            if found is not None:
+                heappush(heap, found << shift | previous)
     return merges, [token for token in kind if token >= 0]
 
 
 def counter(vocab: Vocabulary) -> Lookup:
     def of_word(word: str) -> int:
         symbols = vocab.symbols(word)
-        return len(symbols) - merge_linked(symbols, vocab.pairs)[0]
+        return len(symbols) - merge_linked(symbols, vocab.packed)[0]
     return Lookup(vocab, of_word, lambda special: 1, sum)
 
 

@@ -49,7 +49,7 @@ def test_tokens_come_out_before_the_word_ends():
         out += encoder.feed([symbol])
         assert len(encoder.held) < encoder.reach + bpe_stream.CHUNK
     assert len(out) > 0.8 * (len(symbols) - encoder.reach - bpe_stream.CHUNK) / 3
-    assert out + [*encoder.finish()] == bpe_stream.merge_all(symbols, vocab.pairs)
+    assert out + [*encoder.finish()] == bpe_stream.merge_all(symbols, vocab.packed)
 
 
 def test_decoder_holds_unfinished_characters():
