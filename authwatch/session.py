@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,4 +49,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="authwatch-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

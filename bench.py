@@ -18,6 +18,7 @@ from authwatch.operators import enrich as en  # noqa: E402
 from authwatch.operators import metrics as mt  # noqa: E402
 from authwatch.operators import report as rp  # noqa: E402
 from authwatch.operators import split as sp  # noqa: E402
+from authwatch.plans import ingest  # noqa: E402
 from authwatch.session import build_session, shared_dir  # noqa: E402
 from authwatch.sources import bus, tables  # noqa: E402
 from authwatch.streaming import live  # noqa: E402
@@ -58,11 +59,26 @@ def main() -> None:
     messages = spark.read.parquet(bus_dir)
     rows = lines.count()
 
+    # The published path: text files in, stored messages out.
+    files_dir = shared_dir(spark, "files")
+    lines.select("message").write.text(files_dir)
+
+    def ingest_files():
+        bus.store_messages(ingest.file_messages(spark, f"{files_dir}/*.txt", corpus.HOST),
+                           shared_dir(spark, "stored"))
+
+    live_root = shared_dir(spark, "settled")
+    live.start_events(bus.replay_bus(spark, bus_dir), live_root, None).awaitTermination()
+
+    def settle():
+        tables.settle_days(spark, live.events_path(live_root), shared_dir(spark, "table"))
+
     def drain(start):
         start(bus.replay_bus(spark, bus_dir), shared_dir(spark, "live"), None).awaitTermination()
 
     runs = {
         "parse_enrich": lambda: noop(parsed),
+        "ingest_files": ingest_files,
         "encode_messages": lambda: noop(bus.to_bus(corpus.log_events(lines))),
         "decode_enrich": lambda: noop(en.enrich(en.decode_event_json(messages))),
         "daily_metrics": lambda: noop(mt.daily_metrics(events)),
@@ -75,6 +91,7 @@ def main() -> None:
         "split_by_date_capped": lambda: noop(
             sp.capped_lines(lines, corpus.YEAR, 100, order=("event_id",))),
         "upsert_events": lambda: noop(tables.upsert(events, events)),
+        "settle_days": settle,
         "stream_upsert": lambda: drain(live.start_events),
         "stream_bruteforce": lambda: drain(live.start_alerts),
     }
@@ -84,7 +101,7 @@ def main() -> None:
         "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
         "rows": rows, "cpus": int(CPUS),
         "rows_per_sec": {name: round(rows / times[name]) for name in
-                         ("parse_enrich", "encode_messages", "decode_enrich", "stream_upsert",
+                         ("parse_enrich", "ingest_files", "encode_messages", "decode_enrich", "stream_upsert",
                           "stream_bruteforce")}}))
     spark.stop()
 
