@@ -17,24 +17,27 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     large = (_least_neighbour(both).filter(F.col("v") > F.col("u"))
-             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
-    down = large.filter(F.col("u") > F.col("v"))
-    near = _least_neighbour(down)
+             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")))
+    near = _least_neighbour(large.filter(F.col("u") > F.col("v")))
     return (near.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"),
                                                          F.col("m").alias("v"))
             .unionByName(near.select("u", F.col("m").alias("v"))).distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or points at one centre only."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    return (ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+            .filter("out > 1 or (out = 1 and into = 1)").isEmpty())
+
+
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, root) for every node of ``edges`` (long ids) but the roots, the least of their
-    component. Each round is kept as a table, and rounds end when nothing changes."""
+    component. Each round is kept as a table, and rounds end when all edges form stars."""
     current = keep_table(edges.filter(F.col(left) != F.col(right)).select(
         F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct())
-    state = None
-    while True:
-        # Exact sums as a fingerprint of the edge set.
-        now = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")),
-                          F.sum(F.hash("v", "u").cast("decimal(20,0)"))).first()
-        if now == state or now[0] == 0:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state, current = now, keep_table(_star(current))
+    while not _are_stars(current):
+        current = keep_table(_star(current))
+    return current.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -382,6 +382,23 @@ def join_sets(sets: list[np.ndarray], labels: list[int] | None = None,
         yield from trie.link(item)
 
 
+def as_stars(pairs: Iterable[tuple[int, int]]) -> dict[int, int]:
+    """Pairs as item -> least item of its component, which is left out itself."""
+    root: dict[int, int] = {}
+
+    def find(item: int) -> int:
+        while (above := root.get(item, item)) != item:
+            root[item] = root.get(above, above)
+            item = above
+        return item
+
+    for left, right in pairs:
+        left, right = find(left), find(right)
+        if left != right:
+            root[max(left, right)] = min(left, right)
+    return {item: find(item) for item in root}
+
+
 def _join_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links within each (group, block), from rows in that order, probes last."""
     def rows():
@@ -396,11 +413,11 @@ def _join_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = [row[4] for row in members] if members[0][4] is not None else None
         if probes == len(members):
             continue
-        pairs = list(join_sets(sets, labels, probes))
-        if pairs:
+        stars = as_stars(((signs[a], signs[b]) for a, b in join_sets(sets, labels, probes)))
+        if stars:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([signs[a] for a, _ in pairs], pa.int64()),
-                 pa.array([signs[b] for _, b in pairs], pa.int64())], ["a", "b"])
+                [pa.array(stars.keys(), pa.int64()), pa.array(stars.values(), pa.int64())],
+                ["a", "b"])
 
 
 def _in_groups(rows: DataFrame) -> DataFrame:
