@@ -77,7 +77,48 @@ SELECT page_id, payload_bytes, {BASE32} AS payload_digest,
        CASE WHEN page_id <> winner THEN winner END AS refers_to
 FROM hashed JOIN winners USING (digest)"""
 
+QUALITY = f"""
+WITH texts AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         {WORDS.format(text="coalesce(text, '')")} AS words FROM documents),
+lines AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM texts),
+worded AS (
+  SELECT doc_id, source, text, line, words FROM (
+    SELECT *, {WORDS.format(text="line")} AS words FROM lines) WHERE len(words) > 0),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, place, array_to_string(list_slice(words, place, place + 7), ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS place FROM texts)),
+twice AS (SELECT doc_id, gram FROM windows GROUP BY ALL HAVING count(*) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest(range(place, place + 8)) AS place
+    FROM windows JOIN twice USING (doc_id, gram)) GROUP BY doc_id),
+short_lines AS (
+  SELECT doc_id, source, text, lower(array_to_string(words, ' ')) AS line, len(words) AS n
+  FROM worded WHERE len(words) <= 40),
+hosts AS (SELECT source, count(DISTINCT text) AS documents FROM texts GROUP BY source),
+frequent AS (
+  SELECT source, line FROM short_lines JOIN hosts USING (source)
+  GROUP BY source, line, documents
+  HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > documents * 0.01),
+hits AS (
+  SELECT doc_id, sum(n) AS removed FROM short_lines JOIN frequent USING (source, line)
+  GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+         CAST(coalesce(removed, 0) AS BIGINT) AS boilerplate_words
+  FROM texts LEFT JOIN dups USING (doc_id) LEFT JOIN repeats USING (doc_id)
+       LEFT JOIN hits USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
+SELECT *, NOT base_failed AND n_words - boilerplate_words >= 20
+          AND n_words - boilerplate_words >= n_words * 0.3 AS kept FROM judged"""
+
 ORACLES = {
+    "op5_quality_rules": QUALITY,
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op9_jaccard_trie": JACCARD,
