@@ -8,7 +8,10 @@ that is left with too few words, or too small a share of its words, is rejected.
 Longer passages are left to the dedup operators, so that copies of a good text
 are no reason to lose all of them.
 
-The texts are read once. Counts are combined before each shuffle, so a line or
+``judge`` gives counts and verdicts of the texts as they come; ``kept_texts`` gives
+the rows of the documents that stay, without the lines above the limit.
+
+``judge`` reads the texts once, ``kept_texts`` twice. Counts are combined before each shuffle, so a line or
 host with a large part of all rows is a few rows per task. Null hosts form one
 host, a null text has no words, and repeated rows each get a verdict. Other
 columns are ignored.
@@ -71,18 +74,30 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
+def line_key(words: list[bytes]) -> int:
+    """Hash of a normalised line, from its words."""
+    plain = b" ".join(words).decode().lower().encode()
+    return int.from_bytes(blake2b(plain, digest_size=8).digest(), "big", signed=True)
+
+
 def short_lines(text: bytes) -> dict[int, int]:
     """Hash of each normalised short line of a text, and its words in all its places."""
     found: dict[int, int] = {}
     for line in text.split(b"\n"):
         words = line.split()
         if 0 < len(words) <= LINE_WORDS:
-            plain = b" ".join(words).decode().lower().encode()
-            key = int.from_bytes(blake2b(plain, digest_size=8).digest(), "big", signed=True)
+            key = line_key(words)
             found[key] = found.get(key, 0) + len(words)
     return found
 
 
+def without_lines(text: bytes, lost: set[int]) -> tuple[bytes, int]:
+    """The text without the lines whose hashes are in ``lost``, and how many lines went."""
+    lines = text.split(b"\n")
+    stay = [line for line in lines if not (words := line.split()) or line_key(words) not in lost]
+    return b"\n".join(stay), len(lines) - len(stay)
+
+
 def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     rows = encoded(batch.column(2))
     counts = list(zip(*map(base_counts, rows), strict=True))
@@ -91,18 +106,18 @@ def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
                for text in rows]
     yield pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(1), pa.array(content, pa.int64()),
-         *(pa.array(c, pa.int64()) for c in counts),
+         batch.column(3), *(pa.array(c, pa.int64()) for c in counts),
          pa.array(lines, pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())])))],
-        ["doc", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        ["doc", "host", "content", "copy", "n_words", "word_chars", "n_symbols", "n_dup_lines",
          "n_repeat_words", "lines"])
 
 
 def profile(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """Base counts and short lines per row, kept as a table and numbered."""
     counted = map_batches(
-        docs.select(id_col, host_col, text_col), _profile,
+        docs.select(id_col, host_col, text_col, F.xxhash64(text_col)), _profile,
         f"doc {type_of(docs, id_col)}, host {type_of(docs, host_col)}, content long, "
-        "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+        "copy long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "lines array<struct<line: long, words: long>>")
     return keep_table(counted.withColumn("number", F.monotonically_increasing_id()))
 
@@ -119,16 +134,16 @@ def frequent_lines(profiled: DataFrame) -> DataFrame:
             .filter(F.col("n") > F.col("documents") * SHARE).select("host", "line"))
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          host_col: str = "source") -> DataFrame:
-    """One row per row: id, base counts, base_failed, kept, and boilerplate_words."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """Profile and verdict per row, with the hashes of the lines it loses."""
     profiled = profile(docs, id_col, text_col, host_col)
     hits = (profiled.select("number", F.struct("host").alias("host"),
                             F.explode("lines").alias("at"))
             .select("number", "host", F.col("at.line").alias("line"),
                     F.col("at.words").alias("words"))
             .join(frequent_lines(profiled), ["host", "line"])
-            .groupBy("number").agg(F.sum("words").alias("removed")))
+            .groupBy("number").agg(F.sum("words").alias("removed"),
+                                   F.collect_list("line").alias("lost")))
     left = F.col("n_words") - F.col("boilerplate_words")
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -136,7 +151,50 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("boilerplate_words", F.coalesce("removed", F.lit(0)))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (left >= LEAST_WORDS)
-                        & (left >= F.col("n_words") * LEAST_SHARE))
-            .select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols",
-                    "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-                    "boilerplate_words"))
+                        & (left >= F.col("n_words") * LEAST_SHARE)))
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          host_col: str = "source") -> DataFrame:
+    """One row per row: id, base counts, base_failed, kept, and boilerplate_words."""
+    return _judged(docs, id_col, text_col, host_col).select(
+        F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "boilerplate_words")
+
+
+def _remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    texts, gone = batch.column(1).cast(pa.binary()).to_pylist(), [0] * batch.num_rows
+    for number, lost in enumerate(batch.column(2).to_pylist()):
+        if lost:
+            texts[number], gone[number] = without_lines(texts[number], set(lost))
+    yield pa.RecordBatch.from_arrays(
+        [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()),
+         pa.array(gone, pa.int64()), batch.column(3)],
+        ["doc", "kept_text", "n_lines_removed", "carried"])
+
+
+def kept_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               host_col: str = "source", carried: tuple[str, ...] = ("source",)) -> DataFrame:
+    """Rows of the documents that stay: id, kept_text, n_lines_removed and a struct ``carried``.
+
+    ``kept_text`` is the text without its lines above the limit; a text without such
+    lines is as it was. A document stays with all its rows if one of them is kept; null
+    ids are one document. ``carried`` names the other columns that follow.
+    """
+    rows = keep_table(_judged(docs, id_col, text_col, host_col)
+                      .select("doc", "host", "copy", "kept", "lost"))
+    ids = rows.filter("kept").select(F.col("doc").alias("kept_id")).distinct()
+    # Texts of one host that share a hash get the lines of both, which are above the limit.
+    lost = (rows.join(ids, F.col("doc").eqNullSafe(F.col("kept_id")), "left_semi")
+            .groupBy("doc", "host", "copy")
+            .agg(F.array_distinct(F.flatten(F.collect_set("lost"))).alias("lost")))
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(host_col).alias("at"),
+        F.xxhash64(text_col).alias("hash"), F.struct(*carried).alias("carried"))
+    joined = texts.join(lost, F.col("id").eqNullSafe(F.col("doc"))
+                        & F.col("at").eqNullSafe(F.col("host"))
+                        & (F.col("hash") == F.col("copy")))
+    return map_batches(
+        joined.select("id", "text", "lost", "carried"), _remove,
+        f"doc {type_of(docs, id_col)}, kept_text string, n_lines_removed long, "
+        f"carried {type_of(texts, 'carried')}").withColumnRenamed("doc", id_col)

@@ -29,9 +29,13 @@ def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep, without their boilerplate lines."""
     ship_package(spark)
-    return _kept(docs, quality_rules.judge(docs).filter("kept"))
+    rows = quality_rules.kept_texts(docs, carried=("lang", "source", "n_chars"))
+    chars = F.when(F.col("n_lines_removed") > 0, F.char_length("kept_text").cast("long"))
+    return rows.select("doc_id", F.col("kept_text").alias("text"), "carried.lang",
+                       "carried.source",
+                       F.coalesce(chars, F.col("carried.n_chars")).alias("n_chars"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,17 @@ def test_odd_rows_pass_all_stages(spark, frame, odd_rows):
         for _, stage in cp.STAGES:
             docs = stage(spark, docs, SF_DIR)
         docs.count()
+
+
+def test_quality_stage_removes_boilerplate_lines(spark, frame):
+    menu = "\n".join(f"Home  About Contact {m}" for m in range(30))
+    own = {3 * n: f"first {n}\n" + " ".join(f"w{n}x{m}" for m in range(200)) for n in range(40)}
+    rows = [(key, f"{menu}\n\n{text}\n{menu.upper()}") for key, text in own.items()]
+    other = f"{menu}\n{own[0]}"  # a host that has the menu once
+    # Rows of one id share their fate, and each loses its own lines; null ids are one document.
+    rows += [(1, other), (3, "short"), (None, f"{menu}\n{own[3]}"), (None, None)]
+    got = cp.quality_stage(spark, frame(rows), SF_DIR).collect()
+    want = [(key, f"\n{text}") for key, text in own.items()]
+    want += [(1, other), (3, "short"), (None, own[3]), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+    assert all(r.text is None or r.n_chars == len(r.text) for r in got)
