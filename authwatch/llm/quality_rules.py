@@ -1,12 +1,16 @@
 """Quality rules by cross-document line frequency.
 
-Short lines that many documents of one host share are its boilerplate. Lines are
-normalised (white space runs to one blank, ends trimmed, lower case) and hashed;
-per host, the distinct documents of each hash are counted, where documents with
-equal text count once. A line above the host's limit is removed, and a document
-that is left with too few words, or too small a share of its words, is rejected.
-Longer passages are left to the dedup operators, so that copies of a good text
-are no reason to lose all of them.
+Lines that many documents of one host share are its boilerplate. Lines of any
+length are normalised (white space runs to one blank, ends trimmed, lower case)
+and hashed; per host, the distinct documents of each hash are counted. A line
+above the host's limit is removed, and a document that is left with too few
+words, or too small a share of its words, is rejected.
+
+Copies of a good text are no reason to lose all of them: a long line, or one that
+is above the limit only by copies of a few texts, stays in one text of the host
+and in the exact copies of that text. It is the text with the most documents among
+those that hold the line and pass the base rule. A short line in many different
+texts goes from all of them.
 
 ``judge`` gives counts and verdicts of the texts as they come; ``kept_texts`` gives
 the rows of the documents that stay, without the lines above the limit.
@@ -31,11 +35,13 @@ from authwatch.llm.batches import encoded, keep_table, map_batches, type_of
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
-#: A line is boilerplate in more than ``MIN_DOCUMENTS`` documents of a host and
-#: more than ``SHARE`` of them, if it has at most ``LINE_WORDS`` words.
+#: A line is boilerplate in more than ``MIN_DOCUMENTS`` documents of a host, if they
+#: are more than ``SHARE`` of its texts. Above ``LINE_WORDS`` words, one text keeps it.
 MIN_DOCUMENTS, SHARE, LINE_WORDS = 20, 0.01, 40
 #: A document stays with at least so many words and this share of its words.
 LEAST_WORDS, LEAST_SHARE = 20, 0.3
+#: Bits of a text's hash that choose among texts with equally many documents.
+TIE_BITS = 36
 WINDOW = 8
 
 
@@ -80,14 +86,14 @@ def line_key(words: list[bytes]) -> int:
     return int.from_bytes(blake2b(plain, digest_size=8).digest(), "big", signed=True)
 
 
-def short_lines(text: bytes) -> dict[int, int]:
-    """Hash of each normalised short line of a text, and its words in all its places."""
-    found: dict[int, int] = {}
+def line_words(text: bytes) -> dict[int, tuple[int, bool]]:
+    """Hash of each normalised line of a text, its words in all its places, and if it is long."""
+    found: dict[int, tuple[int, bool]] = {}
     for line in text.split(b"\n"):
-        words = line.split()
-        if 0 < len(words) <= LINE_WORDS:
+        if words := line.split():
             key = line_key(words)
-            found[key] = found.get(key, 0) + len(words)
+            before = found[key][0] if key in found else 0
+            found[key] = before + len(words), len(words) > LINE_WORDS
     return found
 
 
@@ -101,55 +107,68 @@ def without_lines(text: bytes, lost: set[int]) -> tuple[bytes, int]:
 def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     rows = encoded(batch.column(2))
     counts = list(zip(*map(base_counts, rows), strict=True))
-    lines = [[{"line": k, "words": v} for k, v in short_lines(text).items()] for text in rows]
+    lines = [[{"line": k, "words": v, "long": long} for k, (v, long) in line_words(text).items()]
+             for text in rows]
     content = [int.from_bytes(blake2b(text, digest_size=8).digest(), "big", signed=True)
                for text in rows]
     yield pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(1), pa.array(content, pa.int64()),
          batch.column(3), *(pa.array(c, pa.int64()) for c in counts),
-         pa.array(lines, pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())])))],
+         pa.array(lines, pa.list_(pa.struct(
+             [("line", pa.int64()), ("words", pa.int64()), ("long", pa.bool_())])))],
         ["doc", "host", "content", "copy", "n_words", "word_chars", "n_symbols", "n_dup_lines",
          "n_repeat_words", "lines"])
 
 
 def profile(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Base counts and short lines per row, kept as a table and numbered."""
+    """Base counts and lines per row, kept as a table and numbered."""
     counted = map_batches(
         docs.select(id_col, host_col, text_col, F.xxhash64(text_col)), _profile,
         f"doc {type_of(docs, id_col)}, host {type_of(docs, host_col)}, content long, "
         "copy long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "lines array<struct<line: long, words: long>>")
-    return keep_table(counted.withColumn("number", F.monotonically_increasing_id()))
+        "lines array<struct<line: long, words: long, long: boolean>>")
+    failed = (F.col("n_words") < LEAST_WORDS) | (
+        100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return keep_table(counted.withColumn("base_failed", failed)
+                      .withColumn("number", F.monotonically_increasing_id()))
 
 
 def frequent_lines(profiled: DataFrame) -> DataFrame:
-    """(host, line) above the limit of the host."""
-    sizes = (profiled.select("host", "content").distinct()
-             .groupBy(F.struct("host").alias("host")).agg(F.count("*").alias("documents")))
-    lines = (profiled.select(F.struct("host").alias("host"), "content",
-                             F.explode("lines.line").alias("line"))
-             .distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
-             .filter(F.col("n") > MIN_DOCUMENTS))
-    return (lines.join(sizes, "host")
-            .filter(F.col("n") > F.col("documents") * SHARE).select("host", "line"))
+    """(host, line) above the limit of the host, and the text that keeps it, if any."""
+    texts = profiled.groupBy("host", "content").agg(
+        F.count_distinct(F.struct("doc")).alias("documents"), F.min("number").alias("number"))
+    sizes = (texts.groupBy(F.struct("host").alias("host"))
+             .agg(F.count("*").alias("host_texts")))
+    # One row for each text goes on, so a text with many copies weighs no more than others.
+    order = F.shiftleft("documents", TIE_BITS) + F.col("content").bitwiseAND((1 << TIE_BITS) - 1)
+    return (profiled.select("number", "host", "content", "base_failed", "lines")
+            .join(texts.select("number", "documents"), "number")
+            .select(F.struct("host").alias("host"), "content", "documents", "base_failed",
+                    F.explode("lines").alias("at"))
+            .groupBy("host", F.col("at.line").alias("line"))
+            .agg(F.sum("documents").alias("n"), F.count("*").alias("texts"),
+                 F.max("at.long").alias("long"),
+                 F.max_by("content", F.when(~F.col("base_failed"), order)).alias("spared"))
+            .filter(F.col("n") > MIN_DOCUMENTS)
+            .join(sizes, "host").filter(F.col("n") > F.col("host_texts") * SHARE)
+            .select("host", "line", F.when(
+                F.col("long") | (F.col("texts") <= MIN_DOCUMENTS), F.col("spared")).alias("spared")))
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """Profile and verdict per row, with the hashes of the lines it loses."""
     profiled = profile(docs, id_col, text_col, host_col)
-    hits = (profiled.select("number", F.struct("host").alias("host"),
+    hits = (profiled.select("number", F.struct("host").alias("host"), "content",
                             F.explode("lines").alias("at"))
-            .select("number", "host", F.col("at.line").alias("line"),
+            .select("number", "host", "content", F.col("at.line").alias("line"),
                     F.col("at.words").alias("words"))
             .join(frequent_lines(profiled), ["host", "line"])
+            .filter(~F.col("content").eqNullSafe(F.col("spared")))
             .groupBy("number").agg(F.sum("words").alias("removed"),
                                    F.collect_list("line").alias("lost")))
     left = F.col("n_words") - F.col("boilerplate_words")
-    failed = (F.col("n_words") < LEAST_WORDS) | (
-        100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (profiled.drop("lines").join(hits, "number", "left")
             .withColumn("boilerplate_words", F.coalesce("removed", F.lit(0)))
-            .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (left >= LEAST_WORDS)
                         & (left >= F.col("n_words") * LEAST_SHARE)))
 

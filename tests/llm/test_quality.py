@@ -60,6 +60,28 @@ def test_copies_of_a_good_text_are_no_boilerplate(frame):
     assert all(row.kept for row in got.values())
 
 
+def test_long_lines_count_and_one_text_keeps_them(frame):
+    notice = " ".join(f"notice{m}" for m in range(90))
+    got = judged(frame, [(3 * n, f"{notice}\nown words {n}") for n in range(60)]
+                 + [(1, notice), (4, f"{notice}\n{body(1)}")])
+    kept = [key for key, row in got.items() if row.kept]
+    assert len(kept) == 3 and {1, 4} < set(kept)
+    assert sorted({row.boilerplate_words for row in got.values()}) == [0, 90]
+
+
+def test_documents_count_beside_copies_and_the_copied_text_stays(frame):
+    page = "\n".join(" ".join(f"s{n}w{m}" for m in range(10)) for n in range(10))
+    rows = [(3 * n, page) for n in range(100)]
+    rows += [(3 * n, f"{page}\nown words {n}") for n in range(100, 105)]
+    got = judged(frame, rows)
+    assert all(got[3 * n].kept and got[3 * n].boilerplate_words == 0 for n in range(100))
+    assert all(got[3 * n].boilerplate_words == 100 and not got[3 * n].kept
+               for n in range(100, 105))
+    # Rows that share id and text are one document.
+    again = judged(frame, [(3, page)] * 100 + rows[-5:])
+    assert all(row.kept and row.boilerplate_words == 0 for row in again.values())
+
+
 def test_odd_rows(frame, odd_rows):
     assert quality_rules.judge(frame(odd_rows)).count() == len(odd_rows)
     assert quality_rules.judge(frame([])).count() == 0
