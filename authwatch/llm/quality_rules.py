@@ -3,8 +3,9 @@
 Lines that many documents of one host share are its boilerplate. Lines of any
 length are normalised (white space runs to one blank, ends trimmed, lower case)
 and hashed; per host, the distinct documents of each hash are counted. A line
-above the host's limit is removed, and a document that is left with too few
-words, or too small a share of its words, is rejected.
+above the limit is removed, and a document that is left with too few words, or
+too small a share of its words, is rejected. The limit is a number of documents
+per host, whatever the host's size, so verdicts are alike at every size.
 
 Copies of a good text are no reason to lose all of them: a long line, or one that
 is above the limit only by copies of a few texts, stays in one text of the host
@@ -35,9 +36,9 @@ from authwatch.llm.batches import encoded, keep_table, map_batches, type_of
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
-#: A line is boilerplate in more than ``MIN_DOCUMENTS`` documents of a host, if they
-#: are more than ``SHARE`` of its texts. Above ``LINE_WORDS`` words, one text keeps it.
-MIN_DOCUMENTS, SHARE, LINE_WORDS = 20, 0.01, 40
+#: A line is boilerplate in more than ``MIN_DOCUMENTS`` documents of a host. If it has
+#: more than ``LINE_WORDS`` words, one text keeps it.
+MIN_DOCUMENTS, LINE_WORDS = 20, 40
 #: A document stays with at least so many words and this share of its words.
 LEAST_WORDS, LEAST_SHARE = 20, 0.3
 #: Bits of a text's hash that choose among texts with equally many documents.
@@ -134,11 +135,9 @@ def profile(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
 
 
 def frequent_lines(profiled: DataFrame) -> DataFrame:
-    """(host, line) above the limit of the host, and the text that keeps it, if any."""
+    """(host, line) above the limit, and the text that keeps it, if any."""
     texts = profiled.groupBy("host", "content").agg(
         F.count_distinct(F.struct("doc")).alias("documents"), F.min("number").alias("number"))
-    sizes = (texts.groupBy(F.struct("host").alias("host"))
-             .agg(F.count("*").alias("host_texts")))
     # One row for each text goes on, so a text with many copies weighs no more than others.
     order = F.shiftleft("documents", TIE_BITS) + F.col("content").bitwiseAND((1 << TIE_BITS) - 1)
     return (profiled.select("number", "host", "content", "base_failed", "lines")
@@ -150,7 +149,6 @@ def frequent_lines(profiled: DataFrame) -> DataFrame:
                  F.max("at.long").alias("long"),
                  F.max_by("content", F.when(~F.col("base_failed"), order)).alias("spared"))
             .filter(F.col("n") > MIN_DOCUMENTS)
-            .join(sizes, "host").filter(F.col("n") > F.col("host_texts") * SHARE)
             .select("host", "line", F.when(
                 F.col("long") | (F.col("texts") <= MIN_DOCUMENTS), F.col("spared")).alias("spared")))
 

@@ -82,6 +82,14 @@ def test_documents_count_beside_copies_and_the_copied_text_stays(frame):
     assert all(row.kept and row.boilerplate_words == 0 for row in again.values())
 
 
+def test_verdicts_do_not_depend_on_the_size_of_the_host(frame):
+    menu = "\n".join(f"Home  About Contact {m}" for m in range(30))
+    rows = [(3 * n, f"{menu}\nown words {n}") for n in range(25)]
+    for others in (0, 3000):
+        got = judged(frame, rows + [(3 * n, f"other {n}") for n in range(100, 100 + others)])
+        assert all(got[key].boilerplate_words == 120 and not got[key].kept for key, _ in rows)
+
+
 def test_odd_rows(frame, odd_rows):
     assert quality_rules.judge(frame(odd_rows)).count() == len(odd_rows)
     assert quality_rules.judge(frame([])).count() == 0
