@@ -20,6 +20,7 @@ from __future__ import annotations
 import codecs
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -121,18 +122,20 @@ class Decoder:
     """Tokens in, text out."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
-        self.bytes_of = {letter: number for number, letter in enumerate(vocab.letters)}
+        self.names, self.special = vocab.names, vocab.special
+        self.plain = not vocab.byte_level_decoder
+        self.bytes_of = {} if self.plain else {x: n for n, x in enumerate(vocab.letters)}
         self.text = codecs.getincrementaldecoder("utf-8")("replace")
         self.begun = False
 
     def feed(self, token: int) -> str:
-        name = self.vocab.names[token]
-        if not self.vocab.byte_level_decoder:
-            name = " " + name if self.begun else name
+        name = self.names[token]
+        if self.plain:
+            if self.begun:
+                return " " + name
             self.begun = True
             return name
-        if name in self.vocab.special:
+        if name in self.special:
             return self.text.decode(name.encode())
         return self.text.decode(bytes(self.bytes_of[letter] for letter in name))
 
@@ -143,33 +146,26 @@ class Decoder:
         return "".join(map(self.feed, tokens)) + self.finish()
 
 
-def _join(parts: list[tuple[int, str, str]]) -> tuple[int, str, str]:
-    counts, ids, names = zip(*parts, strict=True) if parts else ((), (), ())
-    return sum(counts), " ".join(ids), " ".join(names)
+def _join(parts: list[tuple[str, list[int]]]) -> tuple[str, list[int]]:
+    ids, tokens = zip(*parts, strict=True) if parts else ((), ())
+    return " ".join(ids), [*chain.from_iterable(tokens)]
 
 
 def encoder(vocab: Vocabulary) -> Lookup:
-    """Number of tokens, ids and token names joined by blanks."""
+    """Ids joined by blanks, and the ids."""
     words = Encoder(vocab)
 
-    def of_word(word: str) -> tuple[int, str, str]:
+    def of_word(word: str) -> tuple[str, list[int]]:
         tokens = words.encode(vocab.symbols(word))
-        return (len(tokens), " ".join(map(str, tokens)),
-                " ".join(vocab.names[token] for token in tokens))
+        return " ".join(map(str, tokens)), tokens
     return Lookup(vocab, of_word,
-                  lambda special: (1, str(vocab.special[special]), special), _join)
+                  lambda special: (str(vocab.special[special]), [vocab.special[special]]), _join)
 
 
 def encode_text(text: str, encoded: Lookup) -> tuple[int, str, str]:
-    """Number of tokens, ids joined by blanks, and the decoded text.
-
-    Without a decoder in the file the text is the names joined by blanks, which
-    the state machine gives word by word; else all tokens go through it.
-    """
-    count, ids, names = _join(encoded.values(text))
-    if encoded.vocab.byte_level_decoder:
-        return count, ids, Decoder(encoded.vocab).decode(map(int, ids.split()))
-    return count, ids, names
+    """Number of tokens, ids joined by blanks, and the text that the decoder gives for them."""
+    ids, tokens = _join(encoded.values(text))
+    return len(tokens), ids, Decoder(encoded.vocab).decode(tokens)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id",

@@ -25,6 +25,18 @@ def odd_texts():
                     "ab" * 1500, "".join(rng.choice("etaoinsh") for _ in range(4000))]
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_the_decoder_takes_every_token(path, monkeypatch):
+    fed, feed = [], bpe_stream.Decoder.feed
+    monkeypatch.setattr(bpe_stream.Decoder, "feed",
+                        lambda self, token: fed.append(token) or feed(self, token))
+    words = bpe_stream.encoder(bpe_files.Vocabulary(path))
+    for text in odd_texts():
+        fed.clear()
+        count, joined, _ = bpe_stream.encode_text(text, words)
+        assert " ".join(map(str, fed)) == joined and len(fed) == count
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_every_operator_gives_the_ids_of_the_library(path):
     library, vocab = Tokenizer.from_file(path), bpe_files.Vocabulary(path)
