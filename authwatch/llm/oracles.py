@@ -117,10 +117,34 @@ judged AS (
 SELECT *, NOT base_failed AND n_words - boilerplate_words >= 20
           AND n_words - boilerplate_words >= n_words * 0.3 AS kept FROM judged"""
 
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10
+                      ELSE CAST(label AS BIGINT) END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+         AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
 ORACLES = {
     "op5_quality_rules": QUALITY,
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op9_jaccard_trie": JACCARD,
     "op10_warc_zip": WARC,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

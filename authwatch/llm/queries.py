@@ -10,10 +10,11 @@ import weakref
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from authwatch.llm import (
-    bpe_stream, exact_dedup, jaccard_trie, packing, quality_classifier, quality_rules, substring_dedup,
-    suffix_dedup, token_counts, warc_zip)
+    bpe_stream, exact_dedup, hard_negatives, jaccard_trie, packing, quality_classifier,
+    quality_rules, substring_dedup, suffix_dedup, token_counts, warc_zip)
 from authwatch.llm.batches import new_folder
 from authwatch.llm.oracles import ORACLES  # noqa: F401  (SQL twins, by name of the query)
 
@@ -81,6 +82,13 @@ def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.round_trip(pages, new_folder(spark, "archives"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -91,4 +99,4 @@ def _shipped(query):
 QUERIES = {query.__name__: _shipped(query) for query in (
     op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_packing, op5_quality_rules,
     op6_substring_dedup, op7_bpe_stream, op8_quality_classifier, op9_jaccard_trie,
-    op10_warc_zip)}
+    op10_warc_zip, op11_hard_negatives)}

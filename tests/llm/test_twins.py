@@ -12,7 +12,7 @@ from authwatch.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     want = con.sql(ORACLES[name])
     got = QUERIES[name](spark, SF_DIR)
