@@ -140,6 +140,48 @@ FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10"""
 
+DIVERGENCE = rf"""
+WITH documents_of AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({LOWER},
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+uses AS (SELECT doc, lang, source, unnest(terms) AS term FROM documents_of),
+kept AS (
+  SELECT lang, term, count(*) AS lang_count FROM uses
+  GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+sizes AS (SELECT lang, count(*) AS v, sum(lang_count) AS lang_n FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS c FROM uses GROUP BY ALL),
+pairs_of AS (
+  SELECT DISTINCT lang, source FROM documents_of),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, lang_count, v, lang_n
+  FROM pairs_of g JOIN kept k USING (lang) JOIN sizes USING (lang)
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS (
+  SELECT lang, source, term, c,
+         CAST(1 + (1000000000 * CAST(c + 2 AS HUGEINT))
+           // (sum(c) OVER (PARTITION BY lang, source) + 2 * v) AS BIGINT) AS p,
+         CAST(1 + (1000000000 * CAST(lang_count + 2 AS HUGEINT)) // (lang_n + 2 * v) AS BIGINT) AS q
+  FROM cells),
+summed AS (
+  SELECT a.lang, a.source, b.source AS item,
+         CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+paired AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM pairs_of a JOIN pairs_of b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM paired
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares
+  WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)
+         AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10"""
+
 ORACLES = {
     "op5_quality_rules": QUALITY,
     "op3_exact_dedup": EXACT_DEDUP,
@@ -147,4 +189,5 @@ ORACLES = {
     "op9_jaccard_trie": JACCARD,
     "op10_warc_zip": WARC,
     "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_source_divergence": DIVERGENCE,
 }

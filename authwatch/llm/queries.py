@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from authwatch.llm import (
     bpe_stream, exact_dedup, hard_negatives, jaccard_trie, packing, quality_classifier,
-    quality_rules, substring_dedup, suffix_dedup, token_counts, warc_zip)
+    quality_rules, source_divergence, substring_dedup, suffix_dedup, token_counts, warc_zip)
 from authwatch.llm.batches import new_folder
 from authwatch.llm.oracles import ORACLES  # noqa: F401  (SQL twins, by name of the query)
 
@@ -89,6 +89,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(documents(spark, sf_dir))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -99,4 +103,4 @@ def _shipped(query):
 QUERIES = {query.__name__: _shipped(query) for query in (
     op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_packing, op5_quality_rules,
     op6_substring_dedup, op7_bpe_stream, op8_quality_classifier, op9_jaccard_trie,
-    op10_warc_zip, op11_hard_negatives)}
+    op10_warc_zip, op11_hard_negatives, op12_source_divergence)}
