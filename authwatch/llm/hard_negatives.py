@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from authwatch.llm.batches import keep_table
+
 #: Anchors that a cell holds, rows that it streams, and scores computed at once.
 ANCHORS, ROWS, SCORES = 8192, 1 << 20, 1 << 20
 LIMIT = 1 << 56
@@ -92,14 +94,14 @@ class Cell:
     else one per anchor and slot, of rows with other labels.
     """
 
-    def __init__(self, ids, labels, values, limits, least, k: int):
+    def __init__(self, ids, labels, values, limits, least, k: int, at_once: int = SCORES):
         self.ids, self.labels, self.values = ids, labels, values
-        self.limits, self.least = limits, least
+        self.limits, self.least, self.at_once = limits, least, at_once
         self.slots = 1 if limits is None else limits.shape[1]
         self.best = Best(len(ids) * self.slots, k)
 
     def add(self, ids: np.ndarray, labels: np.ndarray, values: np.ndarray) -> None:
-        step = max(1, SCORES // max(1, len(self.ids)))
+        step = max(1, self.at_once // max(1, len(self.ids)))
         for start in range(0, len(ids), step):
             part = slice(start, start + step)
             self._score(ids[part], labels[part], values[part])
@@ -129,7 +131,7 @@ class Cell:
             ["anchor", "slot", "score", "other"])
 
 
-def _cells(scale: int, k: int):
+def _cells(scale: int, k: int, at_once: int):
     """A partition holds whole cells, one after the other, anchors of a cell first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, cell = None, [], None
@@ -150,20 +152,20 @@ def _cells(scale: int, k: int):
                     parts.append((ids[part], labels[part], values[part], limits[part], least[part]))
                 elif parts or cell:
                     if not cell:
-                        cell, parts = _cell_of(parts, k), []
+                        cell, parts = _cell_of(parts, k, at_once), []
                     cell.add(ids[part], labels[part], values[part])
         if cell:
             yield from cell.found()
     return run
 
 
-def _cell_of(parts: list, k: int) -> Cell:
+def _cell_of(parts: list, k: int, at_once: int) -> Cell:
     width = max(part[2].shape[1] for part in parts)
     values = np.concatenate([np.pad(p[2], ((0, 0), (0, width - p[2].shape[1]))) for p in parts])
     limits = [x for part in parts for x in part[3]]
     limits = None if limits[0] is None else np.array([np.asarray(x, np.int64) for x in limits])
     ids, labels, least = (np.concatenate([p[n] for p in parts]) for n in (0, 1, 4))
-    return Cell(ids, labels, values, limits, least, k)
+    return Cell(ids, labels, values, limits, least, k, at_once)
 
 
 def best_rows(rows: DataFrame, anchors: DataFrame, cells: tuple[int, int], scale: int,
@@ -191,7 +193,7 @@ def best_rows(rows: DataFrame, anchors: DataFrame, cells: tuple[int, int], scale
                  "a", "r", streamed, 0).unionByName(
         dealt(empty.withColumn("least", F.lit(NONE)), "r", "a", held, 1))
     found = (both.repartition(held * streamed, "cell").sortWithinPartitions("cell", "role")
-             .mapInArrow(_cells(scale, k), "anchor long, slot long, score long, other long"))
+             .mapInArrow(_cells(scale, k, SCORES), "anchor long, slot long, score long, other long"))
     order = Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), "other")
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
@@ -235,11 +237,11 @@ def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", label_co
                                  "least": F.lit(None).cast("long")})
     near = best_rows(rows_only, blank, cells, scale, positives)
     # Anchors with the limits of their positives, highest first; a slot for each.
-    limits = near.groupBy("anchor").agg(
+    limits = keep_table(near.groupBy("anchor").agg(
         F.sort_array(F.collect_list(F.struct(
             "place", F.col("other").alias("positive_id"),
             F.col("score").alias("positive_score"))))
-        .alias("asked"))
+        .alias("asked")))
     upper = F.transform("asked", lambda p: F.when(
         p.positive_score >= 0, _share(p.positive_score, high, up=False)).otherwise(NONE))
     lower = F.array_min(F.transform("asked", lambda p: F.when(
