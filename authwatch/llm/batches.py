@@ -71,6 +71,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return uri if "://" in uri else "file://" + uri.removeprefix("file:")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder that all executors share, and reread.
+
+    The shuffle files of the job are removed when it ends.
+    """
+    spark, path = df.sparkSession, f"{new_folder(df.sparkSession, name)}/rows"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def keep_table(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder that all executors share."""
     shared_folder(df.sparkSession)

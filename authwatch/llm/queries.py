@@ -93,6 +93,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(documents(spark, sf_dir))
 
 
+def op13_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return suffix_tree_lm.score_texts(documents(spark, sf_dir), F.coalesce(rest != 2, F.lit(True)))
+
+
 def _shipped(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -103,4 +108,5 @@ def _shipped(query):
 QUERIES = {query.__name__: _shipped(query) for query in (
     op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_packing, op5_quality_rules,
     op6_substring_dedup, op7_bpe_stream, op8_quality_classifier, op9_jaccard_trie,
-    op10_warc_zip, op11_hard_negatives, op12_source_divergence)}
+    op10_warc_zip, op11_hard_negatives, op12_source_divergence,
+    op13_suffix_tree_lm)}
