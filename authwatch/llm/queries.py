@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from authwatch.llm import (
     bpe_stream, exact_dedup, hard_negatives, jaccard_trie, packing, quality_classifier,
-    quality_rules, source_divergence, substring_dedup, suffix_dedup, suffix_tree_lm, token_counts, warc_zip)
+    quality_rules, source_divergence, substring_dedup, suffix_dedup, suffix_tree_lm,
+    token_counts, warc_zip)
 from authwatch.llm.batches import new_folder
 from authwatch.llm.oracles import ORACLES  # noqa: F401  (SQL twins, by name of the query)
 

@@ -48,14 +48,14 @@ OCCURRENCES, DIVERGENCE = 32, 0.05
 #: Shares of a state's own counts in its smoothed distribution.
 WEIGHTS = np.array([0.1, 0.4, 0.7, 0.95])
 #: Saved bits are added up as whole numbers of this part.
-UNIT = 1 << 16
+UNIT = 1 << 12
 #: The token after the last word of a text.
 END = np.uint64(0x5EED0F7E47E4D0F5)
 #: Kinds of keys: words, pairs, triples, contexts of one and of two words.
 WORDS, PAIRS, TRIPLES, ONE, TWO = range(1, 6)
 
 ASKED = "kind int, part int, block long, keys binary, sums binary, width int"
-ANSWERED = "kind int, part int, block long, sums binary, width int, known long, total long"
+ANSWERED = "kind int, part int, block long, told binary, known long, total long"
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -77,6 +77,17 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
 
+def pack_sums(sums: np.ndarray) -> bytes:
+    """Whole numbers with the sign in the last place: small ones have zero leading bytes."""
+    return planes(((sums << 1) ^ (sums >> 63)).ravel())
+
+
+def unpack_sums(data: bytes, width: int) -> np.ndarray:
+    found = from_planes(data, np.uint64)
+    return ((found >> np.uint64(1)).view(np.int64)
+            ^ -(found & np.uint64(1)).view(np.int64)).reshape(-1, width)
+
+
 def ask(kind: int, block: int, keys: np.ndarray, sums: np.ndarray, bits: int) -> pa.RecordBatch:
     """A block's ascending keys and their sums (a row of numbers each), by range of keys."""
     part = (keys >> np.uint64(64 - bits)).astype(np.int64)
@@ -88,36 +99,44 @@ def ask(kind: int, block: int, keys: np.ndarray, sums: np.ndarray, bits: int) ->
         pa.array([int(part[a]) for a, _ in spans], pa.int32()),
         pa.array([block] * len(spans), pa.int64()),
         pa.array([pack_keys(keys[a:b]) for a, b in spans], pa.binary()),
-        pa.array([planes(sums[a:b].ravel()) for a, b in spans], pa.binary()),
+        pa.array([pack_sums(sums[a:b]) for a, b in spans], pa.binary()),
         pa.array([sums.shape[1]] * len(spans), pa.int32())],
         ["kind", "part", "block", "keys", "sums", "width"])
 
 
 def answer(asked: pa.Table) -> pa.Table:
-    """To every block of a range, the sums of its keys over all blocks."""
+    """To every block of a range, what all blocks say of its keys together.
+
+    That is the sum of a count; or for a context the number of the weight that saves
+    most, 0 if it is no state.
+    """
     kind, part, width = (asked[name][0].as_py() for name in ("kind", "part", "width"))
     keys = [unpack_keys(x) for x in asked["keys"].to_pylist()]
     bounds = np.cumsum([0, *map(len, keys)])
-    sums = np.concatenate([from_planes(x, np.int64) for x in asked["sums"].to_pylist()])
-    keys, sums = np.concatenate(keys), sums.reshape(-1, width)
+    sums = np.concatenate([unpack_sums(x, width) for x in asked["sums"].to_pylist()])
+    keys = np.concatenate(keys)
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
     new = np.ones(len(ordered), bool)
     new[1:] = ordered[1:] != ordered[:-1]
     added = np.add.reduceat(sums[order], np.flatnonzero(new), axis=0)
-    back = np.empty_like(sums)
-    back[order] = added[np.cumsum(new) - 1]
+    if kind in (ONE, TWO):
+        passed = added[:, :-1].max(axis=1) >= DIVERGENCE * UNIT * added[:, -1]
+        verdict = np.where(passed, added[:, :-1].argmax(axis=1) + 1, 0).astype(np.uint8)
+    else:
+        verdict = added[:, 0]
+    back = np.empty(len(keys), verdict.dtype)
+    back[order] = verdict[np.cumsum(new) - 1]
     blocks = asked["block"].to_pylist()
     known, total = [0] * len(blocks), [0] * len(blocks)
     known[0], total[0] = int((added[:, 0] > 0).sum()), int(added[:, 0].sum())
     return pa.table([
         pa.array([kind] * len(blocks), pa.int32()), pa.array([part] * len(blocks), pa.int32()),
         pa.array(blocks, pa.int64()),
-        pa.array([planes(back[a:b].ravel())
+        pa.array([planes(back[a:b])
                   for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
-        pa.array([width] * len(blocks), pa.int32()),
         pa.array(known, pa.int64()), pa.array(total, pa.int64())],
-        names=["kind", "part", "block", "sums", "width", "known", "total"])
+        names=["kind", "part", "block", "told", "known", "total"])
 
 
 def _blocks(block_bytes: int):
@@ -189,8 +208,8 @@ class Block:
 
     def hear(self, answers: dict) -> None:
         """Counts of tokens and pairs, then of triples of frequent contexts, if told."""
-        self.count = answers[WORDS].ravel()
-        self.pair_count = answers.get(PAIRS, np.zeros((0, 1), np.int64)).ravel()
+        nothing = np.zeros(0, np.int64)
+        self.count, self.pair_count = answers[WORDS], answers.get(PAIRS, nothing)
         self.root = (self.count[self.at] + 1) / (self.total + self.known + 1)
         # The same without one occurrence of the token.
         self.root_left = self.count[self.at] / max(1, self.total + self.known)
@@ -200,7 +219,7 @@ class Block:
         keys = mix(self.pairs[self.pair_at[self.two - 1]] * np.uint64(5)
                    + self.words[self.at[self.two]])
         self.triples, self.triple_at = np.unique(keys, return_inverse=True)
-        self.triple_count = answers.get(TRIPLES, np.zeros((0, 1), np.int64)).ravel()
+        self.triple_count = answers.get(TRIPLES, nothing)
 
     def triple_questions(self, bits: int) -> Iterator[pa.RecordBatch]:
         yield ask(TRIPLES, self.number, self.triples,
@@ -220,13 +239,15 @@ class Block:
         return tokens, found, place
 
     def saving_questions(self, kind: int, shorter: np.ndarray, bits: int):
-        """Bits that each context saves in training against the shorter state, by weight."""
+        """Bits that each context saves in training against the shorter state, by weight,
+        and its training occurrences."""
         tokens, found, place = self._contexts(kind)
         context, together = self._counts(tokens, kind == TWO)
         learn = self.learn[tokens]
         own = (together[learn] - 1) / (context[learn] - 1)
         base = shorter[tokens[learn]]
-        sums = np.zeros((len(found), len(WEIGHTS)))
+        sums = np.zeros((len(found), len(WEIGHTS) + 1))
+        sums[:, -1] = np.bincount(place[learn], minlength=len(found))
         for n, weight in enumerate(WEIGHTS):
             saved = np.rint(np.log2(1 - weight + weight * own / base) * UNIT)
             sums[:, n] = np.bincount(place[learn], saved, len(found))
@@ -242,9 +263,8 @@ class Block:
         if not len(found):
             return shorter
         context, together = self._counts(tokens, kind == TWO)
-        uses = (self.pair_count if kind == TWO else self.count)[found]
-        state = (told.max(axis=1) >= DIVERGENCE * UNIT * uses)[place]
-        weight = WEIGHTS[told.argmax(axis=1)][place]
+        state = (told > 0)[place]
+        weight = WEIGHTS[told.astype(np.int64) - 1][place]
         gone = self.learn[tokens] & left
         own = (together - gone) / (context - gone)
         out = shorter.copy()
@@ -266,12 +286,12 @@ class Block:
 
 
 def _told(answers: pa.Table) -> dict:
-    """Sums by kind, in the order of the keys that the block asked for."""
+    """Answers by kind, in the order of the keys that the block asked for."""
     rows = answers.sort_by([("kind", "ascending"), ("part", "ascending")]).to_pylist()
     parts: dict[int, list] = {}
     for row in rows:
         parts.setdefault(row["kind"], []).append(
-            from_planes(row["sums"], np.int64).reshape(-1, row["width"]))
+            from_planes(row["told"], np.uint8 if row["kind"] in (ONE, TWO) else np.int64))
     return {kind: np.concatenate(found) for kind, found in parts.items()}
 
 
