@@ -16,7 +16,7 @@ from authwatch.operators import metrics as mt
 from authwatch.operators import parse as ps
 from authwatch.operators import report as rp
 from authwatch.operators import split as sp
-from authwatch.plans import ingest
+from authwatch.plans import daily, ingest
 from authwatch.schema import ENRICHED
 from authwatch.session import shared_dir
 from authwatch.sources import bus, logs, tables
@@ -146,6 +146,18 @@ def q_upsert_events_table(spark, sf_dir):
         "event_date", "row_hash", "host_name", "ingest_time"))
 
 
+@query
+def q_snapshot_read(spark, sf_dir):
+    """A reader that was opened before a merge, and one opened after it."""
+    path = _stored(spark, sf_dir)
+    before = tables.read_events(spark, path)
+    tables.upsert_days(spark, path, _redelivered(events(spark, sf_dir)))
+    after = tables.read_events(spark, path)
+    seen = before.withColumn("seen", F.lit("before")).unionByName(
+        after.withColumn("seen", F.lit("after")))
+    return ntz(seen.select("seen", "event_date", "row_hash", "host_name", "ingest_time"))
+
+
 @query
 def q_write_daily_metrics(spark, sf_dir):
     path = shared_dir(spark, "metrics")
@@ -879,3 +891,30 @@ def q_settle_days(spark, sf_dir):
     tables.settle_days(spark, live.events_path(root), table)
     return ntz(tables.read_events(spark, table).select(
         "event_date", "row_hash", "host_name", "ingest_time"))
+
+
+@query
+def q_late_day_metrics(spark, sf_dir):
+    """A tenth of the events comes after its day was settled; metrics follow the changed days."""
+    root, table, metrics = (shared_dir(spark, n) for n in ("live", "events", "metrics"))
+    stored, rows = shared_dir(spark, "bus"), lines(spark, sf_dir)
+    for late in (False, True):
+        bus.store_messages(_messages(rows.filter((F.col("event_id") % 10 == 0) == F.lit(late))),
+                           stored)
+        live.start_events(bus.replay_bus(spark, stored), root, trigger=None).awaitTermination()
+        tables.settle_days(spark, live.events_path(root), table, DAY_TO, "2024-12-31", retire=True)
+        daily.refresh_metrics(spark, table, metrics)
+    return _metrics_text(tables.read_metrics(spark, metrics).drop("created_at"))
+
+
+@query
+def q_compact_live(spark, sf_dir):
+    """Small live files joined between micro-batches; every key is still there once."""
+    source = _redelivered_bus(spark, sf_dir)
+    stored, root = shared_dir(spark, "bus"), shared_dir(spark, "live")
+    (source.writeStream.option("checkpointLocation", shared_dir(spark, "checkpoint"))
+     .trigger(availableNow=True).start(stored, format="parquet").awaitTermination())
+    live.start_events(bus.replay_bus(spark, stored, max_files=1), root, None).awaitTermination()
+    tables.compact_live(spark, live.events_path(root))
+    kept = tables.read_live_events(spark, live.events_path(root))
+    return ntz(kept.select("event_date", "row_hash", "host_name", "ingest_time"))

@@ -35,10 +35,24 @@ def syslog_time(message: Column) -> Column:
 def header_parts(message: Column) -> Column:
     """Groups of the header as an array, from one match; NULL if the line has none.
 
-    The groups are set apart by a character that no log line holds.
+    The replacement sets the groups apart by U+0001. A line may hold that character
+    too, so it is first written as U+0002 and a digit, and read back in each group.
     """
-    apart = F.regexp_replace(message, HEADER_PATTERN, "$1\u0001$2\u0001$3\u0001$4\u0001$5")
-    return F.when(F.contains(apart, F.lit("\u0001")), F.split(apart, "\u0001"))
+    stands_for = (("\u0002", "\u00020"), ("\u0001", "\u00021"))
+    plain = message
+    for character, written in stands_for:
+        plain = F.replace(plain, F.lit(character), F.lit(written))
+    apart = F.regexp_replace(plain, HEADER_PATTERN, "$1\u0001$2\u0001$3\u0001$4\u0001$5")
+
+    def read_back(group: Column) -> Column:
+        for character, written in reversed(stands_for):
+            group = F.replace(group, F.lit(written), F.lit(character))
+        return group
+
+    groups = F.split(apart, "\u0001")
+    odd = F.contains(message, F.lit("\u0001")) | F.contains(message, F.lit("\u0002"))
+    return F.when(F.contains(apart, F.lit("\u0001")),
+                  F.when(odd, F.transform(groups, read_back)).otherwise(groups))
 
 
 def month_number(name: Column) -> Column:

@@ -8,7 +8,7 @@ import os
 from authwatch.operators import split
 from authwatch.plans import daily, ingest
 from authwatch.session import build_session
-from authwatch.sources import bus, logs, tables
+from authwatch.sources import bus, logs, snapshots, tables
 from authwatch.streaming import live
 
 
@@ -46,14 +46,29 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--events", required=True)
     job.add_argument("--from", dest="day_from")
     job.add_argument("--to", dest="day_to")
-
+    job.add_argument("--no-late", action="store_true",
+                     help="leave late events of days before --from in the live folder")
+    job.add_argument("--target-mb", type=int, default=tables.TARGET_BYTES >> 20,
+                     help="size of a stored file; a day is merged in as many parts")
     job.add_argument("--keep-live", action="store_true", help="do not remove merged live batches")
 
+    job = jobs.add_parser("compact", help="join small files of the live folder")
+    job.add_argument("--root", required=True)
+    job.add_argument("--from", dest="day_from")
+    job.add_argument("--to", dest="day_to")
+    job.add_argument("--target-mb", type=int, default=tables.TARGET_BYTES >> 20)
+
+    job = jobs.add_parser("expire", help="remove old versions of the events table")
+    job.add_argument("--events", required=True)
+    job.add_argument("--keep", type=int, default=2, help="newest versions that stay")
+
     job = jobs.add_parser("metrics", help="daily metrics of a day or of all days")
     job.add_argument("--events", required=True)
     job.add_argument("--out", required=True)
     job.add_argument("--date", help="YYYY-MM-DD, default today (UTC)")
     job.add_argument("--all", action="store_true", help="every stored day in one job")
+    job.add_argument("--changed", action="store_true",
+                     help="the days that merges changed since the last --changed")
     job.add_argument("--live", help="root of the stream; settle the day first")
     job.add_argument("--threshold", type=int, default=10)
     job.add_argument("--report-tz", default="UTC")
@@ -136,11 +151,21 @@ def main(argv=None, spark=None) -> None:
         run_live(spark, args)
     elif args.job == "settle":
         tables.settle_days(spark, live.events_path(args.root), args.events,
-                           args.day_from, args.day_to, retire=not args.keep_live)
+                           args.day_from, args.day_to, retire=not args.keep_live,
+                           late=not args.no_late, target_bytes=args.target_mb << 20)
+    elif args.job == "compact":
+        gone = tables.compact_live(spark, live.events_path(args.root), args.day_from,
+                                   args.day_to, args.target_mb << 20)
+        print(f"{gone} files joined")
+    elif args.job == "expire":
+        print(f"{snapshots.expire(spark, args.events, args.keep)} files removed")
     elif args.job == "metrics":
         options = {"threshold": args.threshold, "report_tz": args.report_tz}
         source = live.events_path(args.live) if args.live else None
-        if args.all:
+        if args.changed:
+            days = daily.refresh_metrics(spark, args.events, args.out, source, **options)
+            print("computed:", *sorted(map(str, days)))
+        elif args.all:
             daily.backfill_metrics(spark, args.events, args.out, live=source, **options)
         else:
             daily.run_daily_metrics(spark, args.events, args.out, args.date, source, **options)

@@ -163,6 +163,13 @@ ORACLES = {
                          ERRORS_AGAIN),
     "upsert_events_table": sql("SELECT event_date, row_hash, host_name, ingest_time FROM newest",
                                ERRORS_AGAIN),
+    "snapshot_read": sql("""
+        SELECT 'before' AS seen, event_date, row_hash, host_name, ingest_time FROM enriched
+        UNION ALL SELECT 'after', event_date, row_hash, host_name, ingest_time FROM newest""",
+                         ERRORS_AGAIN),
+    "late_day_metrics": sql("SELECT * FROM metrics", METRICS),
+    "compact_live": sql("SELECT event_date, row_hash, host_name, ingest_time FROM newest",
+                        ERROR_EVENTS_AGAIN),
     "write_daily_metrics": sql("SELECT * FROM metrics", METRICS),
     "alert_sink": sql("SELECT window_start, ip, 'IP: ' || ip || '  failures: ' || fail_cnt "
                       f"AS body_line FROM ({WINDOWED})"),

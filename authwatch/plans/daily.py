@@ -7,9 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from authwatch.functions import syslog
 from authwatch.operators.filters import as_date, daily_filter, metric_lookup
 from authwatch.operators.metrics import daily_metrics
 from authwatch.operators.report import email_report_rows, report_cube, report_tables
+from authwatch.sources import files, snapshots
 from authwatch.sources.tables import read_events, read_metrics, settle_days, write_metrics
 
 
@@ -64,6 +66,37 @@ def backfill_metrics(spark: SparkSession, events: str, metrics: str, day_from=No
     write_metrics(daily_metrics(rows, report_tz=report_tz, **options), metrics)
 
 
+THROUGH = "_through"
+
+
+def refresh_metrics(spark: SparkSession, events: str, metrics: str, live: str | None = None,
+                    report_tz: str = "UTC", **options) -> set[dt.date]:
+    """Metrics of exactly the days that have changed since the last refresh; returns them.
+
+    The events table tells which days its merges changed, also by events that came
+    after their day was settled. How far it was followed is kept beside the metrics,
+    and noted last, so that a job that was cut off is made good by the next. With
+    ``live`` everything that has arrived is settled first.
+    """
+    if live:
+        settle_days(spark, live, events)
+    done = [int(name) for name in files.names(spark, f"{metrics}/{THROUGH}") if name.isdigit()]
+    version, texts = snapshots.changed_days(spark, events, max(done, default=0))
+    changed = {as_date(text) for text in texts if text is not None}
+    if not changed and version in (0, *done):
+        return set()
+    around = [dt.timedelta(days=n) for n in ((0,) if report_tz == "UTC" else (-1, 0, 1))]
+    days = {day + step for day in changed for step in around}
+    if days:
+        rows = read_events(spark, events, version=version,
+                           days={day + step for day in days for step in around})
+        local = F.to_date(syslog.local_time(F.col("event_time"), report_tz))
+        write_metrics(daily_metrics(rows.filter(local.isin(*days)), report_tz=report_tz,
+                                    **options), metrics)
+    files.write_once(spark, f"{metrics}/{THROUGH}/{version}", "")
+    return days
+
+
 def mail_rows(spark: SparkSession, metrics: str, day=None) -> DataFrame:
     """Rows of the mail for one day (default yesterday, UTC); all ``N/A`` if it has no metrics."""
     day = as_date(day or yesterday_utc())

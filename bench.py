@@ -59,13 +59,18 @@ def main() -> None:
     messages = spark.read.parquet(bus_dir)
     rows = lines.count()
 
-    # The published path: text files in, stored messages out.
+    # The published path: text files named as logs are, stored messages out.
     files_dir = shared_dir(spark, "files")
-    lines.select("message").write.text(files_dir)
+    sp.split_by_date(lines, corpus.YEAR, files_dir)
+
+    def file_messages():
+        return ingest.file_messages(spark, f"{files_dir}/file_name=ssh-*.log", corpus.HOST)
+
+    untimed = en.decode_event_json(file_messages()).filter("event_time IS NULL").count()
+    assert untimed == 0, f"{untimed} of the lines have no time"
 
     def ingest_files():
-        bus.store_messages(ingest.file_messages(spark, f"{files_dir}/*.txt", corpus.HOST),
-                           shared_dir(spark, "stored"))
+        bus.store_messages(file_messages(), shared_dir(spark, "stored"))
 
     live_root = shared_dir(spark, "settled")
     live.start_events(bus.replay_bus(spark, bus_dir), live_root, None).awaitTermination()

@@ -77,6 +77,19 @@ def times(spark, rows, **options):
     return [r["event_time"] for r in ps.event_time(df, **options).collect()]
 
 
+@pytest.mark.parametrize("mark", ["\u0001", "\u0002", "\u00020", "\u00021\u0001\u0002"])
+def test_a_header_may_hold_the_separator(spark, mark):
+    lines = [f"Dec 10 06:55:46 LabSZ sshd[1]: Invalid user a{mark}b from 1.2.3.4",
+             f"Dec 10 06:55:46 La{mark}SZ ss{mark}hd: x", f"no header{mark}x{mark}y{mark}z{mark}w"]
+    rows = ps.parse_syslog_header(spark.createDataFrame([(x,) for x in lines], "message string"))
+    got = {r["message"]: (r["logdate"], r["host"], r["process"], r["pid"], r["msg"])
+           for r in rows.collect()}
+    assert got == {
+        lines[0]: ("Dec 10 06:55:46", "LabSZ", "sshd", "1", f"Invalid user a{mark}b from 1.2.3.4"),
+        lines[1]: ("Dec 10 06:55:46", f"La{mark}SZ", f"ss{mark}hd", None, "x"),
+        lines[2]: (None,) * 5}
+
+
 def test_impossible_dates_become_null(spark):
     assert times(spark, [("2023", "Feb 29 00:00:00"), ("2024", "Feb 29 00:00:00"),
                          ("part", "Feb  1 00:00:00"), ("2024", "Feb  1 25:00:00"),
