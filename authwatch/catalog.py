@@ -14,6 +14,7 @@ from authwatch.operators import enrich as en
 from authwatch.operators import filters as fl
 from authwatch.operators import metrics as mt
 from authwatch.operators import parse as ps
+from authwatch.operators import ranges as rg
 from authwatch.operators import report as rp
 from authwatch.operators import split as sp
 from authwatch.plans import daily, ingest
@@ -57,7 +58,7 @@ def events(spark, sf_dir):
 def log_files(spark, sf_dir) -> str:
     """The corpus as one log file per day; returns the folder."""
     out = shared_dir(spark, "ssh-files")
-    sp.split_by_date(lines(spark, sf_dir), corpus.YEAR, out)
+    sp.split_by_date(lines(spark, sf_dir), corpus.YEAR, out, order=("event_id",))
     return out
 
 
@@ -72,6 +73,22 @@ def q_read_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_file", "message")
 
 
+@query
+def q_line_numbers(spark, sf_dir):
+    """Every line with its number in the day's file, which is read in many splits."""
+    folder, out = log_files(spark, sf_dir), shared_dir(spark, "numbered")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        read = logs.read_numbered_logs(spark, f"{folder}/file_name=ssh-*.log")
+        read.write.parquet(out)
+    finally:
+        spark.conf.set(key, before)
+    return ps.source_file_name(spark.read.parquet(out)).select(
+        "source_file", "line_number", "message")
+
+
 @query
 def q_stream_log_files(spark, sf_dir):
     """The stream runs twice on one checkpoint; the second run adds nothing."""
@@ -196,11 +213,27 @@ def q_enforce_event_schema(spark, sf_dir):
         "row_hash", "event_time", "log_level", "error_type", "user", "ip", "port"))
 
 
+@query
+def q_schema_rejects(spark, sf_dir):
+    """What a merge of text columns leaves out, by reason."""
+    text = events(spark, sf_dir).select(*[F.col(c).cast("string").alias(c)
+                                          for c in ENRICHED.names])
+    level, kind = F.col("log_level"), F.col("error_type")
+    odd = text.withColumns({
+        "port": F.coalesce("port", F.lit("not a port")),
+        "ip": F.when(kind == "login success", F.concat("ip", F.lit(".7"))).otherwise(F.col("ip")),
+        "event_time": F.when(level == "WARN", "no time").otherwise(F.col("event_time")),
+        "row_hash": F.when(kind != "connection closed", F.col("row_hash"))})
+    made = tables.upsert_days(spark, shared_dir(spark, "events"), odd)
+    return spark.createDataFrame(sorted(made.rejects.items()), "reason string, cnt long")
+
+
 @query
 def q_split_by_date(spark, sf_dir):
     """Lines without a day, and with an impossible one, have their files, too."""
     out = shared_dir(spark, "ssh-files")
-    sp.split_by_date(corpus.with_broken_lines(lines(spark, sf_dir)), corpus.YEAR, out)
+    sp.split_by_date(corpus.with_broken_lines(lines(spark, sf_dir)), corpus.YEAR, out,
+                     order=("event_id",))
     return sp.split_counts(spark.read.text(out).withColumnRenamed("value", "message"))
 
 
@@ -543,6 +576,35 @@ def q_top_ips_null_competes(spark, sf_dir):
     return mt.top_ips(events(spark, sf_dir), null_before_limit=False)
 
 
+def _day_states(spark, sf_dir) -> DataFrame:
+    path = shared_dir(spark, "states")
+    for _ in range(2):  # a rerun replaces its days
+        tables.write_day_states(rg.day_state(events(spark, sf_dir)), path)
+    return tables.read_day_states(spark, path)
+
+
+@query
+def q_unique_ips_range(spark, sf_dir):
+    """Distinct addresses and users by week from the days' sketches; users are many,
+    so their estimate is held against the exact count, within three standard errors."""
+    week = F.to_date(F.date_trunc("week", "metric_date")).alias("week")
+    estimates = rg.distinct_over(_day_states(spark, sf_dir), week)
+    exact = mt.with_day(events(spark, sf_dir)).groupBy(week).agg(
+        F.count_distinct(F.nullif("user", F.lit(""))).alias("exact"))
+    off = F.abs(F.col("unique_users") - F.col("exact"))
+    return estimates.join(exact, "week").select(
+        "week", "total_logs", "unique_ips",
+        (off <= F.ceil(3 * rg.STANDARD_ERROR * F.col("exact"))).alias("users_in_band"))
+
+
+@query
+def q_top_ips_range(spark, sf_dir):
+    """The top list of two weeks from the days' states, counted exactly."""
+    states = _day_states(spark, sf_dir).filter(
+        F.col("metric_date").between(DAY_FROM, DAY_TO))
+    return rg.top_ips_over(states, fl.daily_filter(events(spark, sf_dir), DAY_FROM, DAY_TO))
+
+
 @query
 def q_brute_force_daily(spark, sf_dir):
     return mt.brute_force_daily(events(spark, sf_dir))
@@ -804,6 +866,8 @@ def q_numeric_times(spark, sf_dir):
     return ntz(en.decode_event_json(wanted).select("row_hash", "event_time", "message"))
 
 
+# Messages of a micro-batch at most.
+MAX_ROWS = 2000
 # Files per slice of a bus that comes in a fixed order.
 SLICE_FILES = 4
 
@@ -830,14 +894,14 @@ def q_late_data(spark, sf_dir):
 
 @query
 def q_rate_limit(spark, sf_dir):
-    """Micro-batches of a limited number of files: how many, and what they hold in all."""
-    source = _sliced_bus(spark, *[lines(spark, sf_dir).filter(F.col("event_id") % 3 == n)
-                                  for n in range(3)])
-    root = shared_dir(spark, "live")
-    query = live.start_events(source, root, trigger=None)
+    """Micro-batches of a limited number of messages: what they hold at most, and in all."""
+    stored, root = shared_dir(spark, "bus"), shared_dir(spark, "live")
+    bus.store_messages(_messages(lines(spark, sf_dir)), stored, rows_per_file=MAX_ROWS // 2)
+    query = live.start_events(bus.replay_bus(spark, stored, max_rows=MAX_ROWS), root, trigger=None)
     query.awaitTermination()
-    stored = spark.read.parquet(live.events_path(root))
-    return stored.agg(F.count_distinct("batch").alias("batches"), F.count("*").alias("total_logs"))
+    per_batch = spark.read.parquet(live.events_path(root)).groupBy("batch").count()
+    return per_batch.agg((F.max("count") <= MAX_ROWS).alias("bounded"),
+                         F.sum("count").alias("total_logs"))
 
 
 def _run_both(spark, sf_dir, root: str) -> None:

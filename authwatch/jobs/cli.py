@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--servers", help="publish to these brokers")
     job.add_argument("--topic", default=bus.TOPIC)
     job.add_argument("--out", help="store messages as files instead")
+    job.add_argument("--rows-per-file", type=int, help="with --out: messages of a file at most")
     job.add_argument("--checkpoint", help="remember finished files; later runs read new ones only")
     job.add_argument("--trigger", help="with --checkpoint: keep running at this interval")
     job.add_argument("--max-files", type=int, help="with --checkpoint: files per micro-batch")
@@ -33,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--servers", help="brokers; without them --replay is read")
     job.add_argument("--topic", default=bus.TOPIC)
     job.add_argument("--replay", help="folder of stored messages")
+    job.add_argument("--max-rows", type=int,
+                     help="of a replay that was stored with --rows-per-file: messages per micro-batch")
     job.add_argument("--drain", action="store_true", help="stop when the input is used up")
     job.add_argument("--trigger", default="5 seconds")
     job.add_argument("--max-per-trigger", type=int,
@@ -50,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
                      help="leave late events of days before --from in the live folder")
     job.add_argument("--target-mb", type=int, default=tables.TARGET_BYTES >> 20,
                      help="size of a stored file; a day is merged in as many parts")
+    job.add_argument("--reject-limit", type=float,
+                     help="fail above so many rejected values a row, and store nothing")
     job.add_argument("--keep-live", action="store_true", help="do not remove merged live batches")
 
     job = jobs.add_parser("compact", help="join small files of the live folder")
@@ -70,6 +75,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--changed", action="store_true",
                      help="the days that merges changed since the last --changed")
     job.add_argument("--live", help="root of the stream; settle the day first")
+    job.add_argument("--state", help="with --changed: keep the days' sketches here, too")
     job.add_argument("--threshold", type=int, default=10)
     job.add_argument("--report-tz", default="UTC")
 
@@ -90,7 +96,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--logs", required=True, help="glob of log files")
     job.add_argument("--year", required=True)
     job.add_argument("--out", required=True)
-    job.add_argument("--max-rows", type=int, help="lines per day at most; prints what is left out")
+    job.add_argument("--max-rows", type=int, help="lines per day at most; says what is left out")
+    job.add_argument("--left-out", help="write the days that lose lines as JSON here, all of them")
     return top
 
 
@@ -99,7 +106,7 @@ def run_live(spark, args) -> None:
         source = bus.read_bus(spark, bus.bus_options(
             args.servers, args.topic, max_per_trigger=args.max_per_trigger or 10_000))
     else:
-        source = bus.replay_bus(spark, args.replay, args.max_per_trigger)
+        source = bus.replay_bus(spark, args.replay, args.max_per_trigger, args.max_rows)
     minutes = f"{args.window_min} minutes"
     queries = live.run_stream(source, args.root, None if args.drain else args.trigger,
                               args.files, window=minutes, watermark=minutes, threshold=args.threshold)
@@ -121,7 +128,7 @@ def run_ingest(spark, args) -> None:
     if args.servers:
         bus.write_bus(messages, args.servers, args.topic)
     else:
-        bus.store_messages(messages, args.out)
+        bus.store_messages(messages, args.out, args.rows_per_file)
 
 
 def run_mail(spark, args) -> None:
@@ -129,6 +136,7 @@ def run_mail(spark, args) -> None:
     if args.out:
         rows.write.mode("overwrite").json(args.out)
     else:
+        # A mail has a summary and two short lists.
         rows.orderBy("section", "position").show(100, truncate=False)
 
 
@@ -139,7 +147,14 @@ def run_split(spark, args) -> None:
         return
     split.split_by_date_capped(lines, args.year, args.out, args.max_rows)
     left_out = split.split_left_out(split.dated_lines(lines, args.year), args.max_rows)
-    left_out.filter("n_left_out > 0").orderBy("file_name").show(1000, truncate=False)
+    left_out = left_out.filter("n_left_out > 0")
+    if args.left_out:
+        left_out.write.mode("overwrite").json(args.left_out)
+        return
+    days = left_out.count()
+    left_out.orderBy("file_name").show(1000, truncate=False)
+    if days > 1000:
+        print(f"{days - 1000} more days lose lines; --left-out writes them all")
 
 
 def main(argv=None, spark=None) -> None:
@@ -152,7 +167,8 @@ def main(argv=None, spark=None) -> None:
     elif args.job == "settle":
         tables.settle_days(spark, live.events_path(args.root), args.events,
                            args.day_from, args.day_to, retire=not args.keep_live,
-                           late=not args.no_late, target_bytes=args.target_mb << 20)
+                           late=not args.no_late, target_bytes=args.target_mb << 20,
+                           reject_limit=args.reject_limit)
     elif args.job == "compact":
         gone = tables.compact_live(spark, live.events_path(args.root), args.day_from,
                                    args.day_to, args.target_mb << 20)
@@ -163,7 +179,8 @@ def main(argv=None, spark=None) -> None:
         options = {"threshold": args.threshold, "report_tz": args.report_tz}
         source = live.events_path(args.live) if args.live else None
         if args.changed:
-            days = daily.refresh_metrics(spark, args.events, args.out, source, **options)
+            days = daily.refresh_metrics(spark, args.events, args.out, source, state=args.state,
+                                         **options)
             print("computed:", *sorted(map(str, days)))
         elif args.all:
             daily.backfill_metrics(spark, args.events, args.out, live=source, **options)

@@ -149,6 +149,29 @@ def enrich(df: DataFrame, keep=()) -> DataFrame:
     return fill_defaults(out.select(*ENRICHED.names, *keep))
 
 
+def reject_counts(df: DataFrame) -> list[Column]:
+    """Counters of what :func:`enforce_schema` empties and of keys to be computed.
+
+    For ``DataFrame.observe``; they cost no pass of their own.
+    """
+    def lost(name: str, kept: Column) -> Column:
+        if name not in df.columns:
+            return F.lit(False)
+        return F.col(f"`{name}`").isNotNull() & kept.isNull()
+
+    def cast(name: str) -> Column:
+        return lost(name, F.col(f"`{name}`").try_cast(ENRICHED[name].dataType))
+
+    reasons = {
+        "total_rows": F.lit(True),
+        "bad_ip": lost("ip", classify.valid_ipv4(F.col("ip").cast("string"))),
+        "bad_port": cast("port"),
+        "bad_time": cast("event_time"),
+        "keyless": F.col("row_hash").isNull() if "row_hash" in df.columns else F.lit(True),
+    }
+    return [F.count_if(reason).alias(name) for name, reason in reasons.items()]
+
+
 def enforce_schema(df: DataFrame, schema: T.StructType = ENRICHED) -> DataFrame:
     """Give ``df`` exactly the declared columns and types.
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from authwatch.functions import syslog
+from authwatch.sources.tables import input_bytes
 
 DATE_PATTERN = rf"^({syslog.MONTHS}) +([0-9]{{1,2}}) "
 LINE_ORDER = ("source_path", "block_start", "line_no")
+#: Bytes of input that a part of a split holds (about).
+PART_BYTES = 128 << 20
 
 
 def dated_lines(lines: DataFrame, year: int | str) -> DataFrame:
@@ -24,18 +29,24 @@ def dated_lines(lines: DataFrame, year: int | str) -> DataFrame:
     return lines.withColumn("file_name", name)
 
 
-def write_split(dated: DataFrame, out: str) -> None:
+def write_split(dated: DataFrame, out: str, order=LINE_ORDER,
+                part_bytes: int = PART_BYTES) -> None:
     """One folder ``file_name=ssh-YYYYMMDD.log`` per day, written in parallel.
 
-    No shuffle: every task appends its own part to the days it has seen, so
-    lines keep their order within a part.
+    The parts of a day, by name, hold its lines in ``order``: one shuffle by
+    ranges of day and order, as many as the input has ``part_bytes``, so that a
+    large day has several.
     """
-    (dated.select("file_name", F.col("message").alias("value"))
+    parts = max(dated.sparkSession.sparkContext.defaultParallelism,
+                math.ceil(input_bytes(dated) / part_bytes))
+    keys = [F.col(c) for c in ("file_name", *order)]
+    (dated.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+     .select("file_name", F.col("message").alias("value"))
      .write.mode("overwrite").partitionBy("file_name").text(out))
 
 
-def split_by_date(lines: DataFrame, year: int | str, out: str) -> None:
-    write_split(dated_lines(lines, year), out)
+def split_by_date(lines: DataFrame, year: int | str, out: str, order=LINE_ORDER) -> None:
+    write_split(dated_lines(lines, year), out, order)
 
 
 def first_n_per_group(df: DataFrame, group: str, n: int, order=LINE_ORDER,
@@ -66,7 +77,7 @@ def split_by_date_capped(lines: DataFrame, year: int | str, out: str, max_rows:
                          order=LINE_ORDER) -> None:
     """As :func:`split_by_date`, with at most ``max_rows`` lines per day;
     :func:`split_left_out` tells what a day loses."""
-    write_split(capped_lines(lines, year, max_rows, order), out)
+    write_split(capped_lines(lines, year, max_rows, order), out, order)
 
 
 def split_counts(dated: DataFrame) -> DataFrame:

@@ -167,6 +167,25 @@ ORACLES = {
         SELECT 'before' AS seen, event_date, row_hash, host_name, ingest_time FROM enriched
         UNION ALL SELECT 'after', event_date, row_hash, host_name, ingest_time FROM newest""",
                          ERRORS_AGAIN),
+    "line_numbers": sql("""
+        SELECT source_file, message, row_number() OVER (
+          PARTITION BY source_file ORDER BY event_id) AS line_number FROM logs"""),
+    "schema_rejects": sql("""
+        SELECT reason, cnt FROM (UNPIVOT (
+          SELECT count(*) AS total_rows,
+                 count(*) FILTER (WHERE error_type = 'login success' AND ip IS NOT NULL) AS bad_ip,
+                 count(*) FILTER (WHERE port IS NULL) AS bad_port,
+                 count(*) FILTER (WHERE log_level = 'WARN') AS bad_time,
+                 count(*) FILTER (WHERE error_type = 'connection closed') AS keyless
+          FROM enriched) ON COLUMNS(*) INTO NAME reason VALUE cnt)"""),
+    "unique_ips_range": sql("""
+        SELECT CAST(date_trunc('week', event_date) AS DATE) AS week, count(*) AS total_logs,
+               count(DISTINCT ip) AS unique_ips, true AS users_in_band
+        FROM enriched GROUP BY 1"""),
+    "top_ips_range": sql(f"""
+        SELECT row_number() OVER (ORDER BY count(*) DESC, ip)::INTEGER AS rank, ip,
+               count(*) AS cnt
+        FROM enriched WHERE {RANGE} AND ip IS NOT NULL GROUP BY ip QUALIFY rank <= 3"""),
     "late_day_metrics": sql("SELECT * FROM metrics", METRICS),
     "compact_live": sql("SELECT event_date, row_hash, host_name, ingest_time FROM newest",
                         ERROR_EVENTS_AGAIN),
@@ -380,7 +399,7 @@ ORACLES = {
     "late_data": sql(WINDOWED.replace("FROM enriched", f"""FROM (
         SELECT enriched.* FROM enriched JOIN lines USING (event_id)
         WHERE ts >= TIMESTAMP '{DAY}' OR event_id % 10 <> 0)""")),
-    "rate_limit": sql("SELECT CAST(3 AS BIGINT) AS batches, count(*) AS total_logs FROM logs"),
+    "rate_limit": sql("SELECT true AS bounded, count(*) AS total_logs FROM logs"),
     "checkpoint_restart": sql(f"""
         SELECT event_date AS metric_date, count(*) AS total_logs,
                CAST(coalesce(any_value(f), 0) AS BIGINT) AS failures

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from authwatch.functions import syslog
 from authwatch.operators.filters import as_date, daily_filter, metric_lookup
 from authwatch.operators.metrics import daily_metrics
+from authwatch.operators.ranges import day_state
 from authwatch.operators.report import email_report_rows, report_cube, report_tables
 from authwatch.sources import files, snapshots
-from authwatch.sources.tables import read_events, read_metrics, settle_days, write_metrics
+from authwatch.sources.tables import (
+    read_events, read_metrics, settle_days, write_day_states, write_metrics)
 
 
 def today_utc() -> dt.date:
@@ -70,13 +72,15 @@ THROUGH = "_through"
 
 
 def refresh_metrics(spark: SparkSession, events: str, metrics: str, live: str | None = None,
-                    report_tz: str = "UTC", **options) -> set[dt.date]:
+                    report_tz: str = "UTC", state: str | None = None,
+                    **options) -> set[dt.date]:
     """Metrics of exactly the days that have changed since the last refresh; returns them.
 
     The events table tells which days its merges changed, also by events that came
     after their day was settled. How far it was followed is kept beside the metrics,
     and noted last, so that a job that was cut off is made good by the next. With
-    ``live`` everything that has arrived is settled first.
+    ``live`` everything that has arrived is settled first; with ``state`` the days'
+    sketches for figures over ranges are stored there, too.
     """
     if live:
         settle_days(spark, live, events)
@@ -91,8 +95,10 @@ def refresh_metrics(spark: SparkSession, events: str, metrics: str, live: str |
         rows = read_events(spark, events, version=version,
                            days={day + step for day in days for step in around})
         local = F.to_date(syslog.local_time(F.col("event_time"), report_tz))
-        write_metrics(daily_metrics(rows.filter(local.isin(*days)), report_tz=report_tz,
-                                    **options), metrics)
+        rows = rows.filter(local.isin(*days))
+        write_metrics(daily_metrics(rows, report_tz=report_tz, **options), metrics)
+        if state:
+            write_day_states(day_state(rows, report_tz), state)
     files.write_once(spark, f"{metrics}/{THROUGH}/{version}", "")
     return days
 

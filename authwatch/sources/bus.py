@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from authwatch.functions import syslog
+from authwatch.sources import files
 
+ROWS_PER_FILE = "_rows_per_file"
 TOPIC = "ssh-log"
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                                T.StructField("value", T.StringType())])
@@ -38,8 +40,19 @@ def read_bus(spark: SparkSession, options: dict) -> DataFrame:
             .select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp"))
 
 
-def replay_bus(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stored messages as a stream with the columns of :func:`read_bus`."""
+def replay_bus(spark: SparkSession, path: str, max_files: int | None = None,
+               max_rows: int | None = None) -> DataFrame:
+    """Stored messages as a stream with the columns of :func:`read_bus`.
+
+    ``max_files`` bounds the files of a micro-batch, ``max_rows`` its messages: as
+    many files as hold that many by the bound that :func:`store_messages` kept.
+    """
+    if max_rows:
+        bounds = [int(name) for name in files.names(spark, f"{path}/{ROWS_PER_FILE}")]
+        if not bounds or max(bounds) > max_rows:
+            raise ValueError(f"{path} holds files of up to {max(bounds, default='any number of')} "
+                             f"messages: store it with rows_per_file of at most {max_rows}")
+        max_files = min(max_files or max_rows, max_rows // max(bounds))
     reader = spark.readStream.schema(MESSAGE_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -62,6 +75,15 @@ def write_bus(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
      .option("kafka.acks", "all").option("topic", topic).save())
 
 
-def store_messages(messages: DataFrame, path: str) -> None:
-    """Keep messages as files for :func:`replay_bus`."""
-    messages.write.mode("append").parquet(path)
+def store_messages(messages: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+    """Keep messages as files for :func:`replay_bus`.
+
+    ``rows_per_file`` bounds the messages of a file and notes the bound in the
+    folder, so that a replay can bound its micro-batches by messages. Use it for
+    all that is stored in a folder, or for nothing.
+    """
+    writer = messages.write.mode("append")
+    if rows_per_file:
+        files.write_once(messages.sparkSession, f"{path}/{ROWS_PER_FILE}/{rows_per_file}", "")
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)

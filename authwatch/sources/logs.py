@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,31 @@ def read_logs(spark: SparkSession, glob: str) -> DataFrame:
         F.monotonically_increasing_id().alias("line_no"))
 
 
+def read_numbered_logs(spark: SparkSession, glob: str) -> DataFrame:
+    """Lines of all files with their place in the file: ``message, source_path, line_number``.
+
+    A file is read in any number of splits. Lines are counted per split, one row
+    each; a running sum over the splits of a file gives the lines before each, and
+    the line's place in its split is added. Parts of a per-day folder count on in
+    the order of their names. The lines themselves are not sorted.
+    """
+    lines = spark.read.text(glob).select(
+        F.col("value").alias("message"),
+        logical_path(F.col("_metadata.file_path")).alias("source_path"),
+        F.col("_metadata.file_path").alias("part"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("place"))
+    in_file = (Window.partitionBy("source_path").orderBy("part", "block_start")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    splits = (lines.groupBy("source_path", "part", "block_start")
+              .agg(F.min("place").alias("first"), F.count("*").alias("n"))
+              .select("part", "block_start", "first",
+                      F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("before")))
+    return lines.join(splits, ["part", "block_start"]).select(
+        "message", "source_path",
+        (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_number"))
+
+
 def stream_logs(spark: SparkSession, path: str, max_files: int | None = None,
                 max_bytes: str | None = None, archive: str | None = None) -> DataFrame:
     """New log files as a stream; the checkpoint remembers finished files.

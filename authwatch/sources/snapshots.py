@@ -41,6 +41,7 @@ class Snapshot:
     version: int = 0
     files: dict[str, int] = field(default_factory=dict)  # relative path: bytes
     days: tuple[str | None, ...] = ()  # the days that this version changed
+    rejects: dict[str, int] = field(default_factory=dict)  # values its merge left out
 
     def of_days(self, days) -> list[DataFile]:
         """Files of some days, given as texts."""
@@ -57,7 +58,8 @@ def _name(version: int) -> str:
 
 def _load(spark: SparkSession, path: str, version: int) -> Snapshot:
     record = json.loads(files.read_text(spark, f"{path}/{LOG}/{_name(version)}"))
-    return Snapshot(path, version, record["files"], tuple(record["days"]))
+    return Snapshot(path, version, record["files"], tuple(record["days"]),
+                    record["rejects"])
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -74,7 +76,8 @@ def at_version(spark: SparkSession, path: str, version: int) -> Snapshot:
     return _load(spark, path, version) if version else Snapshot(path)
 
 
-def commit(spark: SparkSession, base: Snapshot, added: str, replaced, days) -> Snapshot:
+def commit(spark: SparkSession, base: Snapshot, added: str, replaced, days,
+           rejects: dict[str, int]) -> Snapshot:
     """The version after ``base``: the files below folder ``added`` instead of ``replaced``.
 
     ``days`` are those that changed. Fails if the version exists already.
@@ -85,8 +88,8 @@ def commit(spark: SparkSession, base: Snapshot, added: str, replaced, days) -> S
     new = files.list_files(spark, folder) if files.exists(spark, folder) else []
     kept |= {f"{added}/{f.path.rpartition(f'/{added}/')[2]}": f.size for f in new}
     named = sorted({as_text(day) for day in days}, key=str)
-    made = Snapshot(base.path, base.version + 1, kept, tuple(named))
-    record = json.dumps({"files": made.files, "days": named}, indent=0)
+    made = Snapshot(base.path, base.version + 1, kept, tuple(named), rejects)
+    record = json.dumps({"files": made.files, "days": named, "rejects": rejects}, indent=0)
     if not files.write_once(spark, f"{base.path}/{LOG}/{_name(made.version)}", record):
         files.remove(spark, [folder])
         raise VersionTaken(f"version {made.version} of {base.path} was made by another writer")

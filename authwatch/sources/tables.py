@@ -18,11 +18,11 @@ import math
 import uuid
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from authwatch.operators.enrich import enforce_schema
+from authwatch.operators.enrich import enforce_schema, reject_counts
 from authwatch.operators.filters import as_date
 from authwatch.operators.parse import ensure_key
 from authwatch.schema import ALERT, DAILY_METRICS, ENRICHED
@@ -175,7 +175,7 @@ def _write_days(df: DataFrame, folder: str) -> None:
     df.select(*STORED_EVENT.names).write.partitionBy("event_date").parquet(folder)
 
 
-def _input_bytes(df: DataFrame) -> int:
+def input_bytes(df: DataFrame) -> int:
     """Bytes of the files that ``df`` reads, counted once each; 0 if it reads none."""
     names = df.inputFiles()
     if not names:
@@ -185,9 +185,14 @@ def _input_bytes(df: DataFrame) -> int:
     return sizes.agg(F.sum("length")).first()[0] or 0
 
 
+class TooManyRejects(RuntimeError):
+    """More values than allowed did not fit the table; nothing was stored."""
+
+
 def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None,
                 delivery_col: str | None = None, sizes: Counter | None = None,
-                target_bytes: int = TARGET_BYTES) -> snapshots.Snapshot:
+                target_bytes: int = TARGET_BYTES,
+                reject_limit: float | None = None) -> snapshots.Snapshot:
     """Merge ``incoming`` into the stored days it touches, as a new version of the table.
 
     Rows are typed, so an address that is none becomes NULL. Stored files
@@ -198,18 +203,25 @@ def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None,
     files. ``days`` names the touched days; else they are counted in ``incoming``
     first, and the bytes of the files that it reads are shared out by the counts.
     Days and names of files are all that reaches the driver.
+
+    What the types reject is counted while the rows are written, and noted in the
+    version. Above ``reject_limit`` values a row, the merge fails and stores nothing.
     """
     extra = [delivery_col] if delivery_col else []
-    typed = with_event_date(enforce_schema(
-        incoming, T.StructType([*ENRICHED.fields, *(incoming.schema[c] for c in extra)])))
-    rows = ensure_key(typed.select(*STORED_EVENT.names, *extra))
+    schema = T.StructType([*ENRICHED.fields, *(incoming.schema[c] for c in extra)])
+
+    def typed(df: DataFrame) -> DataFrame:
+        return ensure_key(with_event_date(enforce_schema(df, schema))
+                          .select(*STORED_EVENT.names, *extra))
+
+    rows, rejects = typed(incoming), Observation()
     if days is None:
         counts = dict(rows.groupBy("event_date").agg(F.count("*")).collect())
     else:
         counts = {None if day is None else as_date(day): 1 for day in days}
     days = set(counts)
     if sizes is None:
-        read, total = _input_bytes(incoming), sum(counts.values())
+        read, total = input_bytes(incoming), sum(counts.values())
         sizes = Counter({day: read * n // total for day, n in counts.items()})
     base = snapshots.newest(spark, path)
     stored = base.of_days({snapshots.as_text(day) for day in days})
@@ -218,17 +230,23 @@ def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None,
     if others:
         hit += _files_with_keys(spark, path, others, rows.select("row_hash"))
     old = (_read_files(spark, path, hit) if hit else spark.createDataFrame([], STORED_EVENT))
-    both = _deliveries(old.select(*STORED_EVENT.names), rows, delivery_col, False)
+    counted = typed(incoming.observe(rejects, *reject_counts(incoming)))
+    both = _deliveries(old.select(*STORED_EVENT.names), counted, delivery_col, False)
     merged = _newest_dealt(_cut_by_bytes(both, sizes + _day_sizes(hit), target_bytes),
                            F.desc("ingest_time"), F.desc("_delivery"))
     folder = f"{snapshots.FOLDER}={uuid.uuid4().hex}"
     _write_days(merged, f"{path}/{folder}")
-    return snapshots.commit(spark, base, folder, hit, days)
+    found = {name: int(n) for name, n in rejects.get.items()}
+    if reject_limit is not None and sum(found.values()) - found["total_rows"] > (
+            reject_limit * found["total_rows"]):
+        files.remove(spark, [f"{path}/{folder}"])
+        raise TooManyRejects(f"rejected values above {reject_limit} a row: {found}")
+    return snapshots.commit(spark, base, folder, hit, days, found)
 
 
 def settle_days(spark: SparkSession, live: str, path: str, day_from=None, day_to=None,
-                retire: bool = False, late: bool = True,
-                target_bytes: int = TARGET_BYTES) -> snapshots.Snapshot | None:
+                retire: bool = False, late: bool = True, target_bytes: int = TARGET_BYTES,
+                reject_limit: float | None = None) -> snapshots.Snapshot | None:
     """Move closed days from the live folder into the events table.
 
     Without bounds everything is moved. With bounds also what came late: events of
@@ -252,7 +270,7 @@ def settle_days(spark: SparkSession, live: str, path: str, day_from=None, day_to
     sizes = _day_sizes(found)
     folder = _read(spark, live, LIVE_EVENT)
     rows = folder.filter(_any_day(sizes))
-    made = upsert_days(spark, path, rows, set(sizes), "batch", sizes, target_bytes)
+    made = upsert_days(spark, path, rows, set(sizes), "batch", sizes, target_bytes, reject_limit)
     if retire:
         files.remove(spark, sorted({f.path.rpartition("/")[0] for f in found}))
     return made
@@ -340,6 +358,15 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DAILY_METRICS).parquet(path).select(*DAILY_METRICS.names)
 
 
+def write_day_states(states: DataFrame, path: str) -> None:
+    """Store one state per day (``operators.ranges``); a rerun replaces the day."""
+    _overwrite_partitions(states, path, "metric_date")
+
+
+def read_day_states(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:
+    return _days(spark.read.parquet(path), day_from, day_to, "metric_date")
+
+
 def read_alerts(spark: SparkSession, path: str, day_from=None, day_to=None) -> DataFrame:
     """One row per window and address, with the last count that was reported.
 

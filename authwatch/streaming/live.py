@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from authwatch.functions import classify
-from authwatch.operators.enrich import decode_event_json, enrich
+from authwatch.operators.enrich import decode_event_json, enrich, reject_counts
 from authwatch.operators.metrics import brute_force_windowed
 from authwatch.schema import BUS_FAILURE
 from authwatch.streaming.sinks import alert_sink, event_sink
@@ -74,9 +74,15 @@ def _start(df: DataFrame, name: str, root: str, mode: str, sink, trigger: str |
 
 def start_events(bus: DataFrame, root: str, trigger: str | None = "5 seconds",
                  files: int | None = None) -> StreamingQuery:
-    """Append every message to the live events table."""
+    """Append every message to the live events table.
+
+    The progress of the query counts what it rejects, under ``rejects``.
+    """
     rows = enrich(decode_event_json(bus, keep_malformed=True, corrupt_col="_corrupt"),
-                  keep=("_corrupt",)).withColumn("ip", classify.valid_ipv4(F.col("ip")))
+                  keep=("_corrupt",))
+    rows = (rows.observe("rejects", *reject_counts(rows),
+                         F.count_if(F.col("_corrupt").isNotNull()).alias("malformed"))
+            .withColumn("ip", classify.valid_ipv4(F.col("ip"))))
     return _start(rows, EVENTS, root, "append", event_sink(f"{root}/{EVENTS}", files), trigger)
 
 

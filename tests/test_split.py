@@ -95,3 +95,46 @@ def test_dump_is_capped_and_ordered(events):
     rows = [(f"2024-01-01 00:00:{n:02d}", None, "etc", "INFO") for n in (5, 3, 9)]
     got = sp.capped_dump(events(rows), 2).select(F.second("event_time").alias("s")).collect()
     assert [r["s"] for r in got] == [3, 5]
+
+
+def concatenated(folder):
+    return [x for part in sorted(folder.iterdir()) if part.name.startswith("part-")
+            for x in part.read_text().splitlines()]
+
+
+def test_parts_of_a_day_by_name_are_its_log(spark, tmp_path, small_splits):
+    lines = write_log(tmp_path / "SSH.log", 3000)
+    read = logs.read_logs(spark, str(tmp_path / "SSH.log"))
+    sp.write_split(sp.dated_lines(read, 2024), str(tmp_path / "days"), part_bytes=10_000)
+    folders = {f.name: f for f in (tmp_path / "days").iterdir() if f.is_dir()}
+    for day in ("09", "10", "11"):
+        folder = folders[f"file_name=ssh-202412{day}.log"]
+        assert concatenated(folder) == [x for x in lines if x[4:6].strip() == day.lstrip("0")]
+        assert len([x for x in folder.iterdir() if x.name.startswith("part-")]) > 1
+    assert concatenated(folders["file_name=__HIVE_DEFAULT_PARTITION__"]) == ["no date here", ""]
+    sp.split_by_date_capped(read, 2024, str(tmp_path / "capped"), 7)
+    assert concatenated(tmp_path / "capped" / "file_name=ssh-20241209.log") == lines[0:21:3]
+
+
+def test_line_numbers_in_many_splits(spark, tmp_path, small_splits):
+    wanted = {}
+    for name, n in (("a", 1500), ("b", 3), ("c", 700)):
+        write_log(tmp_path / f"{name}.log", n)
+        wanted[name] = (tmp_path / f"{name}.log").read_text().split("\n")[:-1]
+    (tmp_path / "empty.log").write_text("")
+    numbered = logs.read_numbered_logs(spark, str(tmp_path / "*.log"))
+    assert spark.read.text(str(tmp_path / "*.log")).rdd.getNumPartitions() >= 8
+    got = {}
+    for row in numbered.collect():
+        got.setdefault(row["source_path"].rpartition("/")[2][0], {})[row["line_number"]] = row["message"]
+    assert {name: [rows[n] for n in range(1, len(rows) + 1)] for name, rows in got.items()} == wanted
+
+
+def test_numbers_count_on_over_the_parts_of_a_day(spark, tmp_path, small_splits):
+    lines = write_log(tmp_path / "SSH.log", 3000)
+    read = logs.read_logs(spark, str(tmp_path / "SSH.log"))
+    sp.write_split(sp.dated_lines(read, 2024), str(tmp_path / "days"), part_bytes=10_000)
+    back = logs.read_numbered_logs(spark, str(tmp_path / "days" / "file_name=ssh-*.log"))
+    got = [r["message"] for r in back.filter("source_path LIKE '%ssh-20241210.log'")
+           .orderBy("line_number").collect()]
+    assert got == lines[1::3]

@@ -254,3 +254,21 @@ def test_state_partitions_are_taken_over_and_restored(spark, message_files, tmp_
     query.awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+
+
+def test_a_replay_is_bounded_by_messages(spark, tmp_path):
+    stored, root = str(tmp_path / "bus"), str(tmp_path / "live")
+    rows = spark.range(100).select(F.col("id").cast("string").alias("key"), F.to_json(F.struct(
+        F.col("id").cast("string").alias("row_hash"), F.lit("2024-01-01 10:00:00").alias("event_time"),
+        F.lit("Invalid user a from 1.2.3.999").alias("message"))).alias("value"))
+    with pytest.raises(ValueError, match="rows_per_file"):
+        bus.replay_bus(spark, stored, max_rows=20)
+    bus.store_messages(rows.repartition(3), stored, rows_per_file=10)
+    with pytest.raises(ValueError, match="rows_per_file"):
+        bus.replay_bus(spark, stored, max_rows=5)
+    query = live.start_events(bus.replay_bus(spark, stored, max_rows=25), root, None)
+    query.awaitTermination()
+    batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert max(batches) <= 20 and sum(batches) == 100
+    rejected = [p["observedMetrics"]["rejects"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(r["bad_ip"] for r in rejected) == 100 and sum(r["malformed"] for r in rejected) == 0

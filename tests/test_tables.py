@@ -292,6 +292,21 @@ def test_small_live_files_are_joined(spark, frame, tmp_path):
     assert ("k0", "later") in content(tables.read_live_events(spark, live))
 
 
+def test_rejects_are_counted_and_limited(spark, events, tmp_path):
+    path = str(tmp_path / "events")
+    rows = events([("2024-01-01 01:00:00", ip, "etc", "INFO")
+                   for ip in ("1.2.3.4", "2001", None, "1.1.1.1")])
+    odd = rows.withColumns({"port": F.when(F.col("ip") == "2001", "x").otherwise("22"),
+                            "row_hash": F.when(F.col("ip") != "1.1.1.1", F.col("row_hash"))})
+    with pytest.raises(tables.TooManyRejects, match="bad_port"):
+        tables.upsert_days(spark, path, odd, reject_limit=0.5)
+    assert snapshots.newest(spark, path).version == 0 and not list(tmp_path.rglob("*.parquet"))
+    made = tables.upsert_days(spark, path, odd, reject_limit=1)
+    want = {"total_rows": 4, "bad_ip": 1, "bad_port": 1, "bad_time": 0, "keyless": 2}
+    assert made.rejects == want == snapshots.newest(spark, path).rejects
+    assert tables.read_events(spark, path).count() == 4
+
+
 def test_stored_addresses_are_typed(spark, events, tmp_path):
     rows = [("2024-01-01 01:00:00", ip, "etc", "INFO") for ip in ("1.2.3.4", "2001")]
     tables.upsert_days(spark, str(tmp_path / "events"), events(rows))
