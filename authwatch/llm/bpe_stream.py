@@ -11,26 +11,38 @@ it is decided. Byte-level files turn letters to bytes and bytes to text, with at
 most one unfinished character as state; files without a decoder join the token
 names by blanks, as the library does.
 
-A null text counts as empty. One output row per input row, no shuffle; other
-columns are ignored.
+Beside the text itself, a window of it and a run of its tokens are in memory; ids
+and decoded text go to their digests run by run. The dealt file has no decoder, so
+its state is whether a token came before; the byte-to-text machine serves
+byte-level files.
+
+A null text counts as empty, an empty one has no tokens, and texts of any length
+are taken whole. One output row per input row, repeated rows too, no shuffle; an
+empty table gives no rows, and other columns are ignored.
 """
 
 from __future__ import annotations
 
 import codecs
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
-from itertools import chain
+from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from authwatch.llm.batches import map_batches, texts, type_of
-from authwatch.llm.bpe_files import PACK, Lookup, Vocabulary, lookup
+from authwatch.llm.bpe_files import PACK, Vocabulary, lookup
 from authwatch.llm.token_counts import merge_linked
 
 #: Symbols read beyond the lookahead before merging again.
 CHUNK = 1024
+#: Characters of a text that are split at once (or up to the next blank), chunks of a run.
+WINDOW, RUN = 1 << 16, 4096
+_BLANK = re.compile(r"[\t\n\r ]")
 #: Ranks after all others.
 NO_PAIR = 1 << 62
 
@@ -114,7 +126,10 @@ class Encoder:
         yield from merge_all(self.held, self.packed)
         self.held.clear()
 
-    def encode(self, symbols: Iterable[int]) -> list[int]:
+    def encode(self, symbols: list[int]) -> list[int]:
+        """Tokens of a whole word; a short one is never split."""
+        if len(symbols) < self.reach + CHUNK:
+            return merge_all(symbols, self.packed)
         return [*self.feed(symbols), *self.finish()]
 
 
@@ -139,33 +154,114 @@ class Decoder:
             return self.text.decode(name.encode())
         return self.text.decode(bytes(self.bytes_of[letter] for letter in name))
 
+    def run(self, tokens: list[int]) -> str:
+        """Text of the next tokens, as :func:`feed` gives it one by one."""
+        if not (self.plain and tokens):
+            return "".join(map(self.feed, tokens))
+        begun, self.begun = self.begun, True
+        return " " * begun + " ".join(map(self.names.__getitem__, tokens))
+
     def finish(self) -> str:
         return self.text.decode(b"", True)
 
     def decode(self, tokens: Iterable[int]) -> str:
-        return "".join(map(self.feed, tokens)) + self.finish()
+        return self.run([*tokens]) + self.finish()
 
 
-def _join(parts: list[tuple[str, list[int]]]) -> tuple[str, list[int]]:
-    ids, tokens = zip(*parts, strict=True) if parts else ((), ())
-    return " ".join(ids), [*chain.from_iterable(tokens)]
+class Aged(dict):
+    """Packed ids by string. Bounded: a full generation becomes the old one, whose
+    entries move to the young one when they are met again; long keys are not kept."""
 
+    def __init__(self, make, most: int = 250_000, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
 
-def encoder(vocab: Vocabulary) -> Lookup:
-    """Ids joined by blanks, and the ids."""
-    words = Encoder(vocab)
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
-    def of_word(word: str) -> tuple[str, list[int]]:
-        tokens = words.encode(vocab.symbols(word))
-        return " ".join(map(str, tokens)), tokens
-    return Lookup(vocab, of_word,
-                  lambda special: (str(vocab.special[special]), [vocab.special[special]]), _join)
 
+class Ids:
+    """Ids of texts, in runs of bounded length."""
 
-def encode_text(text: str, encoded: Lookup) -> tuple[int, str, str]:
+    def __init__(self, vocab: Vocabulary):
+        self.vocab, self.encoder = vocab, Encoder(vocab)
+        self.by_word = Aged(lambda word: self._packed(self.encoder.encode(vocab.symbols(word))))
+        self.by_chunk = Aged(lambda chunk: b"".join(
+            map(self.by_word.__getitem__, vocab.split_chunk(chunk))))
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
+
+    def _packed_parts(self, stretch: str) -> Iterator[bytes]:
+        chunks = self.vocab.chunks(stretch)
+        if chunks is None:
+            return map(self.by_word.__getitem__, self.vocab.library_words(stretch))
+        return map(self.by_chunk.__getitem__, chunks)
+
+    def runs(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text in order, some thousands at a time."""
+        for special, piece in self.vocab.pieces(text):
+            if special:
+                yield [self.vocab.special[piece]]
+                continue
+            for window in self._windows(piece):
+                parts = self._packed_parts(window)
+                while some := [*islice(parts, RUN)]:
+                    yield np.frombuffer(b"".join(some), "I").tolist()
+
+    def _windows(self, stretch: str) -> Iterator[str]:
+        """Parts that split into words alone as they do together.
+
+        Where blanks are dropped, any blank parts two words. One stretch without
+        a blank is a window however long it is.
+        """
+        if self.vocab._keeps_blanks or len(stretch) <= WINDOW:
+            yield stretch
+            return
+        start = 0
+        while start < len(stretch):
+            blank = _BLANK.search(stretch, min(len(stretch), start + WINDOW))
+            stop = blank.start() if blank else len(stretch)
+            yield stretch[start:stop]
+            start = stop
+
+
+def encoder(vocab: Vocabulary) -> Ids:
+    return Ids(vocab)
+
+
+def encode_text(text: str, encoded: Ids) -> tuple[int, str, str]:
     """Number of tokens, ids joined by blanks, and the text that the decoder gives for them."""
-    ids, tokens = _join(encoded.values(text))
-    return len(tokens), ids, Decoder(encoded.vocab).decode(tokens)
+    tokens = [*chain.from_iterable(encoded.runs(text))]
+    return len(tokens), " ".join(map(str, tokens)), Decoder(encoded.vocab).decode(tokens)
+
+
+class Digests:
+    """Digests of a text's ids and of its decoded text, from one run of ids after the other."""
+
+    def __init__(self, encoded: Ids, numerals: list[str]):
+        self.decoder, self.numerals = Decoder(encoded.vocab), numerals
+        self.count, self.ids, self.text = 0, sha256(), sha256()
+
+    def add(self, run: list[int]) -> None:
+        if self.count:
+            self.ids.update(b" ")
+        self.count += len(run)
+        self.ids.update(" ".join(map(self.numerals.__getitem__, run)).encode())
+        self.text.update(self.decoder.run(run).encode())
+
+    def finish(self) -> tuple[int, str, str]:
+        self.text.update(self.decoder.finish().encode())
+        return self.count, self.ids.hexdigest(), self.text.hexdigest()
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id",
@@ -173,12 +269,14 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id",
     """Per row: id, n_tokens, ids_sha256 and decoded_sha256."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = lookup("encode", path, encoder)
-        counts, ids, decoded = [], [], []
+        numerals = lookup("numerals", path, lambda v: [str(n) for n in range(max(v.names) + 1)])
+        rows = []
         for text in texts(batch.column(1)):
-            count, joined, text = encode_text(text, words)
-            counts.append(count)
-            ids.append(sha256(joined.encode()).hexdigest())
-            decoded.append(sha256(text.encode()).hexdigest())
+            digests = Digests(words, numerals)
+            for ids in words.runs(text):
+                digests.add(ids)
+            rows.append(digests.finish())
+        counts, ids, decoded = zip(*rows, strict=True)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
             ["doc", "n_tokens", "ids_sha256", "decoded_sha256"])

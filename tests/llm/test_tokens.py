@@ -13,6 +13,7 @@ from llm_helpers import SF_DIR
 from tokenizers import Tokenizer
 
 from authwatch.llm import bpe_files, bpe_stream, packing, token_counts
+from authwatch.llm.queries import QUERIES
 
 WORDS, BYTES = (public_tokenizers.path(f"{name}.json") for name in ("word_bpe_49k", "byte_bpe_50k"))
 LETTERS = "aAbéÇß \n\t<|>enΣσİ1２٣中文🙂́　՘x\x1c\x85'sll  "
@@ -27,14 +28,52 @@ def odd_texts():
 
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_the_decoder_takes_every_token(path, monkeypatch):
-    fed, feed = [], bpe_stream.Decoder.feed
-    monkeypatch.setattr(bpe_stream.Decoder, "feed",
-                        lambda self, token: fed.append(token) or feed(self, token))
-    words = bpe_stream.encoder(bpe_files.Vocabulary(path))
+    monkeypatch.setattr(bpe_stream, "RUN", 7)
+    monkeypatch.setattr(bpe_stream, "WINDOW", 11)
+    fed, run = [], bpe_stream.Decoder.run
+    monkeypatch.setattr(bpe_stream.Decoder, "run",
+                        lambda self, tokens: fed.extend(tokens) or run(self, tokens))
+    vocab = bpe_files.Vocabulary(path)
+    words, numerals = bpe_stream.encoder(vocab), [str(n) for n in range(60_000)]
+    library = Tokenizer.from_file(path)
     for text in odd_texts():
         fed.clear()
-        count, joined, _ = bpe_stream.encode_text(text, words)
-        assert " ".join(map(str, fed)) == joined and len(fed) == count
+        digests = bpe_stream.Digests(words, numerals)
+        for ids in words.runs(text):
+            digests.add(ids)
+        want = library.encode(text, add_special_tokens=False).ids
+        assert fed == want, text
+        assert digests.finish() == (len(want), *(sha256(x.encode()).hexdigest() for x in (
+            " ".join(map(str, want)), library.decode(want, skip_special_tokens=False)))), text
+        one = bpe_stream.Decoder(vocab)
+        assert "".join(map(one.feed, want)) + one.finish() == one.__class__(vocab).decode(want)
+
+
+def test_caches_of_two_generations_forget_and_stay_right():
+    cache = bpe_stream.Aged(lambda key: key.encode(), most=10, longest=3)
+    for turn in range(3):
+        for n in [*range(40), *range(5)]:
+            assert cache[str(n)] == str(n).encode() and cache["long" * n] == b"long" * n
+    assert len(cache) <= 10 and len(cache.old) <= 10 and not any(len(k) > 3 for k in cache)
+
+
+@pytest.mark.parametrize("query", ["op2_token_counts", "op7_bpe_stream"])
+def test_whole_table_against_the_library(spark, query):
+    library = Tokenizer.from_file(WORDS)
+    docs = {r.doc_id: r.text or "" for r in
+            spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    rows = QUERIES[query](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for row in rows:
+        text = docs[row.doc_id]
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert row.n_tokens == len(ids)
+        if query == "op2_token_counts":
+            assert (row.n_bytes, row.over_limit) == (len(text.encode()), len(ids) > 2048)
+        else:
+            decoded = library.decode(ids, skip_special_tokens=False)
+            assert (row.ids_sha256, row.decoded_sha256) == tuple(
+                sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), decoded))
 
 
 @pytest.mark.parametrize("path", [WORDS, BYTES])
