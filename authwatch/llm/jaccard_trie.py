@@ -11,11 +11,12 @@ sets form a trie. Traversing it for one set shares the overlap of common
 beginnings, prunes subtrees by the bounds on what is left, and skips subtrees
 that are linked already. A group of very many classes is split into blocks:
 each block is joined alone, and classes outside the leading component are then
-looked up in all blocks, so no link is lost.
+looked up in all blocks, a chunk of them at a time, so no link is lost and a task
+holds one block and one chunk.
 
 A null or wordless text has an empty set and is linked with nothing. Null ids
-count as the largest. Repeated rows are copies of one another. Other columns
-are ignored. Shingles and classes are known by 64-bit hashes.
+count as the largest. Repeated rows are copies of one another. Texts of any length
+are taken whole, and an empty table gives no rows. Other columns are ignored. Shingles and classes are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -44,8 +45,9 @@ FREQUENT, MOST_FREQUENT = 64, 1 << 20
 PAIRED = 64
 #: Classes of a block of a large group.
 BLOCK = 2048
-#: Words of 64 bits of the filter that keeps sets of unlinked classes at home.
-FILTER_WORDS = 1 << 17
+#: Bits per member of the filter that keeps sets of unlinked classes at home, and the
+#: words of 64 bits that it has at most (8 MB): beyond, more sets are shuffled in vain.
+FILTER_BITS, FILTER_WORDS = 16, 1 << 20
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -62,8 +64,9 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begin = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + bounds[owner]
     length = np.minimum(sizes, SHINGLE)[owner]
     hashes = mix(PrefixHash(words).of(begin, begin + length) + length.astype(np.uint64))
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
+    ends = np.cumsum(counts)
+    for begin, end in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        hashes[begin:end].sort()  # in place, text by text
     fresh = np.ones(len(owner), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
     hashes, owner = hashes[fresh], owner[fresh]
@@ -400,17 +403,18 @@ def as_stars(pairs: Iterable[tuple[int, int]]) -> dict[int, int]:
 
 
 def _join_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within each (group, block), from rows in that order, probes last."""
+    """Links within each (group, block, chunk of probes), from rows in that order, probes
+    last: at most a block and a chunk at once."""
     def rows():
         for batch in batches:
             yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
 
-    for _, members in groupby(rows(), key=lambda row: row[:2]):
+    for _, members in groupby(rows(), key=lambda row: row[:3]):
         members = list(members)
-        signs = [row[3] for row in members]
-        sets = [np.frombuffer(row[5], np.uint64) for row in members]
-        probes = sum(row[2] for row in members)
-        labels = [row[4] for row in members] if members[0][4] is not None else None
+        signs = [row[4] for row in members]
+        sets = [np.frombuffer(row[6], np.uint64) for row in members]
+        probes = sum(row[3] for row in members)
+        labels = [row[5] for row in members] if members[0][5] is not None else None
         if probes == len(members):
             continue
         stars = as_stars(((signs[a], signs[b]) for a, b in join_sets(sets, labels, probes)))
@@ -421,21 +425,23 @@ def _join_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _in_groups(rows: DataFrame) -> DataFrame:
-    return (rows.select("group", "block", "probe", "sign", "label", "shingles")
-            .repartition("group", "block")
-            .sortWithinPartitions("group", "block", "probe", "sign")
+    return (rows.select("group", "block", "chunk", "probe", "sign", "label", "shingles")
+            .repartition("group", "block", "chunk")
+            .sortWithinPartitions("group", "block", "chunk", "probe", "sign")
             .mapInArrow(_join_groups, "a long, b long"))
 
 
 # -- the operator ------------------------------------------------------------
 
 def _filter_words(signs: DataFrame) -> np.ndarray:
-    """A one-hash Bloom filter of fixed size: it may let others pass, so it only saves shuffling."""
+    """A one-hash Bloom filter: it may let others pass, so it only saves shuffling."""
+    wanted = signs.count() * FILTER_BITS // 64
+    size = min(FILTER_WORDS, 1 << max(10, wanted.bit_length()))
     words = signs.select(
-        F.pmod("sign", F.lit(FILTER_WORDS)).alias("word"),
+        F.pmod("sign", F.lit(size)).alias("word"),
         F.expr("shiftleft(1L, cast(pmod(shiftright(sign, 32), 64) as int))").alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    table = np.zeros(FILTER_WORDS, np.int64)
+    table = np.zeros(size, np.int64)
     table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return table.view(np.uint64)
 
@@ -445,8 +451,9 @@ def _sets_of(texts: DataFrame, members: DataFrame) -> DataFrame:
     wanted = texts.sparkSession.sparkContext.broadcast(_filter_words(members.select("sign")))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         found = [(sign, own.tobytes()) for sign, own in distinct_sets(batch.column(0))
-                 if int(wanted.value[sign % FILTER_WORDS]) >> ((sign >> 32) % 64) & 1]
+                 if int(bits[sign % len(bits)]) >> ((sign >> 32) % 64) & 1]
         if found:
             signs, sets = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -465,8 +472,8 @@ def class_links(texts: DataFrame) -> DataFrame:
     sizes = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     placed = members.join(sizes, "group").withColumn(
         "block", F.pmod(F.xxhash64("sign"), F.col("blocks")))
-    rows = keep_table(_sets_of(texts, placed).withColumn("probe", F.lit(0))
-                      .withColumn("label", F.lit(None).cast("long")))
+    rows = keep_table(_sets_of(texts, placed).withColumns({
+        "probe": F.lit(0), "chunk": F.lit(0).cast("long"), "label": F.lit(None).cast("long")}))
     links = components(_in_groups(rows), "a", "b")
     large = rows.filter("blocks > 1").drop("label")
     if large.isEmpty():
@@ -482,9 +489,15 @@ def class_links(texts: DataFrame) -> DataFrame:
             counts = labelled.groupBy("group", "label").agg(F.count("*").alias("n"))
             leading = counts.groupBy("group").agg(F.max_by("label", "n").alias("leading"))
             asked = labelled.join(leading, "group").filter("label != leading").drop("leading")
-        probes = (asked.withColumn("probe", F.lit(1))
-                  .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-        new = _in_groups(labelled.unionByName(probes))
+        # Every chunk of a group's probes meets every block of the group.
+        chunks = asked.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).alias("chunks"))
+        zero = F.lit(0).cast("long")
+        probes = (asked.join(chunks, "group").withColumns({
+            "probe": F.lit(1), "chunk": F.pmod(F.xxhash64("group", "sign"), F.col("chunks")),
+            "block": F.explode(F.sequence(zero, F.col("blocks") - 1))}))
+        held = labelled.join(chunks, "group").withColumn(
+            "chunk", F.explode(F.sequence(zero, F.col("chunks") - 1)))
+        new = _in_groups(held.unionByName(probes))
         return components(new.unionByName(links.select(
             F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b")
 

@@ -86,6 +86,38 @@ def test_near_copies_in_blocks(frame, monkeypatch, frequent, block):
     assert linked(frame(rows)) == brute(rows)
 
 
+def test_a_large_group_of_unlike_classes_stays_in_bounds(frame, monkeypatch):
+    """Texts of one frequent beginning that are not similar, and a few that are."""
+    rng = random.Random(8)
+    common = "shared beginning of very many texts here"
+    texts = [f"{common} " + " ".join(f"w{rng.randint(0, 9)}{n}x{m}" for m in range(20))
+             for n in range(120)]
+    texts += [text + " tail" for text in texts[::7]]
+    most, join = [], jt.join_sets
+    monkeypatch.setattr(jt, "PAIRED", 4)
+    monkeypatch.setattr(jt, "BLOCK", 10)
+    # The rows of a task are counted where it is called here, in blocks and chunks of ten.
+    sets = hash_sets(texts)
+    rows = [(0, b, c, 0, i, i, s.tobytes()) for b in range(3) for c in range(2)
+            for i, s in list(enumerate(sets))[10 * b:10 * b + 10]]
+    rows += [(0, b, c, 1, i, i, s.tobytes()) for b in range(3) for c in range(2)
+             for i, s in list(enumerate(sets))[120 + 9 * c:120 + 9 * c + 9]]
+    names = ["group", "block", "chunk", "probe", "sign", "label", "shingles"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in sorted(rows)],)
+    monkeypatch.setattr(jt, "join_sets", lambda sets, *a: most.append(len(sets)) or join(sets, *a))
+    got = {tuple(sorted(pair)) for out in jt._join_groups([batch])
+           for pair in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)}
+    assert got == {(7 * n, 120 + n) for n in range(5)} and max(most) <= 20
+    assert linked(frame(list(enumerate(texts)))) == brute(list(enumerate(texts)))
+
+
+def test_very_long_texts_and_ties(frame):
+    long = " ".join(f"w{n}" for n in range(60_000))
+    rows = [(5, long), (3, long + " end"), (9, "x" * 300_000), (4, "a b c d e"), (2, "A b c d e"),
+            (7, "a b c d f"), (8, " ".join(["same"] * 5000)), (6, "same " * 7)]
+    assert linked(frame(rows)) == brute(rows)
+
+
 def test_odd_rows(frame, odd_rows):
     rows = jt.link_documents(frame(odd_rows)).collect()
     assert len(rows) == len(odd_rows)
