@@ -94,17 +94,24 @@ repeats AS (
   SELECT doc_id, count(DISTINCT place) AS n FROM (
     SELECT doc_id, unnest(range(place, place + 8)) AS place
     FROM windows JOIN twice USING (doc_id, gram)) GROUP BY doc_id),
-short_lines AS (
+normal_lines AS (
   SELECT doc_id, source, text, lower(array_to_string(words, ' ')) AS line, len(words) AS n
-  FROM worded WHERE len(words) <= 40),
-hosts AS (SELECT source, count(DISTINCT text) AS documents FROM texts GROUP BY source),
+  FROM worded),
+same_texts AS (
+  SELECT source, text, count(DISTINCT doc_id) AS documents, min(doc_id) AS least,
+         len(any_value(words)) < 20 OR 100 * coalesce(any_value(repeats.n), 0)
+           > 30 * len(any_value(words)) AS text_failed
+  FROM texts LEFT JOIN repeats USING (doc_id) GROUP BY source, text),
+held AS (SELECT DISTINCT source, text, line FROM normal_lines),
 frequent AS (
-  SELECT source, line FROM short_lines JOIN hosts USING (source)
-  GROUP BY source, line, documents
-  HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > documents * 0.01),
+  SELECT held.source, line, arg_min(held.text, (-documents, least)) FILTER (WHERE NOT text_failed) AS spared
+  FROM held JOIN same_texts ON held.source IS NOT DISTINCT FROM same_texts.source
+    AND held.text = same_texts.text
+  GROUP BY ALL HAVING sum(documents) > 20),
 hits AS (
-  SELECT doc_id, sum(n) AS removed FROM short_lines JOIN frequent USING (source, line)
-  GROUP BY doc_id),
+  SELECT doc_id, sum(n) AS removed FROM normal_lines l JOIN frequent f
+    ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line
+  WHERE text IS DISTINCT FROM spared GROUP BY doc_id),
 counted AS (
   SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,

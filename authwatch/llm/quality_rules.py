@@ -7,19 +7,20 @@ above the limit is removed, and a document that is left with too few words, or
 too small a share of its words, is rejected. The limit is a number of documents
 per host, whatever the host's size, so verdicts are alike at every size.
 
-Copies of a good text are no reason to lose all of them: a long line, or one that
-is above the limit only by copies of a few texts, stays in one text of the host
-and in the exact copies of that text. It is the text with the most documents among
-those that hold the line and pass the base rule. A short line in many different
-texts goes from all of them.
+Copies of a good text are no reason to lose all of them: every line above the limit
+stays in one text of the host and in the exact copies of that text. It is the text
+with the most documents among those that hold the line and pass the base rule, of
+equals the one with the least id. There is no other rule for long lines, for lines of
+few texts or for small hosts.
 
 ``judge`` gives counts and verdicts of the texts as they come; ``kept_texts`` gives
 the rows of the documents that stay, without the lines above the limit.
 
-``judge`` reads the texts once, ``kept_texts`` twice. Counts are combined before each shuffle, so a line or
-host with a large part of all rows is a few rows per task. Null hosts form one
-host, a null text has no words, and repeated rows each get a verdict. Other
-columns are ignored.
+``judge`` reads the texts once, ``kept_texts`` twice. Counts are combined before each
+shuffle, so a line or host with a large part of all rows is a few rows per task. Null
+hosts form one host, a null text has no words, repeated rows are one document and
+each get a verdict, and a null id comes before all others. Lines and texts of any
+length are taken whole, and an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,13 +37,10 @@ from authwatch.llm.batches import encoded, keep_table, map_batches, type_of
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
-#: A line is boilerplate in more than ``MIN_DOCUMENTS`` documents of a host. If it has
-#: more than ``LINE_WORDS`` words, one text keeps it.
-MIN_DOCUMENTS, LINE_WORDS = 20, 40
+#: A line is boilerplate in more than so many documents of a host.
+MIN_DOCUMENTS = 20
 #: A document stays with at least so many words and this share of its words.
 LEAST_WORDS, LEAST_SHARE = 20, 0.3
-#: Bits of a text's hash that choose among texts with equally many documents.
-TIE_BITS = 36
 WINDOW = 8
 
 
@@ -87,14 +85,13 @@ def line_key(words: list[bytes]) -> int:
     return int.from_bytes(blake2b(plain, digest_size=8).digest(), "big", signed=True)
 
 
-def line_words(text: bytes) -> dict[int, tuple[int, bool]]:
-    """Hash of each normalised line of a text, its words in all its places, and if it is long."""
-    found: dict[int, tuple[int, bool]] = {}
+def line_words(text: bytes) -> dict[int, int]:
+    """Hash of each normalised line of a text, and its words in all its places."""
+    found: dict[int, int] = {}
     for line in text.split(b"\n"):
         if words := line.split():
             key = line_key(words)
-            before = found[key][0] if key in found else 0
-            found[key] = before + len(words), len(words) > LINE_WORDS
+            found[key] = found.get(key, 0) + len(words)
     return found
 
 
@@ -108,15 +105,13 @@ def without_lines(text: bytes, lost: set[int]) -> tuple[bytes, int]:
 def _profile(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     rows = encoded(batch.column(2))
     counts = list(zip(*map(base_counts, rows), strict=True))
-    lines = [[{"line": k, "words": v, "long": long} for k, (v, long) in line_words(text).items()]
-             for text in rows]
+    lines = [[{"line": k, "words": v} for k, v in line_words(text).items()] for text in rows]
     content = [int.from_bytes(blake2b(text, digest_size=8).digest(), "big", signed=True)
                for text in rows]
     yield pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(1), pa.array(content, pa.int64()),
          batch.column(3), *(pa.array(c, pa.int64()) for c in counts),
-         pa.array(lines, pa.list_(pa.struct(
-             [("line", pa.int64()), ("words", pa.int64()), ("long", pa.bool_())])))],
+         pa.array(lines, pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())])))],
         ["doc", "host", "content", "copy", "n_words", "word_chars", "n_symbols", "n_dup_lines",
          "n_repeat_words", "lines"])
 
@@ -127,7 +122,7 @@ def profile(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
         docs.select(id_col, host_col, text_col, F.xxhash64(text_col)), _profile,
         f"doc {type_of(docs, id_col)}, host {type_of(docs, host_col)}, content long, "
         "copy long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "lines array<struct<line: long, words: long, long: boolean>>")
+        "lines array<struct<line: long, words: long>>")
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return keep_table(counted.withColumn("base_failed", failed)
@@ -137,20 +132,19 @@ def profile(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataF
 def frequent_lines(profiled: DataFrame) -> DataFrame:
     """(host, line) above the limit, and the text that keeps it, if any."""
     texts = profiled.groupBy("host", "content").agg(
-        F.count_distinct(F.struct("doc")).alias("documents"), F.min("number").alias("number"))
+        F.count_distinct(F.struct("doc")).alias("documents"), F.min("number").alias("number"),
+        F.min(F.struct("doc")).alias("least"))
     # One row for each text goes on, so a text with many copies weighs no more than others.
-    order = F.shiftleft("documents", TIE_BITS) + F.col("content").bitwiseAND((1 << TIE_BITS) - 1)
+    order = F.struct((-F.col("documents")).alias("fewest"), "least")
     return (profiled.select("number", "host", "content", "base_failed", "lines")
-            .join(texts.select("number", "documents"), "number")
-            .select(F.struct("host").alias("host"), "content", "documents", "base_failed",
+            .join(texts.select("number", "documents", "least"), "number")
+            .select(F.struct("host").alias("host"), "content", "documents", "least", "base_failed",
                     F.explode("lines").alias("at"))
             .groupBy("host", F.col("at.line").alias("line"))
-            .agg(F.sum("documents").alias("n"), F.count("*").alias("texts"),
-                 F.max("at.long").alias("long"),
-                 F.max_by("content", F.when(~F.col("base_failed"), order)).alias("spared"))
+            .agg(F.sum("documents").alias("n"),
+                 F.min_by("content", F.when(~F.col("base_failed"), order)).alias("spared"))
             .filter(F.col("n") > MIN_DOCUMENTS)
-            .select("host", "line", F.when(
-                F.col("long") | (F.col("texts") <= MIN_DOCUMENTS), F.col("spared")).alias("spared")))
+            .select("host", "line", "spared"))
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:

@@ -42,52 +42,95 @@ def body(n):
     return " ".join(f"w{n}x{m}" for m in range(60))
 
 
-def test_boilerplate_is_removed_per_host_and_depleted_documents_go(frame):
+def rule_brute(rows):
+    """doc_id -> (boilerplate_words, kept) and the kept text, by the rule as stated."""
+    rows = [(i, t or "", f"src{(i or 0) % 3}") for i, t in rows]
+
+    def lines(text):
+        return [" ".join(re.findall(r"[^\x20\x09-\x0D]+", x)).lower() for x in text.split("\n")]
+
+    def failed(text):
+        n, *_, repeated = base_brute(text)
+        return n < 20 or 100 * repeated > 30 * n
+
+    ids = {}
+    for i, text, host in rows:
+        ids.setdefault((host, text), set()).add(i)
+    holders = {}
+    for host, text in ids:
+        for line in set(lines(text)) - {""}:
+            holders.setdefault((host, line), []).append(text)
+    spared = {}
+    for (host, line), texts in holders.items():
+        if sum(len(ids[host, t]) for t in texts) > 20:
+            spared[host, line] = min((t for t in texts if not failed(t)), default=None, key=lambda t: (
+                -len(ids[host, t]), min(ids[host, t])))
+    out = {}
+    for i, text, host in rows:
+        gone = [(host, x) in spared and spared[host, x] != text for x in lines(text)]
+        removed = sum(len(x.split()) for x, lost in zip(lines(text), gone, strict=True) if lost)
+        left = len(text.split()) - removed
+        kept = not failed(text) and left >= 20 and left >= 0.3 * len(text.split())
+        out[i] = removed, kept, "\n".join(
+            x for x, lost in zip(text.split("\n"), gone, strict=True) if not lost)
+    return out
+
+
+def check_rule(frame, rows):
+    want = rule_brute(rows)
+    got = judged(frame, rows)
+    assert {i: (r.boilerplate_words, r.kept) for i, r in got.items()} == {
+        i: w[:2] for i, w in want.items()}
+    texts = {r.doc_id: r.kept_text for r in quality_rules.kept_texts(frame(rows)).collect()}
+    assert texts == {i: w[2] for i, w in want.items() if w[1]}
+    return got
+
+
+@pytest.mark.parametrize("words", [3, 40, 41, 90])
+@pytest.mark.parametrize("texts, copies", [(60, 1), (20, 5), (21, 5), (20, 1), (21, 1), (1, 30)])
+def test_one_rule_for_lines_of_all_lengths_and_counts(frame, words, texts, copies):
+    notice = " ".join(f"notice{m}" for m in range(words))
+    rows = [(3 * (n * copies + c), f"{notice}\nown words {n}\n{body(n)}")
+            for n in range(texts) for c in range(copies)]
+    rows += [(1, f"{notice}\n{body(1)}"), (3 * 900, notice.upper()), (4, None)]
+    got = check_rule(frame, rows)
+    held = sum(got[3 * n].boilerplate_words == words for n in range(texts * copies))
+    # One text keeps the line, with all its copies, as soon as the host has it too often.
+    assert held == (texts - 1) * copies * (texts * copies + 1 > 20)
+
+
+def test_depleted_documents_go_and_hosts_are_apart(frame):
     menu = "\n".join(f"Home  About Contact {m}" for m in range(30))
-    # Host src0: 40 documents that are little but the menu; others have it once.
     rows = [(3 * n, f"{menu.upper()}\nown words {n}") for n in range(40)]
     rows += [(3 * n, f"{menu}\n{body(n)}\n{body(n + 500)}") for n in range(40, 60)]
     rows += [(1, menu), (3 * 70 + 1, body(1))]
-    got = judged(frame, rows)
-    assert not any(got[3 * n].kept for n in range(40))
-    assert all(got[3 * n].kept and got[3 * n].boilerplate_words == 120 for n in range(40, 60))
+    got = check_rule(frame, rows)
+    assert sum(got[3 * n].kept for n in range(40)) == 1
+    assert all(got[3 * n].kept for n in range(40, 60))
     assert got[1].kept and got[1].boilerplate_words == 0
 
 
 def test_copies_of_a_good_text_are_no_boilerplate(frame):
     text = "\n".join(" ".join(f"s{n}w{m}" for m in range(10)) for n in range(10))
-    got = judged(frame, [(3 * n, text) for n in range(100)])
-    assert all(row.kept for row in got.values())
-
+    got = check_rule(frame, [(3 * n, text) for n in range(100)]
+                     + [(3 * n, f"{text}\nown words {n}") for n in range(100, 105)])
+    assert all(got[3 * n].kept for n in range(100))
+    assert all(got[3 * n].boilerplate_words == 100 and not got[3 * n].kept for n in range(100, 105))
 
-def test_long_lines_count_and_one_text_keeps_them(frame):
-    notice = " ".join(f"notice{m}" for m in range(90))
-    got = judged(frame, [(3 * n, f"{notice}\nown words {n}") for n in range(60)]
-                 + [(1, notice), (4, f"{notice}\n{body(1)}")])
-    kept = [key for key, row in got.items() if row.kept]
-    assert len(kept) == 3 and {1, 4} < set(kept)
-    assert sorted({row.boilerplate_words for row in got.values()}) == [0, 90]
 
-
-def test_documents_count_beside_copies_and_the_copied_text_stays(frame):
+def test_rows_that_share_id_and_text_are_one_document(frame):
     page = "\n".join(" ".join(f"s{n}w{m}" for m in range(10)) for n in range(10))
-    rows = [(3 * n, page) for n in range(100)]
-    rows += [(3 * n, f"{page}\nown words {n}") for n in range(100, 105)]
-    got = judged(frame, rows)
-    assert all(got[3 * n].kept and got[3 * n].boilerplate_words == 0 for n in range(100))
-    assert all(got[3 * n].boilerplate_words == 100 and not got[3 * n].kept
-               for n in range(100, 105))
-    # Rows that share id and text are one document.
-    again = judged(frame, [(3, page)] * 100 + rows[-5:])
+    again = judged(frame, [(3, page)] * 100 + [(6, f"{page}\nown words")])
     assert all(row.kept and row.boilerplate_words == 0 for row in again.values())
 
 
 def test_verdicts_do_not_depend_on_the_size_of_the_host(frame):
     menu = "\n".join(f"Home  About Contact {m}" for m in range(30))
     rows = [(3 * n, f"{menu}\nown words {n}") for n in range(25)]
-    for others in (0, 3000):
-        got = judged(frame, rows + [(3 * n, f"other {n}") for n in range(100, 100 + others)])
-        assert all(got[key].boilerplate_words == 120 and not got[key].kept for key, _ in rows)
+    alone = judged(frame, rows)
+    among = judged(frame, rows + [(3 * n, f"other {n}") for n in range(100, 3100)])
+    assert {key: tuple(among[key]) for key, _ in rows} == {key: tuple(alone[key]) for key, _ in rows}
+    assert sum(r.kept for r in alone.values()) == 1
 
 
 def test_odd_rows(frame, odd_rows):
