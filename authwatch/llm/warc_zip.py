@@ -13,7 +13,8 @@ lists the records, and each record is one range read, dealt over all tasks.
 Of records with equal payloads the one with the largest id is the response and
 the others revisit it. Null payloads count as empty, null ids as the smallest,
 and null addresses as empty. Rows that share id and payload are written as
-often as they come. Other columns are ignored. Archives lie in the folder that
+often as they come. Payloads of any length are taken whole, and an empty table gives
+no rows. Other columns are ignored. Archives lie in the folder that
 all executors share; names are unique per task attempt, and only those of
 finished tasks are read.
 """
@@ -44,8 +45,8 @@ FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.tsv"
 #: Payload bytes after which a partition begins the next archive.
 ARCHIVE_BYTES = 256 << 20
-#: Index entries per range-read batch.
-ENTRIES = 256
+#: Index entries per range-read batch, and bytes of archives that a task reads (about).
+ENTRIES, READ_BYTES = 256, 64 << 20
 
 
 class Member(NamedTuple):
@@ -304,10 +305,13 @@ def _read(folder: str):
 
 def read_archives(archives: DataFrame, folder: str) -> DataFrame:
     """All records: page, payload_bytes, payload_digest, record_type and refers_to (texts)."""
-    # The index is far smaller than the records; its parts are dealt evenly.
+    # The index is far smaller than the records, so its own size says nothing about the
+    # work: the number of tasks follows the bytes of the archives.
+    size = archives.agg(F.sum("size")).first()[0] or 0
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, -(-size // READ_BYTES))
     entries = archives.select("path", "size").mapInArrow(
         _entries(folder), "path string, offset long, sizes array<long>")
-    return entries.repartition("path", "offset").mapInArrow(
+    return entries.repartition(tasks, "path", "offset").mapInArrow(
         _read(folder), "page string, payload_bytes long, payload_digest string, "
         "record_type string, refers_to string")
 

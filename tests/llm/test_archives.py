@@ -9,6 +9,7 @@ import zipfile
 from hashlib import sha1
 
 import pytest
+from pyspark.sql import functions as F
 from llm_helpers import SF_DIR
 
 from authwatch.llm import warc_zip
@@ -75,6 +76,18 @@ def test_archives_are_zip_files(spark, zip64):
     assert warc_zip.read_archives(archives, folder).count() == 50
 
 
+def test_the_records_are_read_by_many_tasks(spark, monkeypatch):
+    folder = new_folder(spark, "archives")
+    rows = [(n, "u", f"<html>{n}</html>") for n in range(6000)]
+    archives = warc_zip.write_archives(spark.createDataFrame(rows, PAGE).coalesce(2), folder)
+    read = warc_zip.read_archives(archives, folder)
+    tasks = read.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    assert len(tasks) > 4 and sum(r["count"] for r in tasks) == 6000
+    monkeypatch.setattr(warc_zip, "READ_BYTES", 10_000)
+    size = archives.agg(F.sum("size")).first()[0]
+    assert warc_zip.read_archives(archives, folder).rdd.getNumPartitions() == -(-size // 10_000)
+
+
 def test_archives_of_others_are_read():
     """Stored members with and without extra fields and a comment at the end."""
     out = io.BytesIO()

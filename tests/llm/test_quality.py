@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import SF_DIR
 
@@ -155,6 +158,61 @@ def test_held_out_accuracy(scored):
     assert sum(r.predicted == r.quality for r in asked) >= 0.9 * len(asked)
 
 
+def test_ranking_of_held_out_rows(scored):
+    """A guess of the majority ranks nothing: it has 0.5 here, whatever its accuracy."""
+    asked = [r for r in scored if r.held_out and r.quality is not None]
+    good, bad = ([r.score for r in asked if r.quality == q] for q in (1, 0))
+    assert good and bad
+    wins = sum((g > b) + (g == b) / 2 for g in good for b in bad)
+    assert wins / (len(good) * len(bad)) >= 0.9
+
+
+def plain_ftrl(vectors, labels, passes):
+    """The published per-coordinate update, one number at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality_classifier.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * quality_classifier.L1) / (
+            (quality_classifier.BETA + math.sqrt(n[i])) / quality_classifier.ALPHA
+            + quality_classifier.L2)
+
+    for turn in range(passes):
+        for number in np.random.default_rng(turn).permutation(len(vectors)):
+            row = list(zip(*(x.tolist() for x in vectors[number]), strict=True))
+            own = {i: weight(i) for i, _ in row}
+            p = 1 / (1 + math.exp(-sum(own[i] * x for i, x in row)))
+            for i, x in row:
+                g = (p - labels[number]) * x
+                before = n.get(i, 0.0)
+                sigma = (math.sqrt(before + g * g) - math.sqrt(before)) / quality_classifier.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * own[i]
+                n[i] = before + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_weights_equal_the_plain_update():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["good", "fine", "##", "junk", "a", "b", "c"], 12)) for _ in range(40)]
+    labels = [int("good" in t and "##" not in t) for t in texts]
+    buckets, bounds = quality_classifier.hashed_ngrams(pa.array(texts))
+    vectors = [quality_classifier.sparse_vector(buckets[a:b])
+               for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    got = quality_classifier.train_shard(vectors, labels)
+    want = plain_ftrl(vectors, labels, quality_classifier.PASSES)
+    assert np.count_nonzero(got) == sum(w != 0 for w in want.values()) > 10
+    assert all(got[i] == pytest.approx(w, rel=1e-9, abs=1e-12) for i, w in want.items())
+
+
+def test_long_texts_score(spark, frame):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = [(1, "good words " * 60_000), (2, "x" * 300_000), (3, "## " * 9)]
+    got = quality_classifier.classify(frame(rows), labels).collect()
+    assert len(got) == 3 and all(0 <= r.score <= 1 for r in got)
+
+
 def test_scores_do_not_depend_on_labels_of_held_out_rows(spark, frame):
     rows = [(n, f"good fine text {n % 7}" if n % 2 else f"## $$ junk {n % 5}") for n in range(200)]
     labels = [(n, n % 2, 0) for n in range(200)]
