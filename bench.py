@@ -61,7 +61,7 @@ def main() -> None:
 
     # The published path: text files named as logs are, stored messages out.
     files_dir = shared_dir(spark, "files")
-    sp.split_by_date(lines, corpus.YEAR, files_dir)
+    sp.split_by_date(lines, corpus.YEAR, files_dir, order=("event_id",))
 
     def file_messages():
         return ingest.file_messages(spark, f"{files_dir}/file_name=ssh-*.log", corpus.HOST)
