@@ -9,7 +9,8 @@ rare to weigh on a partition and go through one ordinary shuffle of digests.
 
 The text is read once; ids and digests are kept as a table. A null text counts
 as empty. Null ids count as the largest. Rows that share both id and text are
-one document and get the same verdict. Other columns are ignored.
+one document and get the same verdict. Texts of any length are taken whole, and an
+empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

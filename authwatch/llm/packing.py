@@ -10,7 +10,8 @@ group with the fewest tokens, so that groups weigh the same.
 
 Each partition packs its own documents in one pass with a bounded buffer; there
 is no shuffle. A null text is empty and packs its end id alone. Repeated rows
-are packed again, null ids stay null, and other columns are ignored.
+are packed again, null ids stay null, and other columns are ignored. Texts of any
+length are taken whole; an empty table gives no pieces.
 """
 
 from __future__ import annotations

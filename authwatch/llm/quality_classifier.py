@@ -10,7 +10,8 @@ hash of their id; each shard trains alone, and the weights are averaged (at most
 At most ``SAMPLE`` labelled rows train, those with the least hash of their id;
 all rows are scored. A null text counts as empty and gets the score of the
 bias. Rows without a label, or with a null one, do not train; a row that is
-repeated trains again, and gets a score each time. Other columns are ignored.
+repeated trains again, and gets a score each time. Texts of any length are taken
+whole, and an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

@@ -3,16 +3,18 @@
 Nodes are runs of ``width - 1`` words and every window of ``width`` words is an
 edge. A block of ``repeats`` is a path without branches inside one document, so
 edges never travel one by one. Repeated paths that follow each other, in the
-document and in its source, compact into maximal paths, and the source
-coordinates verify that such a path is one contiguous span of the source. Paths
-meet their sources and their neighbours by key in windows of one shuffle each;
-joins of paths with themselves moved more than the input four times over. Edges
-of blocks that only share an anchor are looked up word by word.
+document and in its source, compact into maximal paths by their source
+coordinates. Equal paths are known by their anchor and a 64-bit digest; their words
+are not compared with those of the source. Paths meet their sources and their
+neighbours by key in windows of one shuffle each; joins of paths with themselves
+moved more than the input four times over. Edges of blocks that only share an anchor
+are looked up word by word.
 
 A null text has no words; null ids count as the smallest. Documents shorter
 than ``width`` words keep all. Rows with equal ids are versions of one
 document: spans found in one are removed from all, and none of them repeats
-another. Other columns are ignored.
+another. Texts of any length are taken whole, and an empty table gives no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations

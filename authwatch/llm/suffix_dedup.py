@@ -11,7 +11,8 @@ byte, and a hash collision makes the batch sort again by its bytes.
 Columns may be null: a null text is empty, and null ids count as the smallest.
 Texts shorter than ``width`` keep all bytes. Rows with equal ids are versions
 of one document: a range found in one is removed from all, and a row that is
-repeated whole is no repetition of itself. Other columns are ignored.
+repeated whole is no repetition of itself. Texts of any length are taken whole, and
+an empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

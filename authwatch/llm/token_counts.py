@@ -6,7 +6,8 @@ of the merge list is left. The count is the number of initial symbols minus the
 number of merges; no identifiers are emitted. A special string counts as one.
 
 A null text counts as empty, with zero bytes and tokens. One output row per
-input row, repeated rows included; no shuffle, and other columns are ignored.
+input row, repeated rows included; no shuffle, and other columns are ignored. Texts
+of any length are taken whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

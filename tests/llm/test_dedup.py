@@ -142,3 +142,19 @@ def test_exact_dedup(spark, frame, frequent):
     assert got == exact_brute(rows)
     docs, rows = documents(spark)
     assert by_id(exact_dedup.mark_copies(docs, frequent=3)) == exact_brute(rows)
+
+
+def long_rows():
+    """Very long texts that share stretches, one of them alone in being long."""
+    words = [f"w{n * 7919 % 60_013}" for n in range(40_000)]
+    whole = " ".join(words)
+    return [(1, "short text"), (2, whole), (3, " ".join(words[10_000:20_000]) + " own end"),
+            (4, whole + " tail"), (5, "é" * 120_000), (6, " ".join(words[5:25])), (7, whole)]
+
+
+def test_very_long_texts(frame):
+    rows = long_rows()
+    assert by_id(substring_dedup.remove_repeated(frame(rows))) == substring_brute(rows, 13)
+    assert by_id(exact_dedup.mark_copies(frame(rows))) == exact_brute(rows)
+    few = [r for r in rows if r[0] != 5]
+    assert by_id(suffix_dedup.remove_earlier(frame(few))) == suffix_brute(few, 100)
