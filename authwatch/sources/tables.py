@@ -235,7 +235,11 @@ def upsert_days(spark: SparkSession, path: str, incoming: DataFrame, days=None,
     merged = _newest_dealt(_cut_by_bytes(both, sizes + _day_sizes(hit), target_bytes),
                            F.desc("ingest_time"), F.desc("_delivery"))
     folder = f"{snapshots.FOLDER}={uuid.uuid4().hex}"
-    _write_days(merged, f"{path}/{folder}")
+    try:
+        _write_days(merged, f"{path}/{folder}")
+    except BaseException:
+        files.remove(spark, [f"{path}/{folder}"])
+        raise
     found = {name: int(n) for name, n in rejects.get.items()}
     if reject_limit is not None and sum(found.values()) - found["total_rows"] > (
             reject_limit * found["total_rows"]):

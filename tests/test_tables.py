@@ -130,6 +130,7 @@ def test_a_failed_merge_leaves_the_day_readable(spark, frame, tmp_path):
         "message", F.raise_error(F.lit("half way")))
     with pytest.raises(Exception, match="half way"):
         tables.upsert_days(spark, path, broken, ["2024-01-01"])
+    assert len([x for x in (tmp_path / "events").iterdir() if "commit=" in x.name]) == 1
     assert content(tables.read_events(spark, path)) == [("a", "h")]
 
 
