@@ -14,6 +14,11 @@ each block is joined alone, and classes outside the leading component are then
 looked up in all blocks, a chunk of them at a time, so no link is lost and a task
 holds one block and one chunk.
 
+``link_counts`` also counts every link. Links lie within components, so the linked
+classes meet once more by component, in blocks of like sizes, and each set is
+counted in a trie without skipping: a subtree whose sets all are similar to it is
+counted as a whole, on either side. No pair is written.
+
 A null or wordless text has an empty set and is linked with nothing. Null ids
 count as the largest. Repeated rows are copies of one another. Texts of any length
 are taken whole, and an empty table gives no rows. Other columns are ignored. Shingles and classes are known by 64-bit hashes.
@@ -278,12 +283,15 @@ class Labels:
 class Node:
     """A run of shingles that all sets below it share."""
 
-    __slots__ = ("run", "children", "items", "low", "high", "owner", "mixed")
+    __slots__ = ("run", "children", "items", "low", "high", "owner", "mixed",
+                 "weight", "here", "below")
 
     def __init__(self, run: tuple[int, ...], item: int, size: int):
         self.run, self.children, self.items = run, {}, []
         self.low = self.high = size
         self.owner, self.mixed = item, False
+        # Weight of the sets below; what was counted for those that end here, and for all.
+        self.weight = self.here = self.below = 0
 
 
 class Trie:
@@ -352,6 +360,51 @@ class Trie:
             stack += [(child, depth, shared) for first, child in node.children.items()
                       if first in own]
 
+    def nodes(self) -> Iterator[Node]:
+        """All nodes, upper ones first."""
+        stack = [self.root] if self.root else []
+        while stack:
+            yield (node := stack.pop())
+            stack += node.children.values()
+
+    def weigh(self, weights: list[int]) -> None:
+        for node in reversed([*self.nodes()]):
+            node.weight = sum(weights[item] for item in node.items) + sum(
+                child.weight for child in node.children.values())
+
+    def count(self, item: int, weights: list[int]) -> int:
+        """Weight of the sets that are similar to ``item``, whose weight is noted at them."""
+        ranks, weight, total = self.sets[item], weights[item], 0
+        own, size = set(ranks), len(ranks)
+        stack = [(self.root, 0, 0)]
+        while stack:
+            node, depth, shared = stack.pop()
+            if node.run:
+                depth += len(node.run)
+                shared += len(own.intersection(node.run))
+                passed = bisect_right(ranks, node.run[-1])
+                if (4 * node.high < 3 * size + 7 * (depth - shared)
+                        or 4 * size < 3 * node.low + 7 * (passed - shared)):
+                    continue
+            if 7 * shared >= 3 * (size + node.high):
+                # Enough is shared already, whatever follows.
+                node.below += weight
+                total += node.weight
+                continue
+            if node.items and 7 * shared >= 3 * (size + depth):
+                node.here += weight
+                total += sum(weights[other] for other in node.items)
+            stack += [(child, depth, shared) for child in node.children.values()]
+        return total
+
+    def counted(self) -> Iterator[tuple[int, int]]:
+        """What was noted at each set; to be read once."""
+        for node in self.nodes():
+            for child in node.children.values():
+                child.below += node.below
+            for item in node.items:
+                yield item, node.here + node.below
+
 
 def ranked(sets: list[np.ndarray]) -> list[tuple[int, ...]]:
     """Sets by rank in one order: shingles of many sets first, so that beginnings are shared."""
@@ -385,6 +438,25 @@ def join_sets(sets: list[np.ndarray], labels: list[int] | None = None,
         yield from trie.link(item)
 
 
+def count_sets(sets: list[np.ndarray], weights: list[int], probes: int | None) -> list[int]:
+    """For each item the weight of its similar items: of all and itself, or, with
+    ``probes``, of the last ``probes`` items for the others and the other way round."""
+    stored = len(sets) - (probes or 0)
+    totals = [0] * len(sets)
+    if not stored or probes == 0:
+        return totals
+    trie = Trie(ranked(sets), Labels(len(sets)))
+    for item in range(stored):
+        trie.add(item)
+    trie.weigh(weights)
+    for item in range(stored) if probes is None else range(stored, len(sets)):
+        totals[item] = trie.count(item, weights)
+    if probes is not None:
+        for item, total in trie.counted():
+            totals[item] = total
+    return totals
+
+
 def as_stars(pairs: Iterable[tuple[int, int]]) -> dict[int, int]:
     """Pairs as item -> least item of its component, which is left out itself."""
     root: dict[int, int] = {}
@@ -431,6 +503,34 @@ def _in_groups(rows: DataFrame) -> DataFrame:
             .mapInArrow(_join_groups, "a long, b long"))
 
 
+#: The two blocks that meet in a task; equal for a block with itself.
+MEETING = ("root", "band", "part", "other_band", "other_part")
+
+
+def _count_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weight linked with each class in each meeting of two blocks, from rows in that order,
+    probes last."""
+    def rows():
+        for batch in batches:
+            yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+    def table():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(signs, pa.int64()), pa.array(totals, pa.int64())], ["sign", "links"])
+
+    signs, totals = [], []
+    for key, members in groupby(rows(), key=lambda row: row[:len(MEETING)]):
+        probe, own, weights, sets = zip(*(row[len(MEETING):] for row in members), strict=True)
+        signs += own
+        totals += count_sets([np.frombuffer(x, np.uint64) for x in sets], list(weights),
+                             None if key[1:3] == key[3:5] else sum(probe))
+        if len(signs) >= BLOCK:
+            yield table()
+            signs, totals = [], []
+    if signs:
+        yield table()
+
+
 # -- the operator ------------------------------------------------------------
 
 def _filter_words(signs: DataFrame) -> np.ndarray:
@@ -464,8 +564,9 @@ def _sets_of(texts: DataFrame, members: DataFrame) -> DataFrame:
     return sets.join(members, "sign").dropDuplicates(["sign"])
 
 
-def class_links(texts: DataFrame) -> DataFrame:
-    """(sign, root) for every class that is similar to another one, roots left out."""
+def class_links(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, root) for every class that is similar to another one, roots left out, and
+    the sets of all classes that may be: (sign, shingles, ...)."""
     groups = components(candidate_pairs(texts), "a", "b")
     members = groups.select(F.col("node").alias("sign"), F.col("root").alias("group")).unionByName(
         groups.select(F.col("root").alias("sign"), F.col("root").alias("group"))).distinct()
@@ -477,7 +578,7 @@ def class_links(texts: DataFrame) -> DataFrame:
     links = components(_in_groups(rows), "a", "b")
     large = rows.filter("blocks > 1").drop("label")
     if large.isEmpty():
-        return links
+        return links, rows
 
     def look_up(links: DataFrame, chosen: str) -> DataFrame:
         """Links after looking up one class per component, or all outside the leading one."""
@@ -501,14 +602,71 @@ def class_links(texts: DataFrame) -> DataFrame:
         return components(new.unionByName(links.select(
             F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b")
 
-    return look_up(look_up(links, "roots"), "others")
+    return look_up(look_up(links, "roots"), "others"), rows
+
+
+#: Sets of similarity 0.75 are at most 4 / 3 as large as each other: in logarithms of a
+#: little more, their bands are equal or neighbours.
+BAND = 1.34
+
+
+def class_counts(classes: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sign, links): the weight of the classes that each linked class is similar to, and
+    its own. ``classes`` has (sign, n, weight), ``links`` (node, root)."""
+    members = links.select(F.col("node").alias("sign"), "root").unionByName(
+        links.select(F.col("root").alias("sign"), "root").distinct())
+    placed = members.join(classes, "sign").withColumn(
+        "band", F.floor(F.log("n") / F.log(F.lit(BAND))))
+    sizes = placed.groupBy("root", "band").agg(F.count("*").alias("held"))
+    large = sizes.groupBy("root").agg(F.sum("held").alias("all")).filter(F.col("all") > BLOCK)
+    # Blocks of a band, for the band itself and its neighbours; components of one block have none.
+    parts = (sizes.join(large, "root").withColumn("parts", F.ceil(F.col("held") / BLOCK))
+             .select("root", F.explode(F.array(*(
+                 F.struct((F.col("band") + step).alias("band"), F.lit(-step).alias("step"),
+                          "parts") for step in (-1, 0, 1)))).alias("near")))
+    parts = parts.groupBy("root", "near.band").agg(*(
+        F.coalesce(F.max(F.when(F.col("near.step") == step, F.col("near.parts"))),
+                   F.lit(0).cast("long")).alias(name)
+        for step, name in ((-1, "lower"), (0, "parts"), (1, "upper"))))
+    zero = F.lit(0).cast("long")
+    rows = placed.join(parts, ["root", "band"], "left").withColumns({
+        "band": F.when(F.col("parts").isNull(), zero).otherwise(F.col("band")),
+        "part": F.when(F.col("parts").isNull(), zero).otherwise(
+            F.pmod(F.xxhash64("sign"), F.col("parts")))})
+
+    def meetings(probe: int, step: int, first, last):
+        """Blocks from ``first`` to before ``last`` of the band ``step`` away; the lower
+        block of two is held, the upper one probes it."""
+        def meeting(other):
+            own, near = (F.col("band"), F.col("part")), (F.col("band") + step, other)
+            (band, part), (other_band, other_part) = (near, own) if probe else (own, near)
+            return F.struct(band.alias("band"), part.alias("part"),
+                            other_band.alias("other_band"), other_part.alias("other_part"),
+                            F.lit(probe).alias("probe"))
+        return F.when(last > first, F.transform(F.sequence(first, last - 1), meeting)).otherwise(
+            F.transform(F.array().cast("array<bigint>"), meeting))
+
+    parts_of = {name: F.coalesce(F.col(name), zero) for name in ("lower", "upper")}
+    own = F.col("part")
+    met = F.explode(F.concat(
+        meetings(0, 0, own, F.coalesce(F.col("parts"), F.lit(1).cast("long"))),
+        meetings(0, 1, zero, parts_of["upper"]), meetings(1, 0, zero, own),
+        meetings(1, -1, zero, parts_of["lower"])))
+    dealt = (rows.join(sets.select("sign", "shingles"), "sign")
+             .select("root", "sign", "weight", "shingles", met.alias("met"))
+             .select("root", "met.band", "met.part", "met.other_band", "met.other_part",
+                     "met.probe", "sign", "weight", "shingles"))
+    return (dealt.repartition(*MEETING).sortWithinPartitions(*MEETING, "probe", "sign")
+            .mapInArrow(_count_groups, "sign long, links long")
+            .groupBy("sign").agg(F.sum("links").alias("links")))
+
+
+def _profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return keep_table(map_batches(
+        docs.select(id_col, text_col), _profile, f"doc {type_of(docs, id_col)}, n long, sign long"))
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: id, n_shingles, component_id and the class it belongs to."""
-    profile = keep_table(map_batches(
-        docs.select(id_col, text_col), _profile, f"doc {type_of(docs, id_col)}, n long, sign long"))
-    links = class_links(docs.select(text_col))
+def _with_components(profile: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
     rooted = profile.join(links.withColumnRenamed("node", "sign"), "sign", "left").withColumn(
         "root", F.coalesce("root", "sign"))
     least = (rooted.filter("n > 0").groupBy("root").agg(F.min("doc").alias("least")))
@@ -516,3 +674,29 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("doc").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"),
         F.col("sign").alias("class_id"))
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row: id, n_shingles, component_id and the class it belongs to."""
+    profile = _profiles(docs, id_col, text_col)
+    return _with_components(profile, class_links(docs.select(text_col))[0], id_col)
+
+
+def link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row: id, n_shingles, component_id, class_id (the least id with an equal
+    set; its own without words) and n_links, the number of other rows that it links with."""
+    profile = _profiles(docs, id_col, text_col)
+    links, sets = class_links(docs.select(text_col))
+    links = keep_table(links)
+    classes = profile.filter("n > 0").groupBy("sign").agg(
+        F.first("n").alias("n"), F.count("*").alias("weight"), F.min("doc").alias("copy_of"))
+    classes = keep_table(classes)
+    counts = class_counts(classes.drop("copy_of"), links, sets)
+    known = classes.join(counts, "sign", "left").select(
+        F.col("sign").alias("class_id"), "copy_of",
+        (F.coalesce("links", "weight") - 1).alias("others"))
+    empty = F.col("n_shingles") == 0
+    return _with_components(profile, links, id_col).join(known, "class_id", "left").select(
+        id_col, "n_shingles", "component_id",
+        F.when(empty, F.col(id_col)).otherwise(F.col("copy_of")).alias("class_id"),
+        F.when(empty, 0).otherwise(F.col("others")).cast("long").alias("n_links"))

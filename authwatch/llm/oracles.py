@@ -49,16 +49,20 @@ pairs AS (
   SELECT l.doc_id AS a, r.doc_id AS b, count(*) AS common
   FROM shingles l JOIN shingles r ON l.gram = r.gram AND l.doc_id < r.doc_id GROUP BY ALL),
 links AS (
-  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  SELECT a, b, x.n = common AND y.n = common AS equal
+  FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
   WHERE 100 * common >= 75 * (x.n + y.n - common)),
-edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+edges AS (SELECT a, b, equal FROM links UNION ALL SELECT b, a, equal FROM links),
 reached AS (
   SELECT doc_id, doc_id AS other FROM sizes
-  UNION SELECT reached.doc_id, edges.b FROM reached JOIN edges ON edges.a = reached.other)
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles,
-       coalesce(min(other), doc_id) AS component_id
-FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN reached USING (doc_id)
-GROUP BY doc_id"""
+  UNION SELECT reached.doc_id, edges.b FROM reached JOIN edges ON edges.a = reached.other),
+least AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id),
+near AS (
+  SELECT a AS doc_id, count(*) AS n_links, min(b) FILTER (equal) AS copy FROM edges GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(other, doc_id) AS component_id,
+       least(doc_id, coalesce(copy, doc_id)) AS class_id, coalesce(n_links, 0) AS n_links
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+LEFT JOIN near USING (doc_id)"""
 
 # Five bits of the hexadecimal digest at a time, as letters.
 BASE32 = f"""array_to_string(list_transform(range(32), lambda i: substr(

@@ -75,7 +75,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_trie.link_documents(documents(spark, sf_dir)).drop("class_id")
+    return jaccard_trie.link_counts(documents(spark, sf_dir))
 
 
 def op10_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ def roots(pairs, items):
     return {x: find(x) for x in items}
 
 
-def brute(rows):
+def brute_pairs(rows):
     sets = {key: shingles(text) for key, text in rows}
     holders = defaultdict(list)
     for key, own in sets.items():
@@ -49,14 +49,34 @@ def brute(rows):
         common = Counter(other for s in own for other in holders[s] if other < key)
         pairs += [(key, other) for other, n in common.items()
                   if 100 * n >= 75 * (len(own) + len(sets[other]) - n)]
+    return sets, pairs
+
+
+def brute(rows):
+    sets, pairs = brute_pairs(rows)
     found = roots(pairs, sets)
     return {key: (len(own), found[key]) for key, own in sets.items()}
 
 
+def brute_counts(rows):
+    sets, pairs = brute_pairs(rows)
+    found, links = roots(pairs, sets), Counter(key for pair in pairs for key in pair)
+    copies = defaultdict(list)
+    for key, own in sets.items():
+        copies[frozenset(own) or key].append(key)
+    return {key: (len(own), found[key], min(copies[frozenset(own) or key]), links[key])
+            for key, own in sets.items()}
+
+
 def linked(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in jt.link_documents(df).collect()}
 
 
+def counted(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.class_id, r.n_links)
+            for r in jt.link_counts(df).collect()}
+
+
 def near_copies(seed, count, bases):
     rng = random.Random(seed)
     base = [[f"{rng.choice('abcdefgh')}{rng.randint(0, 40)}"
@@ -73,7 +93,7 @@ def near_copies(seed, count, bases):
 
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    assert linked(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert counted(docs) == brute_counts([(r.doc_id, r.text) for r in docs.collect()])
 
 
 @pytest.mark.parametrize("frequent, block", [(64, 2048), (2, 9)])
@@ -84,6 +104,7 @@ def test_near_copies_in_blocks(frame, monkeypatch, frequent, block):
     rows += [(900, None), (901, ""), (902, " \n"), (903, "a b"), (904, "A B"), (905, "Ä b"),
              (906, "ä b")]
     assert linked(frame(rows)) == brute(rows)
+    assert counted(frame(rows)) == brute_counts(rows)
 
 
 def test_a_large_group_of_unlike_classes_stays_in_bounds(frame, monkeypatch):
@@ -123,6 +144,14 @@ def test_odd_rows(frame, odd_rows):
     assert len(rows) == len(odd_rows)
     assert {r.component_id for r in rows if r.doc_id in (4, 5)} == {4}
     assert jt.link_documents(frame([])).count() == 0
+    rows = jt.link_counts(frame(odd_rows)).collect()
+    assert len(rows) == len(odd_rows)
+    # Both rows of 4, rows 5 and 8, and the row without an id with the same line have one set.
+    assert [r.n_links for r in rows if r.doc_id in (4, 5, 8)] == [4, 4, 4, 4]
+    assert {r.class_id for r in rows if r.doc_id in (4, 5)} == {4}
+    assert {(r.class_id, r.n_links) for r in rows if r.doc_id in (1, 2, 3)} == {
+        (1, 0), (2, 0), (3, 0)}
+    assert jt.link_counts(frame([])).count() == 0
 
 
 def hash_sets(texts):
@@ -144,6 +173,18 @@ def test_trie_connects_what_is_similar(seed):
     assert roots(across + own, range(120)) == want
 
 
+@pytest.mark.parametrize("seed, probes", [(1, None), (2, 50), (3, 119), (4, 1)])
+def test_trie_counts_what_is_similar(seed, probes):
+    """Weights of similar sets, within one block and between two, whole subtrees included."""
+    sets = hash_sets(near_copies(seed, 120, 4))
+    weights = [n % 5 + 1 for n in range(120)]
+    cut = 120 - (probes or 0)
+    want = [sum(weights[b] for b in range(120) if (probes is None or (a < cut) != (b < cut))
+                and jaccard(sets[a], sets[b])) for a in range(120)]
+    assert jt.count_sets(sets, weights, probes) == want
+    assert jt.count_sets(sets, weights, 0) == jt.count_sets(sets, weights, 120) == [0] * 120
+
+
 def jaccard(a, b):
     common = len(np.intersect1d(a, b))
     return 100 * common >= 75 * (len(a) + len(b) - common)
