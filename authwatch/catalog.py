@@ -102,6 +102,17 @@ def q_stream_log_files(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query
+def q_finished_files(spark, sf_dir):
+    """Day files that a stream has finished, from its checkpoint; eight files a batch."""
+    files, done = log_files(spark, sf_dir), shared_dir(spark, "checkpoint")
+    stream = logs.stream_logs(spark, f"{files}/file_name=ssh-*.log", max_files=8)
+    (stream.writeStream.option("checkpointLocation", done).trigger(availableNow=True)
+     .start(shared_dir(spark, "sink"), format="parquet").awaitTermination())
+    return logs.finished_files(spark, done).select(
+        F.expr(f"substr(source_path, {len(files) + 2})").alias("source_path")).distinct()
+
+
 def _messages(lines_df: DataFrame) -> DataFrame:
     return bus.to_bus(corpus.log_events(lines_df))
 

@@ -29,6 +29,10 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--max-files", type=int, help="with --checkpoint: files per micro-batch")
     job.add_argument("--archive", help="with --checkpoint: move finished files to this folder")
 
+    job = jobs.add_parser("files", help="log files that an ingest with --checkpoint has finished")
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--out", help="write all of them as JSON here instead of printing 1,000")
+
     job = jobs.add_parser("live", help="bus -> events table and alerts, endless")
     job.add_argument("--root", required=True)
     job.add_argument("--servers", help="brokers; without them --replay is read")
@@ -131,6 +135,15 @@ def run_ingest(spark, args) -> None:
         bus.store_messages(messages, args.out, args.rows_per_file)
 
 
+def run_files(spark, args) -> None:
+    files = logs.finished_files(spark, args.checkpoint)
+    if args.out:
+        files.write.mode("overwrite").json(args.out)
+    else:
+        files.orderBy("file_path").show(1000, truncate=False)
+        print(f"{files.count()} files finished")
+
+
 def run_mail(spark, args) -> None:
     rows = daily.mail_rows(spark, args.metrics, args.date)
     if args.out:
@@ -162,6 +175,8 @@ def main(argv=None, spark=None) -> None:
     spark = spark or build_session(f"authwatch-{args.job}")
     if args.job == "ingest":
         run_ingest(spark, args)
+    elif args.job == "files":
+        run_files(spark, args)
     elif args.job == "live":
         run_live(spark, args)
     elif args.job == "settle":

@@ -155,6 +155,7 @@ ORACLES = {
     "read_log_files": sql("SELECT 'ssh-' || source_file || '.log' AS source_path, source_file, "
                           "message FROM logs"),
     "stream_log_files": sql("SELECT source_file, message FROM logs"),
+    "finished_files": sql("SELECT DISTINCT 'ssh-' || source_file || '.log' AS source_path FROM logs"),
     "read_event_bus": sql("SELECT row_hash, message FROM logs"),
     "write_event_bus": sql(f"SELECT {LOG_FIELDS} FROM logs"),
     "read_events_table": sql(f"SELECT event_date, {ENRICHED_FIELDS.removeprefix('ingest_time, ')} "

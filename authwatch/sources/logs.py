@@ -70,3 +70,27 @@ def stream_logs(spark: SparkSession, path: str, max_files: int | None = None,
     return reader.text(path).select(
         F.col("value").alias("message"),
         logical_path(F.col("_metadata.file_path")).alias("source_path"))
+
+
+def finished_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Files that a stream of log files has finished: ``file_path, source_path, modified``.
+
+    ``checkpoint`` is that of a stream whose only source is ``stream_logs``. Files of a
+    batch that was not committed are left out, since the next start reads them again.
+    """
+    def batches(kind: str) -> DataFrame:
+        return spark.read.text(f"{checkpoint}/{kind}").select(
+            "value", F.col("_metadata.file_name").try_cast("bigint").alias("batch"))
+
+    last = batches("commits").agg(F.max("batch").alias("batch"))
+    position = F.get_json_object("value", "$.logOffset").try_cast("bigint")
+    reached = batches("offsets").join(last, "batch").agg(F.max(position)).first()[0]
+    entry = F.from_json("value", "path string, timestamp bigint, batchId bigint")
+    # Records are joined to larger ones from time to time; a file may be in both.
+    return (spark.read.text(f"{checkpoint}/sources/0").select(entry.alias("file"))
+            .filter(F.col("file.batchId") <= F.lit(reached).cast("bigint"))
+            .select(F.regexp_replace(F.url_decode(F.replace(
+                F.col("file.path"), F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+                    .alias("file_path"),
+                    logical_path(F.col("file.path")).alias("source_path"),
+                    F.timestamp_millis("file.timestamp").alias("modified")).distinct())

@@ -91,6 +91,9 @@ def test_ingest_with_checkpoint_reads_each_file_once(spark, tmp_path):
         return spark.read.parquet(str(tmp_path / "bus")).count()
 
     assert [run("ssh-20240101.log"), run("ssh-20240102.log")] == [1, 2]
+    main(["files", "--checkpoint", str(tmp_path / "chk"), "--out", str(tmp_path / "files")], spark)
+    assert {r["file_path"] for r in spark.read.json(str(tmp_path / "files")).collect()} == {
+        str(tmp_path / "logs" / f"ssh-2024010{d}.log") for d in (1, 2)}
 
 
 def test_defaults_come_from_the_environment(monkeypatch):

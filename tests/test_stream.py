@@ -228,6 +228,37 @@ def test_log_files_stream_once_and_are_archived(spark, tmp_path):
     assert any((tmp_path / "archive").rglob("ssh-*.log"))
 
 
+def test_finished_files_are_those_of_committed_batches(spark, tmp_path):
+    folder, checkpoint = tmp_path / "logs", tmp_path / "chk"
+    folder.mkdir()
+
+    def run():
+        (logs.stream_logs(spark, str(folder), max_files=1).writeStream
+         .option("checkpointLocation", str(checkpoint)).trigger(availableNow=True)
+         .start(str(tmp_path / "out"), format="parquet").awaitTermination())
+
+    def finished():
+        return sorted(r["file_path"] for r in logs.finished_files(
+            spark, str(checkpoint)).collect())
+
+    run()
+    assert finished() == []
+    # More batches than records are kept apart, and names that are encoded in paths.
+    names = [f"ssh-202401{d:02d}.log" for d in range(1, 13)] + ["a b+c%20.log"]
+    for name in names[:12]:
+        (folder / name).write_text("line\n")
+    run()
+    assert finished() == sorted(str(folder / name) for name in names[:12])
+    (folder / names[12]).write_text("line\n")
+    run()
+    assert finished() == sorted(str(folder / name) for name in names)
+    # Read, but not committed.
+    commits = checkpoint / "commits"
+    newest = max((int(f.name) for f in commits.iterdir() if f.name.isdigit()))
+    (commits / str(newest)).unlink()
+    assert finished() == sorted(str(folder / name) for name in names[:12])
+
+
 def test_bus_options():
     options = bus.bus_options("a:1,b:2", max_per_trigger=10000,
                               **{"kafka.max.poll.records": "2000"})
