@@ -1,21 +1,27 @@
 """Windows that repeat across documents, found through minimiser blocks.
 
-Three exchanges, none of which carries more than one row per block:
+Exchanges, none of which carries more than one row per block but that of the texts:
 
 1. Each task cuts its documents into blocks (see ``rolling``) and keeps one
    row per distinct block and task: further copies within a task are known to
    repeat and travel as joined runs.
-2. By anchor: equal blocks are the same windows, so all but the first repeat.
-   Unequal blocks under one anchor may still share windows.
-3. Those few are compared window by window with their symbols at hand.
+2. By anchor: blocks with equal digests claim to be the same windows, so all but
+   the first claim to repeat. Unequal blocks under one anchor may still share windows.
+3. Claims that follow each other, in the document and in its source, compact
+   into maximal paths by their source coordinates.
+4. The texts meet what is asked of them: paths, the stretches that paths name as
+   their sources, and unequal blocks. Out come digests of both ends of each path
+   and the symbols of unequal blocks, which the operators compare window by window.
 
-Blocks are equal if their anchor hashes (64-bit polynomials) and digests
-(64 bits of BLAKE2b over the symbols) are.
+Blocks are matched by anchor hashes (64-bit polynomials) and 64-bit digests. Nothing
+is removed on their word: the text of a path is held against the text at its source
+by 128 bits of BLAKE2b, and copies within a task byte by byte where they name no
+source. If a claim proves false, all blocks are cut again under another salt.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -25,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from authwatch.llm.batches import map_batches, type_of
+from authwatch.llm.batches import encoded, map_batches, type_of, write_table
 from authwatch.llm.rolling import PrefixHash, find_blocks
 
 #: Symbols of one document that are cut into blocks at once.
@@ -34,6 +40,16 @@ SEGMENT = 1 << 24
 SPLIT_FROM = 4096
 #: Part of a window that an earlier one of the same task equals.
 KNOWN = -1
+#: Times that blocks are cut, each with another salt, until all claims prove true.
+ATTEMPTS = 3
+#: What a document is asked for: windows to compare, runs that are proven already,
+#: a path that claims to repeat, and the stretch that a path claims to be equal to.
+PIECE, PROVEN, CLAIM, SOURCE = range(4)
+
+
+def digest_of(piece: bytes, salt: int) -> bytes:
+    """The 64 bits by which blocks are matched."""
+    return blake2b(piece, digest_size=8, salt=salt.to_bytes(2)).digest()
 
 
 def part_of(piece: bytes) -> int:
@@ -59,11 +75,14 @@ def signed(value: int) -> int:
 class Cutting(NamedTuple):
     """How documents become symbols and windows."""
 
-    symbols: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]  # joined symbols, bounds
+    symbols: Callable[[pa.Array, int], tuple[np.ndarray, np.ndarray]]  # joined symbols, bounds
+    units: Callable[[bytes], Sequence]  # what the symbols stand for, one by one
+    piece: Callable[[Sequence], bytes]  # units as bytes
     width: int
     k: int
     same_document: bool  # does an earlier window of the same document count
     sources: bool  # runs keep to one source, so that source columns hold for all of a run
+    salt: int = 0
 
 
 def segments(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +98,7 @@ def segments(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np
 
 def _cut(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        symbols, bounds = cutting.symbols(batch.column(1))
+        symbols, bounds = cutting.symbols(batch.column(1), cutting.salt)
         stretch, begins, stops = segments(bounds, cutting.width)
         if len(stretch) == batch.num_rows:
             yield from cut(batch.column(0), symbols, bounds, np.zeros(len(bounds), np.int64))
@@ -96,9 +115,10 @@ def _cut(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
         raw, size = symbols.tobytes(), symbols.itemsize
         begin = blocks.start * size
         stop = (blocks.start + blocks.windows - 1 + cutting.width) * size
+        begin, stop = begin.tolist(), stop.tolist()
         digest = np.frombuffer(b"".join(
-            [blake2b(raw[a:b], digest_size=8).digest()
-             for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]), np.int64)
+            [digest_of(raw[a:b], cutting.salt) for a, b in zip(begin, stop, strict=True)]),
+            np.int64)
         # Equal blocks of this batch next to each other, in order of document and start.
         rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_numpy()
         order = np.lexsort((blocks.start, rank[blocks.document], digest, blocks.key))
@@ -110,6 +130,12 @@ def _cut(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
         if cutting.same_document:
             at = (blocks.start - bounds[blocks.document])[order]
             later |= at != at[leader]
+        if not cutting.sources:
+            # No source to be held against afterwards: the bytes are compared here.
+            claimed = np.flatnonzero(later)
+            later[claimed] = [
+                raw[begin[one]:stop[one]] == raw[begin[first]:stop[first]] for one, first in zip(
+                    order[claimed].tolist(), order[leader[claimed]].tolist(), strict=True)]
         repeat = np.zeros(count, bool)
         repeat[order[later]] = True
         source = np.arange(count)
@@ -138,10 +164,11 @@ def _cut(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch
 
 
 def find_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting) -> DataFrame:
-    """Blocks that repeat or may: doc, start, windows, repeat, key, rivals and where from.
+    """Blocks that repeat or may: doc, start, windows, known, repeat, key, rivals and where from.
 
     ``repeat``: every window of the block also starts earlier, namely from
-    ``source_start`` on in the document ``source``. Otherwise the
+    ``source_start`` on in the document ``source``, if equal digests mean equal
+    blocks; ``known`` if that was found within a task. Otherwise the
     ``rivals`` blocks with the same anchor (and ``key``) include unequal ones,
     so single windows may start earlier.
     """
@@ -168,13 +195,175 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting)
                 F.min("digest").over(whole) != F.max("digest").over(whole)))
             .withColumn("rivals", F.count("*").over(whole))
             .filter("repeat or mixed")
-            .select("doc", "start", "windows", "repeat", "key", "rivals",
+            .select("doc", "start", "windows", "known", "repeat", "key", "rivals",
                     F.when(F.col("known"), F.col("source")).otherwise(
                         F.col("first.doc")).alias("source"),
                     F.when(F.col("known"), F.col("source_start")).otherwise(
                         F.col("first.start")).alias("source_start")))
 
 
+def compact(paths: DataFrame) -> DataFrame:
+    """Maximal paths: doc, start, windows, source, source_start.
+
+    ``paths`` has the same columns. Along one diagonal (document, source, shift)
+    a path continues the one before if it starts where that one stops, so each
+    meets its neighbour in order of place: one shuffle by document.
+    """
+    along = Window.partitionBy("doc", "source", "shift").orderBy("start", "stop")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    return (paths.repartition("doc").select(
+                "doc", "source", "start", (F.col("start") + F.col("windows")).alias("stop"),
+                (F.col("start") - F.col("source_start")).alias("shift"))
+            .withColumn("reached", F.max("stop").over(before))
+            .withColumn("head", F.when(F.col("reached") >= F.col("start"), 0).otherwise(1))
+            .withColumn("path", F.sum("head").over(along))
+            .groupBy("doc", "source", "shift", "path")
+            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+            .select("doc", "start", (F.col("stop") - F.col("start")).cast("int").alias("windows"),
+                    "source", (F.col("start") - F.col("shift")).alias("source_start")))
+
+
 def by_document(ranges: DataFrame, *columns: str | Column) -> DataFrame:
     """One row per document with its ranges as an array."""
     return ranges.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("ranges"))
+
+
+def _questions(found: DataFrame, cutting: Cutting) -> DataFrame:
+    """Per document, what its text is asked for."""
+    def ask(kind: int, rows: DataFrame) -> DataFrame:
+        have = set(rows.columns)
+        types = {f.name: f.dataType for f in found.schema}
+        return rows.select(F.lit(kind).alias("kind"), *(
+            name if name in have else F.lit(None).cast(types[name]).alias(name)
+            for name in ("doc", "start", "windows", "key", "rivals", "source", "source_start")))
+
+    claims = found.filter(F.col("repeat") if cutting.sources else
+                          F.col("repeat") & ~F.col("known"))
+    # Blocks that do not hold what they claim are cut again and then asked one by one, since
+    # a path can also be spread over rows of one id.
+    paths = compact(claims) if cutting.salt == 0 else claims.select(
+        "doc", "start", "windows", "source", "source_start")
+    sources = paths.select(F.col("source").alias("doc"), F.col("source_start").alias("start"),
+                           "windows").distinct()
+    asked = ask(CLAIM, paths).unionByName(ask(SOURCE, sources)).unionByName(
+        ask(PIECE, found.filter(~F.col("repeat"))))
+    if not cutting.sources:
+        asked = asked.unionByName(ask(PROVEN, found.filter("known").select(
+            "doc", "start", "windows")))
+    return by_document(asked, "kind", "start", "windows", "key", "rivals", "source",
+                       "source_start")
+
+
+def _answers(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """Digests of paths and sources, and the units of mixed blocks: windows of large groups
+    one by one, copies within a batch known."""
+    width, units, piece_of = cutting.width, cutting.units, cutting.piece
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows, single = [], []
+        ids = batch.column(0)
+        names = ids.to_pylist()
+        for number, (text, spans) in enumerate(zip(
+                encoded(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
+            held = units(text)
+            count_here, own = len(held) - width + 1, names[number]
+            for span in spans:
+                kind, start, count = span["kind"], span["start"], span["windows"]
+                if kind == PROVEN:
+                    rows.append((kind, None, None, own, start, count, None, None, None))
+                elif kind == PIECE:
+                    count, key = min(count, count_here - start), span["key"]
+                    if count < 1:
+                        continue
+                    if span["rivals"] < SPLIT_FROM:
+                        rows.append((kind, key, 0, own, start, count,
+                                     piece_of(held[start:start + count - 1 + width]), None, None))
+                    else:
+                        single += [(key, piece_of(held[at:at + width]), number, at)
+                                   for at in range(start, start + count)]
+                elif start + count <= count_here:  # else another row of this id has it
+                    mark = blake2b(piece_of(held[start:start + count - 1 + width]),
+                                   digest_size=16).digest()
+                    rows.append(
+                        (kind, None, None, own, start, count, mark, span["source"],
+                         span["source_start"]) if kind == CLAIM else
+                        (kind, None, None, None, None, count, mark, own, start))
+        if single:
+            rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_pylist()
+            first: dict[tuple[int, bytes], tuple[int, int]] = {}
+
+            def place(number: int, at: int) -> tuple[int, int]:
+                return rank[number], at if cutting.same_document else 0
+            for key, piece, number, at in single:
+                first[key, piece] = min(place(number, at),
+                                        first.get((key, piece), place(number, at)))
+            known = []
+            for key, piece, number, at in single:
+                if place(number, at) == first[key, piece]:
+                    rows.append((PIECE, key, part_of(piece), names[number], at, 1, piece, None,
+                                 None))
+                else:
+                    known.append((key, number, at))
+            rows += [(PIECE, signed(key), KNOWN, names[number], at, count, b"", None, None)
+                     for key, number, at, count in known_runs(known)]
+        if rows:
+            types = (pa.int32(), pa.int64(), pa.int64(), ids.type, pa.int64(), pa.int32(),
+                     pa.binary(), ids.type, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(
+                    zip(*rows, strict=True), types, strict=True)],
+                ["kind", "key", "part", "doc", "start", "windows", "piece", "source",
+                 "source_start"])
+    return run
+
+
+def claims_hold(answers: DataFrame) -> bool:
+    """Whether each path has the text of the stretch that it names as its source.
+
+    Ends are counted by stretch and digest, so that copies combine before the shuffle.
+    Only where an end differs are single paths looked at: rows that share an id are one
+    document, and one of them has to hold the path, and one its source.
+    """
+    stretch = ["source", "source_start", "windows"]
+    ends = (answers.filter(F.col("kind").isin(CLAIM, SOURCE)).groupBy(*stretch, "piece")
+            .agg(F.max(F.col("kind") == CLAIM).alias("claimed"),
+                 F.max(F.col("kind") == SOURCE).alias("held")))
+    if ends.filter("claimed and not held").isEmpty():
+        return True
+    right = ends.select(*(F.col(name).alias(f"its_{name}") for name in [*stretch, "piece"]),
+                        "held")
+    same = F.lit(True)
+    for name in [*stretch, "piece"]:
+        same &= F.col(name).eqNullSafe(F.col(f"its_{name}"))
+    return (answers.filter(F.col("kind") == CLAIM).join(right, same)
+            .groupBy("doc", "start", *stretch).agg(F.max("held").alias("held"))
+            .filter(~F.col("held")).isEmpty())
+
+
+def proven_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting) -> DataFrame:
+    """What texts answer, kept in the shared folder; see ``PIECE`` and what follows it.
+
+    ``CLAIM`` rows are compacted paths (doc, start, windows, source, source_start) whose
+    text was held against that of their source, ``PROVEN`` rows are runs (doc, start,
+    windows). ``PIECE`` rows (key, part, doc, start, windows, piece) are still to be compared.
+    """
+    kind = type_of(docs, id_col)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    for salt in range(ATTEMPTS):
+        salted = cutting._replace(salt=salt)
+        asked = _questions(find_repeats(docs, id_col, text_col, salted), salted)
+        answers = write_table(map_batches(
+            texts.join(asked, F.col("id").eqNullSafe(F.col("doc"))).select("id", "text", "ranges"),
+            _answers(salted),
+            f"kind int, key long, part long, doc {kind}, start long, windows int, piece binary, "
+            f"source {kind}, source_start long"), "repeats")
+        if claims_hold(answers):
+            return answers
+    raise ValueError(f"digests of unequal blocks are equal under {ATTEMPTS} salts")
+
+
+def windows_of(answers: DataFrame) -> DataFrame:
+    """Windows to compare, each (key, part) whole and in order of document and place."""
+    return (answers.filter(F.col("kind") == PIECE)
+            .select("key", "part", "doc", "start", "windows", "piece")
+            .repartition("key", "part").sortWithinPartitions("key", "part", "doc", "start"))

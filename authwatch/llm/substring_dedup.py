@@ -4,8 +4,8 @@ Nodes are runs of ``width - 1`` words and every window of ``width`` words is an
 edge. A block of ``repeats`` is a path without branches inside one document, so
 edges never travel one by one. Repeated paths that follow each other, in the
 document and in its source, compact into maximal paths by their source
-coordinates. Equal paths are known by their anchor and a 64-bit digest; their words
-are not compared with those of the source. Paths meet their sources and their
+coordinates, and the words of each are held against those at its source: both ends give
+128 bits of BLAKE2b over their words. Paths meet their sources and their
 neighbours by key in windows of one shuffle each; joins of paths with themselves
 moved more than the input four times over. Edges of blocks that only share an anchor
 are looked up word by word.
@@ -23,78 +23,15 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from authwatch.llm.batches import encoded, map_batches, type_of
 from authwatch.llm.repeats import (
-    KNOWN, SPLIT_FROM, Cutting, by_document, find_repeats, known_runs, part_of, signed)
+    CLAIM, KNOWN, Cutting, by_document, proven_repeats, windows_of)
 from authwatch.llm.suffix_dedup import merge_ranges
 from authwatch.llm.words import word_symbols
 
-def compact(paths: DataFrame) -> DataFrame:
-    """Maximal paths: doc, start, windows, source, source_start.
-
-    ``paths`` has the same columns. Along one diagonal (document, source, shift)
-    a path continues the one before if it starts where that one stops, so each
-    meets its neighbour in order of place: one shuffle by document.
-    """
-    along = Window.partitionBy("doc", "source", "shift").orderBy("start", "stop")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    return (paths.repartition("doc").select(
-                "doc", "source", "start", (F.col("start") + F.col("windows")).alias("stop"),
-                (F.col("start") - F.col("source_start")).alias("shift"))
-            .withColumn("reached", F.max("stop").over(before))
-            .withColumn("head", F.when(F.col("reached") >= F.col("start"), 0).otherwise(1))
-            .withColumn("path", F.sum("head").over(along))
-            .groupBy("doc", "source", "shift", "path")
-            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-            .select("doc", "start", (F.col("stop") - F.col("start")).cast("int").alias("windows"),
-                    "source", (F.col("start") - F.col("shift")).alias("source_start")))
-
-
-def _edges(width: int):
-    """Words of mixed blocks; edges of large groups one by one, copies within a batch known."""
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows, single = [], []
-        for number, (text, spans) in enumerate(zip(
-                encoded(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
-            words = text.split()
-            for span in spans:
-                start, key = span["start"], span["key"]
-                count = min(span["windows"], len(words) - width + 1 - start)
-                if count < 1:
-                    continue
-                if span["rivals"] < SPLIT_FROM:
-                    piece = b" ".join(words[start:start + count - 1 + width])
-                    rows.append((key, 0, number, start, count, piece))
-                else:
-                    single += [(key, b" ".join(words[at:at + width]), number, at)
-                               for at in range(start, start + count)]
-        ids = batch.column(0)
-        rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_pylist()
-        first: dict[tuple[int, bytes], int] = {}
-        for key, piece, number, _ in single:
-            first[key, piece] = min(rank[number], first.get((key, piece), rank[number]))
-        known = []
-        for key, piece, number, at in single:
-            if rank[number] == first[key, piece]:
-                rows.append((key, part_of(piece), number, at, 1, piece))
-            else:
-                known.append((key, number, at))
-        rows += [(key, KNOWN, number, at, count, b"")
-                 for key, number, at, count in known_runs(known)]
-        if rows:
-            key, part, owner, start, windows, piece = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([signed(x) for x in key], pa.int64()), pa.array(part, pa.int64()),
-                 ids.take(pa.array(owner)), pa.array(start, pa.int64()),
-                 pa.array(windows, pa.int32()), pa.array(piece, pa.binary())],
-                ["key", "part", "doc", "start", "windows", "piece"])
-    return run
-
 
 def _seen_edges(width: int):
     """Edges of each (key, part), in order of document, that an earlier document has."""
@@ -132,20 +69,12 @@ def _seen_edges(width: int):
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = 13, k: int = 4) -> tuple[DataFrame, DataFrame]:
     """Compacted paths with their sources, and the single edges beside them."""
-    kind = type_of(docs, id_col)
-    found = find_repeats(docs, id_col, text_col, Cutting(word_symbols, width, k, False, True))
-    paths = compact(found.filter("repeat"))
-    # With the sources, so that both branches read one shuffle of blocks.
-    mixed = by_document(found.filter(~F.col("repeat")), "start", "windows", "key", "rivals",
-                        "source", "source_start")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    pieces = map_batches(
-        texts.join(mixed, F.col("id").eqNullSafe(F.col("doc"))).select("id", "text", "ranges"),
-        _edges(width),
-        f"key long, part long, doc {kind}, start long, windows int, piece binary")
-    edges = (pieces.repartition("key", "part")
-             .sortWithinPartitions("key", "part", "doc", "start")
-             .mapInArrow(_seen_edges(width), f"doc {kind}, start long, windows int"))
+    answers = proven_repeats(docs, id_col, text_col, Cutting(
+        word_symbols, bytes.split, b" ".join, width, k, same_document=False, sources=True))
+    paths = answers.filter(F.col("kind") == CLAIM).select(
+        "doc", "start", "windows", "source", "source_start")
+    edges = windows_of(answers).mapInArrow(
+        _seen_edges(width), f"doc {type_of(docs, id_col)}, start long, windows int")
     return paths, edges
 
 

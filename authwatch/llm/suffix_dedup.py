@@ -28,14 +28,14 @@ from pyspark.sql import functions as F
 
 from authwatch.llm.batches import encoded, map_batches, type_of
 from authwatch.llm.repeats import (
-    KNOWN, SPLIT_FROM, Cutting, by_document, find_repeats, known_runs, part_of, signed)
+    CLAIM, KNOWN, PROVEN, Cutting, by_document, proven_repeats, windows_of)
 from authwatch.llm.rolling import PrefixHash
 
 #: Windows that are sorted at once.
 SORT_WINDOWS = 1 << 17
 
 
-def byte_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def byte_symbols(column: pa.Array, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     parts = encoded(column)
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)])
     return np.frombuffer(b"".join(parts), np.uint8), bounds.astype(np.int64)
@@ -137,47 +137,6 @@ def _starts_earlier_by_bytes(symbols, starts, bucket, width) -> np.ndarray:
 
 # -- the operator ------------------------------------------------------------
 
-def _contexts(width: int):
-    """The bytes of mixed blocks; windows of large groups one by one, copies within a batch known."""
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows, single = [], []
-        for number, (text, spans) in enumerate(zip(
-                encoded(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
-            for span in spans:
-                start, key = span["start"], span["key"]
-                count = min(span["windows"], len(text) - width + 1 - start)
-                if count < 1:
-                    continue
-                if span["rivals"] < SPLIT_FROM:
-                    rows.append((key, 0, number, start, count,
-                                 text[start:start + count - 1 + width]))
-                else:
-                    single += [(key, text[at:at + width], number, at)
-                               for at in range(start, start + count)]
-        ids = batch.column(0)
-        rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_pylist()
-        first: dict[tuple[int, bytes], tuple[int, int]] = {}
-        for key, piece, number, at in single:
-            place = (rank[number], at)
-            first[key, piece] = min(place, first.get((key, piece), place))
-        known = []
-        for key, piece, number, at in single:
-            if (rank[number], at) == first[key, piece]:
-                rows.append((key, part_of(piece), number, at, 1, piece))
-            else:
-                known.append((key, number, at))
-        rows += [(key, KNOWN, number, at, count, b"")
-                 for key, number, at, count in known_runs(known)]
-        if rows:
-            key, part, owner, start, windows, piece = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([signed(x) for x in key], pa.int64()), pa.array(part, pa.int64()),
-                 ids.take(pa.array(owner)), pa.array(start, pa.int64()),
-                 pa.array(windows, pa.int32()), pa.array(piece, pa.binary())],
-                ["key", "part", "doc", "start", "windows", "piece"])
-    return run
-
-
 def _sort_groups(width: int):
     """Runs of windows that start earlier within their (key, part)."""
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,18 +238,12 @@ def cut_ranges(text: bytes, spans, width: int) -> tuple[int, int, int, str]:
 def earlier_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    width: int = 100, k: int = 24) -> DataFrame:
     """Runs of ``windows`` byte strings from ``start`` on that also start earlier."""
-    kind = type_of(docs, id_col)
-    found = find_repeats(docs, id_col, text_col, Cutting(byte_symbols, width, k, True, False))
-    mixed = by_document(found.filter(~F.col("repeat")), "start", "windows", "key", "rivals")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    pieces = map_batches(
-        texts.join(mixed, F.col("id").eqNullSafe(F.col("doc"))).select("id", "text", "ranges"),
-        _contexts(width),
-        f"key long, part long, doc {kind}, start long, windows int, piece binary")
-    single = (pieces.repartition("key", "part")
-              .sortWithinPartitions("key", "part", "doc", "start")
-              .mapInArrow(_sort_groups(width), f"doc {kind}, start long, windows int"))
-    return found.filter("repeat").select("doc", "start", "windows").unionByName(single)
+    answers = proven_repeats(docs, id_col, text_col, Cutting(
+        byte_symbols, bytes, bytes, width, k, same_document=True, sources=False))
+    single = windows_of(answers).mapInArrow(
+        _sort_groups(width), f"doc {type_of(docs, id_col)}, start long, windows int")
+    return answers.filter(F.col("kind").isin(CLAIM, PROVEN)).select(
+        "doc", "start", "windows").unionByName(single)
 
 
 def remove_earlier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

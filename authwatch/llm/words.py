@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 
@@ -23,8 +25,17 @@ def word_bounds(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return joined, starts, stops, np.searchsorted(starts, begins)
 
 
-def word_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash per word, and the bounds of the texts among the words."""
-    joined, starts, stops, bounds = word_bounds(encoded(column))
+def word_symbols(column: pa.Array, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash per word, and the bounds of the texts among the words.
+
+    A ``salt`` other than 0 takes BLAKE2b, in which no two words can be made to collide.
+    """
+    parts = encoded(column)
+    joined, starts, stops, bounds = word_bounds(parts)
+    if salt:
+        mark = salt.to_bytes(2)
+        return np.frombuffer(b"".join(
+            blake2b(word, digest_size=8, salt=mark).digest()
+            for part in parts for word in part.split()), np.uint64), bounds.astype(np.int64)
     hashes = PrefixHash(joined).of(starts, stops)
     return mix(hashes + (stops - starts).astype(np.uint64)), bounds.astype(np.int64)

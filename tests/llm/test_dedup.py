@@ -72,7 +72,7 @@ def test_whole_table(spark, operator, brute, width):
 @pytest.mark.parametrize("width, k, split", [(8, 3, 2), (5, 2, 1000)])
 def test_dense_repeats(frame, monkeypatch, width, k, split):
     """Few letters, so that everything repeats; large groups are split or not."""
-    monkeypatch.setattr(suffix_dedup, "SPLIT_FROM", split)
+    monkeypatch.setattr(repeats, "SPLIT_FROM", split)
     texts = random_texts(5, 60, ["a", "b", "é", "ab"], 200) + ["a" * 300, "ab" * 200]
     rows = list(enumerate(texts)) + [(100 + n, texts[n][3:]) for n in range(20)]
     got = by_id(suffix_dedup.remove_earlier(frame(rows), width=width, k=k))
@@ -81,7 +81,7 @@ def test_dense_repeats(frame, monkeypatch, width, k, split):
 
 @pytest.mark.parametrize("width, k, split", [(6, 2, 2), (5, 2, 1000)])
 def test_dense_word_repeats(frame, monkeypatch, width, k, split):
-    monkeypatch.setattr(substring_dedup, "SPLIT_FROM", split)
+    monkeypatch.setattr(repeats, "SPLIT_FROM", split)
     texts = random_texts(6, 60, ["a", "bé", "cc"], 200) + ["a " * 300, "ab\n" * 200]
     rows = list(enumerate(texts)) + [(100 + n, texts[n][3:]) for n in range(20)]
     got = by_id(substring_dedup.remove_repeated(frame(rows), width=width, k=k))
@@ -158,3 +158,76 @@ def test_very_long_texts(frame):
     assert by_id(exact_dedup.mark_copies(frame(rows))) == exact_brute(rows)
     few = [r for r in rows if r[0] != 5]
     assert by_id(suffix_dedup.remove_earlier(frame(few))) == suffix_brute(few, 100)
+
+
+OPERATORS = [(suffix_dedup.remove_earlier, suffix_brute, 12),
+             (substring_dedup.remove_repeated, substring_brute, 5)]
+
+
+def blind_at_first(seen):
+    """Digests that are all equal in the first attempt."""
+    real = repeats.digest_of
+    return lambda piece, salt: real(piece, salt) if salt else seen
+
+
+@pytest.mark.parametrize("operator, brute, width", OPERATORS)
+def test_blocks_with_equal_digests_are_told_apart(frame, monkeypatch, operator, brute, width):
+    texts = random_texts(9, 40, ["a", "bé", "cc", "dd"], 120)
+    rows = list(enumerate(texts)) + [(100 + n, texts[n][4:]) for n in range(20)]
+    attempts = []
+    real = repeats.claims_hold
+    monkeypatch.setattr(repeats, "claims_hold", lambda x: attempts.append(real(x)) or attempts[-1])
+    monkeypatch.setattr(repeats, "digest_of", blind_at_first(b"\0" * 8))
+    assert by_id(operator(frame(rows), width=width, k=3)) == brute(rows, width)
+    assert attempts == [False, True]
+
+
+@pytest.mark.parametrize("operator, brute, width", OPERATORS)
+def test_digests_that_never_differ_raise(frame, monkeypatch, operator, brute, width):
+    rows = list(enumerate(random_texts(9, 40, ["a", "bé", "cc", "dd"], 120)))
+    monkeypatch.setattr(repeats, "digest_of", lambda piece, salt: b"\0" * 8)
+    with pytest.raises(ValueError, match="digests of unequal blocks"):
+        operator(frame(rows), width=width, k=3)
+
+
+def test_words_with_equal_hashes_are_told_apart(frame, monkeypatch):
+    """In the first attempt all words of one length are one symbol."""
+    real = substring_dedup.word_symbols
+
+    def by_length(column, salt=0):
+        symbols, bounds = real(column, salt)
+        words = [w for text in column.to_pylist() for w in (text or "").encode().split()]
+        return (symbols if salt else np.array([len(w) for w in words], np.uint64)), bounds
+    monkeypatch.setattr(substring_dedup, "word_symbols", by_length)
+    texts = random_texts(4, 40, ["a", "b", "cc", "dd", "eee", "fff"], 150)
+    rows = list(enumerate(texts)) + [(100 + n, texts[n][4:]) for n in range(20)]
+    got = by_id(substring_dedup.remove_repeated(frame(rows), width=6, k=3))
+    assert got == substring_brute(rows, 6)
+
+
+@pytest.mark.parametrize("operator", [x for x, _, _ in OPERATORS])
+def test_a_path_may_be_spread_over_rows_of_one_id(frame, operator):
+    """No row of document 1 holds all of document 2, but together they do."""
+    words = [f"w{n}" for n in range(120)]
+    left, right = words[:80] + ["x"] * 40, ["y"] * 40 + words[40:]
+    rows = [(1, " ".join(left)), (1, " ".join(right)), (2, " ".join(words))]
+    for ids in ({1: 1, 2: 2}, {1: None, 2: 2}):
+        got = operator(frame([(ids[i], t) for i, t in rows])).filter("doc_id = 2").collect()
+        size = got[0]["n_words"] if "n_words" in got[0] else got[0]["n_bytes"]
+        assert len(got) == 1 and got[0]["n_removed"] == size
+
+
+def test_claims_are_held_against_their_source(spark):
+    fields = "kind int, doc long, start long, windows int, piece binary, source long, " \
+             "source_start long"
+    claim, source = repeats.CLAIM, repeats.SOURCE
+    held = (source, None, None, 4, b"t", 1, 7)
+
+    def holds(*rows):
+        return repeats.claims_hold(spark.createDataFrame([held, *rows], fields))
+    assert holds((claim, 2, 0, 4, b"t", 1, 7), (claim, 3, 9, 4, b"t", 1, 7))
+    assert not holds((claim, 2, 0, 4, b"t", 1, 7), (claim, 3, 9, 4, b"u", 1, 7))
+    assert not holds((claim, 2, 0, 4, b"t", 1, 8))
+    assert not holds((claim, 2, 0, 4, b"t", None, 7))
+    # Two rows of document 2, of which one holds the path.
+    assert holds((claim, 2, 0, 4, b"u", 1, 7), (claim, 2, 0, 4, b"t", 1, 7))
