@@ -202,25 +202,38 @@ def find_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting)
                         F.col("first.start")).alias("source_start")))
 
 
-def compact(paths: DataFrame) -> DataFrame:
-    """Maximal paths: doc, start, windows, source, source_start.
+def compact(found: DataFrame, cutting: Cutting) -> DataFrame:
+    """What is asked of each document: kind, doc, start, windows, key, rivals, source, source_start.
 
-    ``paths`` has the same columns. Along one diagonal (document, source, shift)
-    a path continues the one before if it starts where that one stops, so each
-    meets its neighbour in order of place: one shuffle by document.
+    Claims become maximal paths: along one diagonal (document, source, shift) a path
+    continues the one before if it starts where that one stops, so each meets its
+    neighbour in order of place. One shuffle by document; nothing else is joined.
     """
-    along = Window.partitionBy("doc", "source", "shift").orderBy("start", "stop")
+    kind = F.when(~F.col("repeat"), PIECE)
+    if not cutting.sources:
+        kind = kind.when(F.col("known"), PROVEN)
+    kind = kind.otherwise(CLAIM)
+    claims = F.col("kind") == CLAIM
+    rows = (found.withColumn("kind", kind).select(
+                "kind", "doc", "start", (F.col("start") + F.col("windows")).alias("stop"),
+                F.when(~claims, F.col("key")).alias("key"),
+                F.when(~claims, F.col("rivals")).alias("rivals"),
+                F.when(claims, F.col("source")).alias("source"),
+                F.when(claims, F.col("start") - F.col("source_start")).alias("shift"))
+            .repartition("doc"))
+    along = Window.partitionBy("doc", "kind", "source", "shift").orderBy("start", "stop")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    return (paths.repartition("doc").select(
-                "doc", "source", "start", (F.col("start") + F.col("windows")).alias("stop"),
-                (F.col("start") - F.col("source_start")).alias("shift"))
-            .withColumn("reached", F.max("stop").over(before))
-            .withColumn("head", F.when(F.col("reached") >= F.col("start"), 0).otherwise(1))
-            .withColumn("path", F.sum("head").over(along))
-            .groupBy("doc", "source", "shift", "path")
-            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-            .select("doc", "start", (F.col("stop") - F.col("start")).cast("int").alias("windows"),
-                    "source", (F.col("start") - F.col("shift")).alias("source_start")))
+    # Under another salt than the first each block stands for itself, since a path can
+    # also be spread over rows of one id.
+    goes_on = claims & (F.col("reached") >= F.col("start")) & F.lit(cutting.salt == 0)
+    return (rows.withColumn("reached", F.max("stop").over(before))
+            .withColumn("path", F.sum(F.when(goes_on, 0).otherwise(1)).over(along))
+            .groupBy("doc", "kind", "source", "shift", "path")
+            .agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
+                 F.first("key").alias("key"), F.first("rivals").alias("rivals"))
+            .select("kind", "doc", "start",
+                    (F.col("stop") - F.col("start")).cast("int").alias("windows"), "key",
+                    "rivals", "source", (F.col("start") - F.col("shift")).alias("source_start")))
 
 
 def by_document(ranges: DataFrame, *columns: str | Column) -> DataFrame:
@@ -228,30 +241,20 @@ def by_document(ranges: DataFrame, *columns: str | Column) -> DataFrame:
     return ranges.groupBy("doc").agg(F.collect_list(F.struct(*columns)).alias("ranges"))
 
 
-def _questions(found: DataFrame, cutting: Cutting) -> DataFrame:
-    """Per document, what its text is asked for."""
-    def ask(kind: int, rows: DataFrame) -> DataFrame:
-        have = set(rows.columns)
-        types = {f.name: f.dataType for f in found.schema}
-        return rows.select(F.lit(kind).alias("kind"), *(
-            name if name in have else F.lit(None).cast(types[name]).alias(name)
-            for name in ("doc", "start", "windows", "key", "rivals", "source", "source_start")))
-
-    claims = found.filter(F.col("repeat") if cutting.sources else
-                          F.col("repeat") & ~F.col("known"))
-    # Blocks that do not hold what they claim are cut again and then asked one by one, since
-    # a path can also be spread over rows of one id.
-    paths = compact(claims) if cutting.salt == 0 else claims.select(
-        "doc", "start", "windows", "source", "source_start")
-    sources = paths.select(F.col("source").alias("doc"), F.col("source_start").alias("start"),
-                           "windows").distinct()
-    asked = ask(CLAIM, paths).unionByName(ask(SOURCE, sources)).unionByName(
-        ask(PIECE, found.filter(~F.col("repeat"))))
-    if not cutting.sources:
-        asked = asked.unionByName(ask(PROVEN, found.filter("known").select(
-            "doc", "start", "windows")))
-    return by_document(asked, "kind", "start", "windows", "key", "rivals", "source",
-                       "source_start")
+def _asked(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting) -> DataFrame:
+    """Texts with what they are asked for: id, text, ranges, stretches that paths name."""
+    asked = compact(find_repeats(docs, id_col, text_col, cutting), cutting)
+    stretches = asked.filter(F.col("kind") == CLAIM).select(
+        F.col("source").alias("doc"), F.col("source_start").alias("start"), "windows").distinct()
+    own = by_document(asked, "kind", "start", "windows", "key", "rivals", "source",
+                      "source_start").withColumnRenamed("doc", "own")
+    named = by_document(stretches, "start", "windows").select(
+        F.col("doc").alias("named"), F.col("ranges").alias("stretches"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return (texts.join(own, F.col("id").eqNullSafe(F.col("own")), "left")
+            .join(named, F.col("id").eqNullSafe(F.col("named")), "left")
+            .filter("ranges is not null or stretches is not null")
+            .select("id", "text", "ranges", "stretches"))
 
 
 def _answers(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
@@ -263,15 +266,28 @@ def _answers(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordB
         rows, single = [], []
         ids = batch.column(0)
         names = ids.to_pylist()
-        for number, (text, spans) in enumerate(zip(
-                encoded(batch.column(1)), batch.column(2).to_pylist(), strict=True)):
+        def mark(held: Sequence, start: int, count: int) -> bytes:
+            return blake2b(piece_of(held[start:start + count - 1 + width]),
+                           digest_size=16).digest()
+        for number, text in enumerate(encoded(batch.column(1))):
             held = units(text)
             count_here, own = len(held) - width + 1, names[number]
-            for span in spans:
+            # A stretch beyond the end is that of another row with this id.
+            for span in batch.column(3)[number].as_py() or ():
+                start, count = span["start"], span["windows"]
+                if start + count <= count_here:
+                    rows.append((SOURCE, None, None, None, None, count,
+                                 mark(held, start, count), own, start))
+            for span in batch.column(2)[number].as_py() or ():
                 kind, start, count = span["kind"], span["start"], span["windows"]
                 if kind == PROVEN:
                     rows.append((kind, None, None, own, start, count, None, None, None))
-                elif kind == PIECE:
+                elif kind == CLAIM:
+                    if start + count <= count_here:
+                        rows.append((kind, None, None, own, start, count,
+                                     mark(held, start, count), span["source"],
+                                     span["source_start"]))
+                else:
                     count, key = min(count, count_here - start), span["key"]
                     if count < 1:
                         continue
@@ -281,13 +297,6 @@ def _answers(cutting: Cutting) -> Callable[[pa.RecordBatch], Iterator[pa.RecordB
                     else:
                         single += [(key, piece_of(held[at:at + width]), number, at)
                                    for at in range(start, start + count)]
-                elif start + count <= count_here:  # else another row of this id has it
-                    mark = blake2b(piece_of(held[start:start + count - 1 + width]),
-                                   digest_size=16).digest()
-                    rows.append(
-                        (kind, None, None, own, start, count, mark, span["source"],
-                         span["source_start"]) if kind == CLAIM else
-                        (kind, None, None, None, None, count, mark, own, start))
         if single:
             rank = pc.rank(ids, null_placement="at_start", tiebreaker="min").to_pylist()
             first: dict[tuple[int, bytes], tuple[int, int]] = {}
@@ -348,13 +357,10 @@ def proven_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting
     windows). ``PIECE`` rows (key, part, doc, start, windows, piece) are still to be compared.
     """
     kind = type_of(docs, id_col)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     for salt in range(ATTEMPTS):
         salted = cutting._replace(salt=salt)
-        asked = _questions(find_repeats(docs, id_col, text_col, salted), salted)
         answers = write_table(map_batches(
-            texts.join(asked, F.col("id").eqNullSafe(F.col("doc"))).select("id", "text", "ranges"),
-            _answers(salted),
+            _asked(docs, id_col, text_col, salted), _answers(salted),
             f"kind int, key long, part long, doc {kind}, start long, windows int, piece binary, "
             f"source {kind}, source_start long"), "repeats")
         if claims_hold(answers):
