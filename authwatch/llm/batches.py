@@ -72,20 +72,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet to a new folder that all executors share, and reread.
 
-    The shuffle files of the job are removed when it ends.
+    The shuffle files of the job are removed when it ends. ``batch_rows`` bounds the rows
+    that go to Python at once, where rows are wide and the task holds much beside them.
     """
     spark, path = df.sparkSession, f"{new_folder(df.sparkSession, name)}/rows"
-    before = spark.conf.get(CLEANUP, "false")
+    before = {CLEANUP: spark.conf.get(CLEANUP, "false"), BATCH_ROWS: spark.conf.get(BATCH_ROWS)}
     spark.conf.set(CLEANUP, "true")
+    if batch_rows is not None:
+        spark.conf.set(BATCH_ROWS, str(batch_rows))
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -40,6 +40,8 @@ SEGMENT = 1 << 24
 SPLIT_FROM = 4096
 #: Part of a window that an earlier one of the same task equals.
 KNOWN = -1
+#: Texts that go to Python at once with what they are asked for.
+TEXTS = 1000
 #: Times that blocks are cut, each with another salt, until all claims prove true.
 ATTEMPTS = 3
 #: What a document is asked for: windows to compare, runs that are proven already,
@@ -362,7 +364,7 @@ def proven_repeats(docs: DataFrame, id_col: str, text_col: str, cutting: Cutting
         answers = write_table(map_batches(
             _asked(docs, id_col, text_col, salted), _answers(salted),
             f"kind int, key long, part long, doc {kind}, start long, windows int, piece binary, "
-            f"source {kind}, source_start long"), "repeats")
+            f"source {kind}, source_start long"), "repeats", batch_rows=TEXTS)
         if claims_hold(answers):
             return answers
     raise ValueError(f"digests of unequal blocks are equal under {ATTEMPTS} salts")
