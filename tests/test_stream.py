@@ -303,3 +303,28 @@ def test_a_replay_is_bounded_by_messages(spark, tmp_path):
     assert max(batches) <= 20 and sum(batches) == 100
     rejected = [p["observedMetrics"]["rejects"] for p in query.recentProgress if p["numInputRows"]]
     assert sum(r["bad_ip"] for r in rejected) == 100 and sum(r["malformed"] for r in rejected) == 0
+
+
+def test_parts_of_a_bus_are_read_side_by_side(spark, tmp_path):
+    stored, root = str(tmp_path / "bus"), str(tmp_path / "live")
+    rows = spark.range(0, 100, 1, 2).select(F.col("id").cast("string").alias("key"), F.to_json(
+        F.struct(F.col("id").cast("string").alias("row_hash"), F.lit("2024-01-01 10:00:00")
+                 .alias("event_time"), F.lit("m").alias("message"))).alias("value"))
+    with pytest.raises(ValueError, match="rows_per_file"):
+        bus.store_messages(rows, stored, partitions=3)
+    bus.store_messages(rows, stored, 10, 3)
+    parts = bus.stored_partitions(spark, stored)
+    assert parts == ["partition=0", "partition=1", "partition=2"]
+    started = [live.start_events(bus.replay_bus(spark, stored, max_rows=20, partition=part),
+                                 root, None, part=part) for part in parts]
+    live.await_all(started)
+    batches = [[p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+               for query in started]
+    assert all(max(own) <= 20 and sum(own) >= 20 for own in batches)
+    kept = spark.read.parquet(live.events_path(root))
+    assert sorted(int(r["row_hash"]) for r in kept.collect()) == list(range(100))
+    assert kept.select("batch").distinct().count() == sum(map(len, batches))
+    again = live.start_events(bus.replay_bus(spark, stored, max_rows=20, partition=parts[0]),
+                              root, None, part=parts[0])
+    again.awaitTermination()
+    assert not [p for p in again.recentProgress if p["numInputRows"]]
