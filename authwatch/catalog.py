@@ -73,16 +73,21 @@ def q_read_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_file", "message")
 
 
+# Bytes of a split at least, and splits of a folder at most (about), beside one per file.
+SPLIT_BYTES, MOST_SPLITS = 16 << 10, 1000
+
+
 @query
 def q_line_numbers(spark, sf_dir):
     """Every line with its number in the day's file, which is read in many splits."""
     folder, out = log_files(spark, sf_dir), shared_dir(spark, "numbered")
+    days = f"{folder}/file_name=ssh-*.log"
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
-    spark.conf.set(key, "16k")
+    total = tables.input_bytes(spark.read.text(days))
+    spark.conf.set(key, max(SPLIT_BYTES, total // MOST_SPLITS))
     try:
-        read = logs.read_numbered_logs(spark, f"{folder}/file_name=ssh-*.log")
-        read.write.parquet(out)
+        logs.read_numbered_logs(spark, days).write.parquet(out)
     finally:
         spark.conf.set(key, before)
     return ps.source_file_name(spark.read.parquet(out)).select(

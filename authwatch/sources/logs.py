@@ -37,21 +37,22 @@ def read_numbered_logs(spark: SparkSession, glob: str) -> DataFrame:
     A file is read in any number of splits. Lines are counted per split, one row
     each; a running sum over the splits of a file gives the lines before each, and
     the line's place in its split is added. Parts of a per-day folder count on in
-    the order of their names. The lines themselves are not sorted.
+    the order of their names. The lines themselves are neither sorted nor shuffled:
+    the rows of the splits, which also hold the log file's path, go to every task.
     """
     lines = spark.read.text(glob).select(
         F.col("value").alias("message"),
-        logical_path(F.col("_metadata.file_path")).alias("source_path"),
         F.col("_metadata.file_path").alias("part"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("place"))
     in_file = (Window.partitionBy("source_path").orderBy("part", "block_start")
                .rowsBetween(Window.unboundedPreceding, -1))
-    splits = (lines.groupBy("source_path", "part", "block_start")
+    splits = (lines.groupBy("part", "block_start")
               .agg(F.min("place").alias("first"), F.count("*").alias("n"))
-              .select("part", "block_start", "first",
+              .withColumn("source_path", logical_path(F.col("part")))
+              .select("part", "block_start", "source_path", "first",
                       F.coalesce(F.sum("n").over(in_file), F.lit(0)).alias("before")))
-    return lines.join(splits, ["part", "block_start"]).select(
+    return lines.join(F.broadcast(splits), ["part", "block_start"]).select(
         "message", "source_path",
         (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_number"))
 

@@ -138,3 +138,33 @@ def test_numbers_count_on_over_the_parts_of_a_day(spark, tmp_path, small_splits)
     got = [r["message"] for r in back.filter("source_path LIKE '%ssh-20241210.log'")
            .orderBy("line_number").collect()]
     assert got == lines[1::3]
+
+
+def test_paths_are_made_out_per_split_and_lines_stay_in_place(spark, tmp_path):
+    write_log(tmp_path / "a.log", 30)
+    numbered = logs.read_numbered_logs(spark, str(tmp_path / "*.log"))
+    text = numbered._jdf.queryExecution().optimizedPlan().toString()
+    join = text[:text.index("Aggregate")]
+    assert "Join" in join and "strategy=broadcast" in join and "url" not in join.lower()
+
+
+def test_splits_of_a_large_folder_grow_with_it(spark, tmp_path, monkeypatch):
+    from authwatch import catalog
+    days = tmp_path / "days" / "file_name=ssh-20241209.log"
+    days.mkdir(parents=True)
+    lines = [f"Dec  9 10:00:00 line {n} " + "x" * 80 for n in range(3000)]
+    (days / "part-00000.txt").write_text("\n".join(lines) + "\n")
+    read, used = logs.read_numbered_logs, []
+
+    def numbered(*args):
+        used.append(int(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        return read(*args)
+
+    monkeypatch.setattr(catalog, "log_files", lambda *_: str(tmp_path / "days"))
+    monkeypatch.setattr(catalog.logs, "read_numbered_logs", numbered)
+    for most in (1000, 4):
+        monkeypatch.setattr(catalog, "MOST_SPLITS", most)
+        got = catalog.q_line_numbers(spark, "").orderBy("line_number").collect()
+        assert [r["message"] for r in got] == lines
+    size = (days / "part-00000.txt").stat().st_size
+    assert used == [catalog.SPLIT_BYTES, size // 4]
