@@ -325,3 +325,20 @@ def test_metrics_rerun_replaces_the_day(spark, events, tmp_path):
     assert {day: r["total_logs"] for day, r in rows.items()} == {"2024-01-01": 4, "2024-01-02": 1}
     assert rows["2024-01-01"]["created_at"] is not None
     assert rows["2024-01-01"]["top_ip_list"][0].asDict() == {"ip": "1.1.1.1", "cnt": 4}
+
+
+def test_queries_parse_the_events_once_for_all_their_merges(spark, sf_dir, monkeypatch):
+    from authwatch import catalog
+    merge, read = tables.upsert_days, []
+
+    def recorded(session, path, incoming, *args, **kwargs):
+        read.append(incoming.inputFiles())
+        return merge(session, path, incoming, *args, **kwargs)
+
+    monkeypatch.setattr(catalog.tables, "upsert_days", recorded)
+    for query, merges in ((catalog.q_upsert_events_table, 3), (catalog.q_snapshot_read, 2)):
+        read.clear()
+        query(spark, sf_dir)
+        assert len(read) == merges and all(read)
+        assert not [name for names in read for name in names if "events.parquet" in name]
+        assert len({name.rpartition("/")[0] for names in read for name in names}) == 1
