@@ -1008,8 +1008,11 @@ def q_compact_live(spark, sf_dir):
     """Small live files joined between micro-batches; every key is still there once."""
     source = _redelivered_bus(spark, sf_dir)
     stored, root = shared_dir(spark, "bus"), shared_dir(spark, "live")
-    (source.writeStream.option("checkpointLocation", shared_dir(spark, "checkpoint"))
-     .trigger(availableNow=True).start(stored, format="parquet").awaitTermination())
+    with bus.small_row_groups(spark):
+        started = (source.writeStream
+                   .option("checkpointLocation", shared_dir(spark, "checkpoint"))
+                   .trigger(availableNow=True).start(stored, format="parquet"))
+    started.awaitTermination()
     live.start_events(bus.replay_bus(spark, stored, max_files=1), root, None).awaitTermination()
     tables.compact_live(spark, live.events_path(root))
     kept = tables.read_live_events(spark, live.events_path(root))

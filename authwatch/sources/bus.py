@@ -6,6 +6,8 @@ on a replay of message files, which deliver the same columns.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,10 @@ from authwatch.sources import files
 ROWS_PER_FILE = "_rows_per_file"
 #: Folders of a stored bus that is dealt to several readers.
 PARTITION = "partition"
+#: How files of messages are written: in small row groups, so that a micro-batch of
+#: one large file is read and decoded by many tasks.
+ROW_GROUP = "parquet.block.size"
+ROW_GROUP_BYTES = 4 << 20
 TOPIC = "ssh-log"
 MESSAGE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                                T.StructField("value", T.StringType())])
@@ -78,6 +84,17 @@ def write_bus(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
      .option("kafka.acks", "all").option("topic", topic).save())
 
 
+@contextmanager
+def small_row_groups(spark: SparkSession):
+    """Start streams that store messages inside this block; a file sink takes no option for it."""
+    before = spark.conf.get(ROW_GROUP, None)
+    spark.conf.set(ROW_GROUP, ROW_GROUP_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(ROW_GROUP) if before is None else spark.conf.set(ROW_GROUP, before)
+
+
 def stored_partitions(spark: SparkSession, path: str) -> list[str]:
     """Names of the partitions that hold messages, each to be read by a query of its own."""
     return [name for name in files.names(spark, path) if name.startswith(f"{PARTITION}=")]
@@ -97,7 +114,7 @@ def store_messages(messages: DataFrame, path: str, rows_per_file: int | None = N
     if partitions:
         run = F.floor(F.monotonically_increasing_id() / rows_per_file)
         messages = messages.withColumn(PARTITION, F.pmod(run, F.lit(partitions)))
-    writer = messages.write.mode("append")
+    writer = messages.write.mode("append").option(ROW_GROUP, ROW_GROUP_BYTES)
     if rows_per_file:
         files.write_once(messages.sparkSession, f"{path}/{ROWS_PER_FILE}/{rows_per_file}", "")
         writer = writer.option("maxRecordsPerFile", rows_per_file)

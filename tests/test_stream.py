@@ -328,3 +328,20 @@ def test_parts_of_a_bus_are_read_side_by_side(spark, tmp_path):
                               root, None, part=parts[0])
     again.awaitTermination()
     assert not [p for p in again.recentProgress if p["numInputRows"]]
+
+
+def test_one_large_file_of_messages_is_read_by_several_tasks(spark, tmp_path):
+    rows = spark.range(150_000).select(F.sha2(F.col("id").cast("string"), 256).alias("key"),
+                                       F.sha2(F.col("id").cast("string"), 512).alias("value"))
+    stored, again = str(tmp_path / "bus"), str(tmp_path / "again")
+    bus.store_messages(rows.coalesce(1), stored)
+    with bus.small_row_groups(spark):
+        query = (bus.replay_bus(spark, stored).select("key", "value").coalesce(1).writeStream
+                 .option("checkpointLocation", str(tmp_path / "done")).trigger(availableNow=True)
+                 .start(again, format="parquet"))
+    query.awaitTermination()
+    assert spark.conf.get(bus.ROW_GROUP, None) is None
+    for folder in (stored, again):
+        assert len([name for name in os.listdir(folder) if name.endswith(".parquet")]) == 1
+        read = spark.read.parquet(folder).groupBy(F.spark_partition_id()).count().collect()
+        assert len(read) >= 3 and sum(r["count"] for r in read) == 150_000
