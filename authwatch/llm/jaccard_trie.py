@@ -7,9 +7,9 @@ of each (prefix filter). Shared prefix shingles are counted per pair, and length
 and position bounds drop most pairs; a shingle that very many classes have in
 their prefix links its classes to one of them. This only says which classes may
 meet: each connected group of candidates goes to one task, where its ordered
-sets form a trie. Traversing it for one set shares the overlap of common
-beginnings, prunes subtrees by the bounds on what is left, and skips subtrees
-that are linked already. A group of very many classes is split into blocks:
+sets form a trie. All sets that are looked up take each node at once: the overlap of
+common beginnings is counted once, a set leaves a subtree by the bounds on what is left,
+or where it is linked with all of it already. A group of very many classes is split into blocks:
 each block is joined alone, and classes outside the leading component are then
 looked up in all blocks, a chunk of them at a time, so no link is lost and a task
 holds one block and one chunk.
@@ -26,11 +26,9 @@ are taken whole, and an empty table gives no rows. Other columns are ignored. Sh
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +48,8 @@ FREQUENT, MOST_FREQUENT = 64, 1 << 20
 PAIRED = 64
 #: Classes of a block of a large group.
 BLOCK = 2048
+#: Ranks whose holders are kept as bits while a trie is visited; of later ones as lists.
+EARLY = 4096
 #: Bits per member of the filter that keeps sets of unlinked classes at home, and the
 #: words of 64 bits that it has at most (8 MB): beyond, more sets are shuffled in vain.
 FILTER_BITS, FILTER_WORDS = 16, 1 << 20
@@ -262,60 +262,94 @@ def candidate_pairs(texts: DataFrame) -> DataFrame:
 
 # -- the trie ----------------------------------------------------------------
 
-class Labels:
-    """Union-find over items."""
-
-    def __init__(self, size: int):
-        self.parent = list(range(size))
-
-    def find(self, item: int) -> int:
-        while self.parent[item] != item:
-            self.parent[item] = self.parent[self.parent[item]]
-            item = self.parent[item]
-        return item
-
-    def join(self, left: int, right: int) -> bool:
-        left, right = self.find(left), self.find(right)
-        self.parent[max(left, right)] = min(left, right)
-        return left != right
-
-
 class Node:
     """A run of shingles that all sets below it share."""
 
-    __slots__ = ("run", "children", "items", "low", "high", "owner", "mixed",
+    __slots__ = ("run", "children", "items", "low", "high", "first", "last",
                  "weight", "here", "below")
 
-    def __init__(self, run: tuple[int, ...], item: int, size: int):
+    def __init__(self, run: tuple[int, ...], size: int):
         self.run, self.children, self.items = run, {}, []
         self.low = self.high = size
-        self.owner, self.mixed = item, False
+        # Where the items below stand in ``Trie.order``.
+        self.first = self.last = 0
         # Weight of the sets below; what was counted for those that end here, and for all.
         self.weight = self.here = self.below = 0
 
 
+class Probes:
+    """Sets that go through a trie side by side: ascending tuples of ranks."""
+
+    def __init__(self, sets: list[tuple[int, ...]]):
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        ranks = np.fromiter(chain.from_iterable(sets), np.int64, int(self.sizes.sum()))
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.span = int(ranks.max(initial=0)) + 1
+        self.keys = owner * self.span + ranks
+        early = ranks < EARLY
+        self.bits = np.zeros((len(sets), min(EARLY, self.span) // 64 + 1), np.uint64)
+        np.bitwise_or.at(self.bits, (owner[early], ranks[early] >> 6), _bit(ranks[early]))
+        late = np.argsort(ranks[~early], kind="stable")
+        self.holders = owner[~early][late]
+        self.held = np.searchsorted(ranks[~early][late], np.arange(EARLY, self.span + 1))
+
+    def shared(self, run: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """How many shingles of ``run`` each chosen set has."""
+        cut = int(np.searchsorted(run, min(EARLY, self.span)))
+        own, rest = run[:cut], run[cut:]
+        out = np.zeros(len(chosen), np.int64)
+        if cut:
+            first, last = int(own[0]) >> 6, (int(own[-1]) >> 6) + 1
+            mask = np.zeros(last - first, np.uint64)
+            np.bitwise_or.at(mask, (own >> 6) - first, _bit(own))
+            bits = self.bits[:, first:last]
+            bits = bits if len(chosen) == len(bits) else bits[chosen]
+            out += np.bitwise_count(bits & mask).sum(axis=1, dtype=np.int64)
+        rest = rest[rest < self.span] - EARLY
+        if len(rest):
+            begins = self.held[rest]
+            counts = self.held[rest + 1] - begins
+            at = np.repeat(begins - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            if len(at):
+                out += np.bincount(self.holders[at], minlength=len(self.sizes))[chosen]
+        return out
+
+    def passed(self, rank: int, chosen: np.ndarray) -> np.ndarray:
+        """How many shingles each chosen set has up to ``rank``."""
+        rank = min(rank, self.span - 1)
+        return np.searchsorted(self.keys, chosen * self.span + rank, "right") - self.begins[chosen]
+
+
+def _bit(ranks: np.ndarray) -> np.ndarray:
+    return np.left_shift(np.uint64(1), (ranks & 63).astype(np.uint64))
+
+
 class Trie:
-    """Sets as ascending tuples of ranks, with labels of what is linked already."""
+    """Sets as ascending tuples of ranks."""
 
-    def __init__(self, sets: list[tuple[int, ...]], labels: Labels):
-        self.sets, self.labels = sets, labels
-        self.root: Node | None = None
+    def __init__(self, sets: list[tuple[int, ...]]):
+        self.root = Node((), len(sets[0]))
+        for item, ranks in enumerate(sets):
+            self._add(item, ranks)
+        self.order: list[int] = []
+        for node in self.nodes():
+            node.first = len(self.order)
+            self.order += node.items
+            node.last = len(self.order)
+        for node in reversed([*self.nodes()]):
+            node.last = max([node.last, *(child.last for child in node.children.values())])
 
-    def add(self, item: int) -> None:
-        ranks = self.sets[item]
-        if self.root is None:
-            self.root = Node((), item, len(ranks))
+    def _add(self, item: int, ranks: tuple[int, ...]) -> None:
         node, at = self.root, 0
         while True:
             node.low, node.high = min(node.low, len(ranks)), max(node.high, len(ranks))
-            if not node.mixed and self.labels.find(node.owner) != self.labels.find(item):
-                node.mixed = True
             if at == len(ranks):
                 node.items.append(item)
                 return
             child = node.children.get(ranks[at])
             if child is None:
-                leaf = Node(ranks[at:], item, len(ranks))
+                leaf = Node(ranks[at:], len(ranks))
                 leaf.items.append(item)
                 node.children[ranks[at]] = leaf
                 return
@@ -324,78 +358,61 @@ class Trie:
             while same < limit and run[same] == ranks[at + same]:
                 same += 1
             if same < len(run):
-                upper = Node(run[:same], child.owner, child.low)
-                upper.high, upper.mixed = child.high, child.mixed
+                upper = Node(run[:same], child.low)
+                upper.high = child.high
                 upper.children[run[same]] = child
                 child.run = run[same:]
                 node.children[run[0]] = child = upper
             node, at = child, at + same
 
-    def link(self, item: int) -> Iterator[tuple[int, int]]:
-        """Similar items that are not linked with ``item`` yet; they are from now on."""
-        if self.root is None:
-            return
-        ranks, labels = self.sets[item], self.labels
-        own, size = set(ranks), len(ranks)
-        stack = [(self.root, 0, 0)]
-        while stack:
-            node, depth, shared = stack.pop()
-            if not node.mixed and labels.find(node.owner) == labels.find(item):
-                continue
-            if node.run:
-                depth += len(node.run)
-                shared += len(own.intersection(node.run))
-                passed = bisect_right(ranks, node.run[-1])
-                # At most all of what is left can be shared, on either side.
-                if (4 * node.high < 3 * size + 7 * (depth - shared)
-                        or 4 * size < 3 * node.low + 7 * (passed - shared)):
-                    continue
-            if 7 * shared >= 3 * (size + depth):
-                for other in node.items:
-                    if labels.join(item, other):
-                        yield item, other
-            # Children with a shared shingle are on top of the stack: they link soonest.
-            stack += [(child, depth, shared) for first, child in node.children.items()
-                      if first not in own]
-            stack += [(child, depth, shared) for first, child in node.children.items()
-                      if first in own]
-
     def nodes(self) -> Iterator[Node]:
         """All nodes, upper ones first."""
-        stack = [self.root] if self.root else []
+        stack = [self.root]
         while stack:
             yield (node := stack.pop())
             stack += node.children.values()
 
-    def weigh(self, weights: list[int]) -> None:
-        for node in reversed([*self.nodes()]):
-            node.weight = sum(weights[item] for item in node.items) + sum(
-                child.weight for child in node.children.values())
-
-    def count(self, item: int, weights: list[int]) -> int:
-        """Weight of the sets that are similar to ``item``, whose weight is noted at them."""
-        ranks, weight, total = self.sets[item], weights[item], 0
-        own, size = set(ranks), len(ranks)
-        stack = [(self.root, 0, 0)]
+    def visit(self, probes: Probes, wanted=None) -> Iterator[tuple[Node, np.ndarray, np.ndarray]]:
+        """Nodes with the probes that are similar to all sets below, and with those, among the
+        others, that are similar to the sets that end there.
+
+        All probes take a node at once, so the overlap of common beginnings is counted once.
+        A probe goes no further than the bounds on what is left allow, and ``wanted`` tells
+        which ones have to see a node.
+        """
+        every = np.arange(len(probes.sizes))
+        stack = [(self.root, 0, every, np.zeros(len(every), np.int64))]
         while stack:
-            node, depth, shared = stack.pop()
-            if node.run:
-                depth += len(node.run)
-                shared += len(own.intersection(node.run))
-                passed = bisect_right(ranks, node.run[-1])
-                if (4 * node.high < 3 * size + 7 * (depth - shared)
-                        or 4 * size < 3 * node.low + 7 * (passed - shared)):
-                    continue
-            if 7 * shared >= 3 * (size + node.high):
-                # Enough is shared already, whatever follows.
-                node.below += weight
-                total += node.weight
+            node, depth, chosen, shared = stack.pop()
+            if wanted is not None:
+                kept = wanted(node, chosen)
+                chosen, shared = chosen[kept], shared[kept]
+            if not len(chosen):
                 continue
-            if node.items and 7 * shared >= 3 * (size + depth):
-                node.here += weight
-                total += sum(weights[other] for other in node.items)
-            stack += [(child, depth, shared) for child in node.children.values()]
-        return total
+            size = probes.sizes[chosen]
+            if node.run:
+                run = np.array(node.run)
+                depth += len(run)
+                shared = shared + probes.shared(run, chosen)
+                # At most all of what is left can be shared, on either side.
+                kept = 4 * node.high >= 3 * size + 7 * (depth - shared)
+                if node.children:
+                    passed = probes.passed(node.run[-1], chosen)
+                    kept &= 4 * size >= 3 * node.low + 7 * (passed - shared)
+                chosen, shared, size = chosen[kept], shared[kept], size[kept]
+            # Enough is shared already, whatever follows.
+            whole = 7 * shared >= 3 * (size + node.high)
+            rest, shared = chosen[~whole], shared[~whole]
+            here = rest[7 * shared >= 3 * (size[~whole] + depth)] if node.items else rest[:0]
+            if whole.any() or len(here):
+                yield node, chosen[whole], here
+            if len(rest):
+                stack += [(child, depth, rest, shared) for child in node.children.values()]
+
+    def weigh(self, weights: np.ndarray) -> None:
+        sums = np.concatenate([[0], np.cumsum(weights[self.order])]).tolist()
+        for node in self.nodes():
+            node.weight = sums[node.last] - sums[node.first]
 
     def counted(self) -> Iterator[tuple[int, int]]:
         """What was noted at each set; to be read once."""
@@ -408,34 +425,52 @@ class Trie:
 
 def ranked(sets: list[np.ndarray]) -> list[tuple[int, ...]]:
     """Sets by rank in one order: shingles of many sets first, so that beginnings are shared."""
-    counts: Counter = Counter()
-    plain = [own.tolist() for own in sets]
-    for own in plain:
-        counts.update(own)
-    rank = {shingle: number for number, (shingle, _) in enumerate(
-        sorted(counts.items(), key=lambda x: (-x[1], x[0])))}
-    return [tuple(sorted(map(rank.__getitem__, own))) for own in plain]
+    found, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(found), np.int64)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(found))
+    bounds = np.cumsum([len(own) for own in sets])[:-1]
+    return [tuple(np.sort(own).tolist()) for own in np.split(rank[at], bounds)]
 
 
 def join_sets(sets: list[np.ndarray], labels: list[int] | None = None,
               probes: int = 0) -> Iterator[tuple[int, int]]:
-    """Pairs of items that connect all similar ones.
+    """Pairs of similar items that connect all similar ones.
 
     With ``labels``, items of one label count as linked, and only the last
-    ``probes`` items are looked up, among the others.
+    ``probes`` items are looked up, among the others. Subtrees whose sets are linked
+    with a probe already are not visited by it.
     """
-    known = Labels(len(sets))
-    first: dict[int, int] = {}
-    for item, label in enumerate(labels or ()):
-        known.join(first.setdefault(label, item), item)
-    trie = Trie(ranked(sets), known)
-    order = sorted(range(len(sets) - probes), key=lambda x: len(sets[x]))
-    for item in order:
-        if not probes:
-            yield from trie.link(item)
-        trie.add(item)
-    for item in range(len(sets) - probes, len(sets)):
-        yield from trie.link(item)
+    stored = len(sets) - probes
+    if not stored:
+        return
+    known = np.arange(len(sets)) if labels is None else np.unique(labels, return_inverse=True)[1]
+    plain = ranked(sets)
+    trie = Trie(plain[:stored])
+    asked = np.arange(stored if probes else 0, len(sets))
+    order = np.array(trie.order)
+
+    def wanted(node: Node, chosen: np.ndarray) -> np.ndarray:
+        below = known[order[node.first:node.last]]
+        if (below != below[0]).any():
+            return np.ones(len(chosen), bool)
+        return known[asked[chosen]] != below[0]
+
+    for node, whole, here in trie.visit(Probes([plain[x] for x in asked]), wanted):
+        for near, items in ((whole, order[node.first:node.last]), (here, np.array(node.items))):
+            if not len(near):
+                continue
+            both = np.concatenate([asked[near], items])
+            tags, first = np.unique(known[both], return_index=True)
+            if len(tags) == 1:
+                continue
+            # All of one side are similar to all of the other one.
+            probe, item, own = int(asked[near[0]]), int(items[0]), known[asked[near[0]]]
+            if known[item] != own:
+                yield probe, item
+            for tag, at in zip(tags.tolist(), first.tolist(), strict=True):
+                if tag not in (own, known[item]):
+                    yield (int(both[at]), item) if at < len(near) else (probe, int(both[at]))
+            known[np.isin(known, tags)] = own
 
 
 def count_sets(sets: list[np.ndarray], weights: list[int], probes: int | None) -> list[int]:
@@ -445,12 +480,18 @@ def count_sets(sets: list[np.ndarray], weights: list[int], probes: int | None) -
     totals = [0] * len(sets)
     if not stored or probes == 0:
         return totals
-    trie = Trie(ranked(sets), Labels(len(sets)))
-    for item in range(stored):
-        trie.add(item)
-    trie.weigh(weights)
-    for item in range(stored) if probes is None else range(stored, len(sets)):
-        totals[item] = trie.count(item, weights)
+    plain = ranked(sets)
+    trie = Trie(plain[:stored])
+    weigh = np.array(weights, np.int64)
+    trie.weigh(weigh)
+    asked = 0 if probes is None else stored
+    own, found = weigh[asked:], np.zeros(len(sets) - asked, np.int64)
+    for node, whole, here in trie.visit(Probes(plain[asked:])):
+        node.below += int(own[whole].sum())
+        node.here += int(own[here].sum())
+        found[whole] += node.weight
+        found[here] += int(weigh[node.items].sum())
+    totals[asked:] = found.tolist()
     if probes is not None:
         for item, total in trie.counted():
             totals[item] = total

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -185,6 +186,34 @@ def test_trie_counts_what_is_similar(seed, probes):
     assert jt.count_sets(sets, weights, 0) == jt.count_sets(sets, weights, 120) == [0] * 120
 
 
+def steps(run):
+    """Calls that are made while ``run`` runs."""
+    seen = Counter()
+    sys.setprofile(lambda frame, event, arg: seen.update([event]))
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return seen["call"] + seen["c_call"]
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_steps_grow_with_the_sets_and_not_with_their_pairs(alike):
+    """Sets of one frequent beginning: all similar to each other, or none."""
+    def sets(count):
+        rng, own = np.random.default_rng(3), 8 if alike else 60
+        return [np.sort(np.concatenate([np.arange(100), rng.integers(1000, 1 << 60, own)]).astype(
+            np.uint64)) for _ in range(count)]
+
+    few, many = sets(100), sets(400)
+    for run in (lambda x: jt.count_sets(x, [1] * len(x), None),
+                lambda x: jt.count_sets(x, [1] * len(x), len(x) // 2),
+                lambda x: [*jt.join_sets(x)],
+                lambda x: [*jt.join_sets(x, [*range(len(x))], len(x) // 2)]):
+        assert steps(lambda: run(many)) < 8 * steps(lambda: run(few))
+    assert set(jt.count_sets(many, [1] * 400, None)) == {400 if alike else 1}
+
+
 def jaccard(a, b):
     common = len(np.intersect1d(a, b))
     return 100 * common >= 75 * (len(a) + len(b) - common)
