@@ -305,6 +305,31 @@ def test_a_replay_is_bounded_by_messages(spark, tmp_path):
     assert sum(r["bad_ip"] for r in rejected) == 100 and sum(r["malformed"] for r in rejected) == 0
 
 
+def test_logs_of_a_local_stream_are_written_without_file_context(spark, tmp_path, monkeypatch):
+    """The manager is taken over when the query starts, and the session is left as it was."""
+    used = []
+    started = live._started
+
+    def noted(df, *args):
+        used.append(df.sparkSession.conf.get(live.FILE_MANAGER, None))
+        return started(df, *args)
+
+    monkeypatch.setattr(live, "_started", noted)
+    stored, root = str(tmp_path / "bus"), str(tmp_path / "live")
+    rows = bus.to_bus(spark.createDataFrame(rows_at("00:00:00", "10.0.0.1", 60), LOG_EVENT))
+    bus.store_messages(rows.coalesce(1), stored, rows_per_file=10)
+    query = live.start_events(bus.replay_bus(spark, stored, max_rows=20), root, None)
+    query.awaitTermination()
+    events = spark.read.parquet(live.events_path(root))
+    assert [r["count"] for r in events.groupBy("batch").count().collect()] == [20, 20, 20]
+    assert used == [live.BY_FILE_SYSTEM]
+    assert spark.conf.get(live.FILE_MANAGER, None) is None
+    # What the query wrote is read by the usual manager: nothing is left to do.
+    again = live.start_events(bus.replay_bus(spark, stored, max_rows=20), root, None)
+    again.awaitTermination()
+    assert spark.read.parquet(live.events_path(root)).count() == 60
+
+
 def test_parts_of_a_bus_are_read_side_by_side(spark, tmp_path):
     stored, root = str(tmp_path / "bus"), str(tmp_path / "live")
     rows = spark.range(0, 100, 1, 2).select(F.col("id").cast("string").alias("key"), F.to_json(
